@@ -18,21 +18,16 @@ from loanscope.schema import (
 
 def select_columns(df: DataFrame) -> DataFrame:
     """The loan columns in their declared types; a missing column fails here."""
-    declared = {f.name: f.dataType for f in RAW_SCHEMA}
-    present = {f.name: f.dataType for f in df.schema}
-    return df.select(
-        *[
-            F.col(c) if present.get(c) == declared[c] else F.col(c).try_cast(declared[c]).alias(c)
-            for c in SELECTED_COLUMNS
-        ]
-    )
+    chosen = df.select(*SELECTED_COLUMNS)
+    other = [f for f, g in zip(RAW_SCHEMA, chosen.schema) if f.dataType != g.dataType]
+    if not other:
+        return chosen
+    return chosen.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in other})
 
 
 def required_filter(df: DataFrame) -> DataFrame:
     """Rows that have a status, an income and an issue month (NaN is a value)."""
-    for c in REQUIRED_COLUMNS:
-        df = df.where(F.col(c).isNotNull())
-    return df
+    return df.where(" AND ".join(f"{c} IS NOT NULL" for c in REQUIRED_COLUMNS))
 
 
 def dedup_by_id(
@@ -64,26 +59,23 @@ def dedup_by_id(
 def add_features(df: DataFrame) -> DataFrame:
     """Typed fields, derived features and upper-cased text in one projection.
 
-    The default flag reads the raw status, before the text is normalised.
+    Every expression reads the raw fields, so the default flag sees the status
+    before its text is normalised.
     """
-    parsed = {
+    issue_date = P.parse_issue_date(F.col("issue_d"))
+    cleaned = {
         "term": P.parse_term(F.col("term")),
         "int_rate": P.parse_percent(F.col("int_rate")),
         "emp_length": P.parse_emp_length(F.col("emp_length")),
         "revol_util": P.parse_percent(F.col("revol_util")),
-        "issue_d": P.parse_issue_date(F.col("issue_d")),
-    }
-    text = {c: P.normalize_text(F.col(c)) for c in TEXT_COLUMNS}
-    derived = {
+        "issue_d": issue_date,
         "is_default": P.default_flag(F.col("loan_status")),
         "fico_avg": P.fico_avg(F.col("fico_range_low"), F.col("fico_range_high")),
         "income_to_loan_ratio": P.income_to_loan_ratio(F.col("annual_inc"), F.col("loan_amnt")),
+        "year": P.issue_year(issue_date),
+        **{c: P.normalize_text(F.col(c)) for c in TEXT_COLUMNS},
     }
-    return (
-        df.withColumns({**parsed, **text, **derived})
-        .withColumn("year", P.issue_year(F.col("issue_d")))
-        .select(*CLEAN_COLUMNS)
-    )
+    return df.select(*[cleaned[c].alias(c) if c in cleaned else c for c in CLEAN_COLUMNS])
 
 
 def clean_loans(

@@ -5,7 +5,6 @@ the order key, ``d`` the order date.
 """
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loanscope.operators.joins import join_lookup
 from loanscope.schema import SELECTED_COLUMNS
@@ -54,13 +53,12 @@ assert list(LOAN_EXPRESSIONS) == SELECTED_COLUMNS
 def loan_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw loan table: the 24 columns and one more, ``desc``, that cleaning drops."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    customer = customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_acctbal", "c_mktsegment")
-    joined = join_lookup(orders, customer, "o_custkey").withColumns(
-        {"k": F.col("o_orderkey"), "d": F.col("o_orderdate")}
-    )
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").withColumnRenamed("c_custkey", "o_custkey")
     # Exploding one or two copies repeats the rows without a second scan.
-    copies = F.expr(f"explode(CASE WHEN {REPEATED} THEN array(0, 1) ELSE array(0) END)")
-    return joined.withColumn("copy", copies).select(
-        *[F.expr(e).alias(c) for c, e in LOAN_EXPRESSIONS.items()], F.col("o_orderpriority").alias("desc")
+    copies = f"explode(CASE WHEN {REPEATED} THEN array(0, 1) ELSE array(0) END) AS copy"
+    return (
+        join_lookup(orders, customer, "o_custkey")
+        .selectExpr("*", "o_orderkey AS k", "o_orderdate AS d")
+        .selectExpr("*", copies)
+        .selectExpr(*[f"{e} AS {c}" for c, e in LOAN_EXPRESSIONS.items()], "o_orderpriority AS `desc`")
     )

@@ -1,0 +1,150 @@
+from datetime import date
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from support import by_key, rows
+
+from loanscope.functions import parsing as P
+from loanscope.operators.cleaning import clean_loans, dedup_by_id, required_filter, select_columns
+from loanscope.schema import CLEAN_SCHEMA, RAW_SCHEMA
+
+D = date(2015, 12, 1)
+CHANGED = [
+    "id", "term", "int_rate", "revol_util", "emp_length", "issue_d", "is_default",
+    "fico_avg", "income_to_loan_ratio", "year", "grade", "loan_status", "purpose", "addr_state",
+]
+POLICY = "DOES NOT MEET THE CREDIT POLICY. STATUS:CHARGED OFF"
+EXPECTED = [
+    (None, 36, 10.0, 50.0, 3, D, 0, 662, 5.0, 2015, "A", "FULLY PAID", "WEDDING", "CA"),
+    ("1", 36, 10.0, 50.0, 10, D, 1, 662, 5.0, 2015, "A", "CHARGED OFF", "CAR", "CA"),
+    ("2", 60, 7.5, 50.0, 0, date(2018, 1, 1), 1, 662, 5.0, 2018, "B", "DEFAULT", "SMALL_BUSINESS", "CA"),
+    ("3", 36, 10.0, 50.0, None, D, 0, 662, None, 2015, "A", "CHARGED OFF", "CAR", "CA"),
+    ("4", 36, 10.0, 50.0, None, D, 0, None, 5.0, 2015, "A", POLICY, "CAR", "CA"),
+    ("8", None, None, None, 3, None, 0, 662, 5.0, None, "A", "FULLY PAID", "CAR", "CA"),
+    ("9", 36, 10.0, 50.0, 3, D, 0, 663, 4.76, 2015, "A", "FULLY PAID", "CAR", "CA"),
+]
+
+
+def test_golden_rows(golden_clean):
+    assert rows(golden_clean.select(*CHANGED)) == sorted(EXPECTED, key=repr)
+
+
+def test_golden_counts(golden_raw):
+    selected = golden_raw.transform(select_columns)
+    filtered = selected.transform(required_filter)
+    assert (golden_raw.count(), filtered.count(), dedup_by_id(filtered).count()) == (13, 9, 7)
+
+
+def test_schemas(golden_raw, golden_clean):
+    def shape(schema):
+        return [(f.name, f.dataType) for f in schema]
+
+    assert shape(golden_raw.transform(select_columns).schema) == shape(RAW_SCHEMA)
+    assert shape(golden_clean.schema) == shape(CLEAN_SCHEMA)
+
+
+def test_missing_column_fails(golden_raw):
+    with pytest.raises(AnalysisException):
+        select_columns(golden_raw.drop("dti"))
+
+
+def test_other_types_are_cast(golden_raw):
+    odd = golden_raw.withColumns({"loan_amnt": F.lit("oops"), "id": F.lit(7)})
+    row = select_columns(odd).first()
+    assert (row["id"], row["loan_amnt"]) == ("7", None)
+
+
+@pytest.mark.parametrize(
+    "function, text, expected",
+    [
+        (P.parse_term, " 36 months", 36),
+        (P.parse_term, "n/a", None),
+        (P.parse_term, "", None),
+        (P.parse_term, None, None),
+        (P.parse_term, "99999999999 months", None),
+        (P.parse_percent, "13.99%", 13.99),
+        (P.parse_percent, "13.99", 13.99),
+        (P.parse_percent, "1.2.3", None),
+        (P.parse_percent, "..", None),
+        (P.parse_emp_length, "10+ years", 10),
+        (P.parse_emp_length, "5 of 10+ years", 10),
+        (P.parse_emp_length, "< 1 year", 0),
+        (P.parse_emp_length, "1 year", 1),
+        (P.parse_emp_length, "n/a", None),
+        (P.parse_issue_date, "Dec-2015", D),
+        (P.parse_issue_date, "2015-12-01", None),
+        (P.default_flag, "Charged Off", 1),
+        (P.default_flag, "Default", 1),
+        (P.default_flag, " Charged Off", 0),
+        (P.default_flag, "charged off", 0),
+        (P.default_flag, None, 0),
+        (P.normalize_text, " a b ", "A B"),
+        (P.normalize_text, "\ta", "\tA"),
+    ],
+)
+def test_field_rules(spark, function, text, expected):
+    df = spark.createDataFrame([(text,)], "t string").select(function(F.col("t")).alias("v"))
+    assert df.first()["v"] == expected
+
+
+def test_rate_may_be_numeric(spark):
+    assert spark.range(1).select(P.parse_percent(F.lit(7.25)).alias("v")).first()["v"] == 7.25
+
+
+@pytest.mark.parametrize(
+    "low, high, expected", [(660.0, 664.0, 662), (660.0, 665.0, 663), (None, 664.0, None), (1e20, 1e20, None)]
+)
+def test_fico_avg(spark, low, high, expected):
+    df = spark.createDataFrame([(low, high)], "l double, h double")
+    assert df.select(P.fico_avg(F.col("l"), F.col("h")).alias("v")).first()["v"] == expected
+
+
+@pytest.mark.parametrize(
+    "income, amount, expected",
+    [(50000.0, 10000.0, 5.0), (33333.0, 7000.0, 4.76), (1.0, 0.0, None), (1.0, -5.0, None), (1.0, None, None)],
+)
+def test_ratio(spark, income, amount, expected):
+    df = spark.createDataFrame([(income, amount)], "i double, a double")
+    assert df.select(P.income_to_loan_ratio(F.col("i"), F.col("a")).alias("v")).first()["v"] == expected
+
+
+@pytest.fixture(scope="module")
+def copies(spark):
+    """Copies that differ, in many partitions; a third of the rows has no id."""
+    return spark.range(3000).repartition(8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE CAST(id % 100 AS STRING) END AS id",
+        "CAST(id AS DOUBLE) AS a",
+        "concat('x', id) AS b",
+    )
+
+
+def test_dedup_keeps_one_whole_row_per_key(copies):
+    kept = dedup_by_id(copies)
+    assert kept.count() == copies.select("id").distinct().count() == 101
+    assert set(rows(kept)) <= set(rows(copies))
+
+
+def test_dedup_stable_keeps_the_smallest_row(copies):
+    expected = copies.groupBy("id").agg(F.min(F.struct("a", "b")).alias("r")).select("id", "r.*")
+    assert rows(dedup_by_id(copies, stable=True)) == rows(expected)
+    assert rows(dedup_by_id(copies.repartition(3), stable=True)) == rows(expected)
+    assert dedup_by_id(copies, stable=True).columns == copies.columns
+
+
+def test_dedup_order(copies):
+    expected = copies.groupBy("id").agg(F.max("a").alias("a")).select("id", "a")
+    assert rows(dedup_by_id(copies, order_by=[F.desc("a")]).select("id", "a")) == rows(expected)
+
+
+def test_every_dedup_form_gives_the_same_loans(golden_raw, golden_clean):
+    expected = rows(golden_clean)
+    assert rows(clean_loans(golden_raw, stable=True)) == expected
+    assert rows(clean_loans(golden_raw, order_by=["issue_d"])) == expected
+
+
+def test_cleaning_before_the_dedup_changes_nothing(golden_raw, golden_clean):
+    from loanscope.operators.cleaning import add_features
+
+    late = golden_raw.transform(select_columns).transform(required_filter).transform(dedup_by_id)
+    assert rows(add_features(late)) == rows(golden_clean)

@@ -1,0 +1,34 @@
+"""Every registered query against the same query in SQL on the same tables."""
+
+import pytest
+from conftest import SMALL
+
+import __spark_entry__ as entry
+
+QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+ROWS_ONLY = {"input_manifest", "output_manifest", "run_summary", "phase_metrics"}
+
+
+def test_only_listings_and_timings_have_no_sql():
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(ORACLE) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLE])
+def test_same_result(spark, duck, name):
+    df = QUERIES[name](spark, SMALL)
+    result = duck.execute(ORACLE[name])
+    columns = [d[0] for d in result.description]
+    assert {c: TYPES[t] for c, t in df.dtypes} == {d[0]: str(d[1]) for d in result.description}
+    got = sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+    assert got == sorted(result.fetchall(), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
+def test_rows_only(spark, name):
+    assert QUERIES[name](spark, SMALL).collect()
+
+
+def test_entry(spark):
+    assert [r["is_default"] for r in entry.entry(spark).collect()] == [0, 1]

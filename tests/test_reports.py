@@ -1,0 +1,119 @@
+import math
+
+import pytest
+from support import by_key, rows
+
+from loanscope.operators import reports as R
+from loanscope.schema import CLEAN_SCHEMA, STATISTIC_COLUMNS
+
+
+def test_distributions(golden_clean):
+    assert [tuple(r) for r in R.default_distribution(golden_clean).collect()] == [(0, 5, 71.43), (1, 2, 28.57)]
+    assert [tuple(r) for r in R.year_distribution(golden_clean).collect()] == [(None, 1), (2015, 5), (2018, 1)]
+    assert [tuple(r) for r in R.grade_distribution(golden_clean).collect()] == [("A", 6), ("B", 1)]
+    assert [tuple(r) for r in R.grade_top(golden_clean).collect()] == [("A", 6, 85.71), ("B", 1, 14.29)]
+
+
+def test_purpose_ranks_break_ties_by_name(golden_clean):
+    assert [tuple(r) for r in R.purpose_top(golden_clean).collect()] == [
+        (1, "CAR", 5, 71.43), (2, "SMALL_BUSINESS", 1, 14.29), (3, "WEDDING", 1, 14.29),
+    ]
+
+
+def test_top_leaves_null_out_but_counts_it(spark):
+    df = spark.createDataFrame([("A",), ("A",), ("B",), (None,)], "grade string")
+    assert [tuple(r) for r in R.grade_top(df).collect()] == [("A", 2, 50.0), ("B", 1, 25.0)]
+    assert [tuple(r) for r in R.grade_top(df, 1).collect()] == [("A", 2, 50.0)]
+
+
+def test_describe(golden_clean):
+    got = by_key(R.numeric_describe(golden_clean), "column_name")
+    assert list(got) == STATISTIC_COLUMNS
+    assert tuple(got["loan_amnt"])[1:] == (7, 8142.8571, 3760.699, 0.0, 10000.0)
+    assert tuple(got["int_rate"])[1:] == (6, 9.5833, 1.0206, 7.5, 10.0)
+    assert tuple(got["fico_avg"])[1:] == (6, 662.1667, 0.4082, 662.0, 663.0)
+
+
+def test_value_stats(golden_clean):
+    assert tuple(R.loan_amnt_stats(golden_clean).first()) == (0.0, 10000.0, 8142.8571, 10000.0, 3760.699)
+    assert tuple(R.int_rate_stats(golden_clean).first()) == (7.5, 10.0, 9.5833, 10.0)
+    assert tuple(R.fico_stats(golden_clean).first()) == (662.0, 663.0, 662.1667, 662.0)
+
+
+def test_single_row_metrics(golden_clean):
+    assert tuple(R.key_metrics(golden_clean).first()) == (0.0, 10000.0, 8142.8571, 9.5833, 662.1667)
+    assert tuple(R.year_coverage(golden_clean).first()) == (2015, 2018, 2)
+    assert R.default_rate(golden_clean).first()[0] == 28.57
+    assert R.row_count(golden_clean).first()[0] == 7
+    assert tuple(R.run_summary(golden_clean, "here").first()) == (7, 28, "here")
+    assert rows(R.distinct_years(golden_clean)) == [(2015,), (2018,), (None,)]
+
+
+def test_preview(golden_clean):
+    assert [r["id"] for r in R.preview(golden_clean).collect()] == [None, "1", "2", "3", "4"]
+
+
+def test_correlations(golden_clean):
+    got = {r["column_name"]: tuple(r)[1:] for r in R.default_correlations(golden_clean).collect()}
+    assert got == {
+        "loan_amnt": (0.33735, "positive", "strong"),
+        "int_rate": (-0.632456, "negative", "strong"),
+        "annual_inc": (0.258199, "positive", "moderate"),
+        "dti": (None, None, None),
+        "fico_avg": (-0.316228, "negative", "strong"),
+        "income_to_loan_ratio": (0.316228, "positive", "strong"),
+    }
+
+
+def test_correlation_skips_nan_and_null(spark):
+    data = [(1.0, 0), (2.0, 1), (4.0, 1), (float("nan"), 0), (None, 1)]
+    df = spark.createDataFrame(data, "loan_amnt double, is_default int")
+    got = R.default_correlations(df, ["loan_amnt"]).first()["corr"]
+    assert got == pytest.approx(0.755929, abs=1e-6)
+
+
+def test_nan_counts_in_describe_and_is_missing_in_value_stats(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),)], "loan_amnt double")
+    described = R.numeric_describe(df, ["loan_amnt"]).first()
+    assert described["n"] == 3 and math.isnan(described["mean"])
+    assert tuple(R.loan_amnt_stats(df).first())[:4] == (1.0, 3.0, 2.0, 2.0)
+
+
+def test_portfolio_summary_agrees_with_the_single_reports(golden_clean):
+    summary = by_key(R.portfolio_summary(golden_clean), "column_name")
+    for report in (R.numeric_describe, R.numeric_quartiles, R.default_correlations):
+        for row in report(golden_clean).collect():
+            for column, value in row.asDict().items():
+                assert summary[row["column_name"]][column] == value
+
+
+def test_shares_add_up(golden_clean):
+    assert sum(r["pct"] for r in R.default_distribution(golden_clean).collect()) == pytest.approx(100, abs=0.05)
+
+
+def test_approx_quartiles_on_few_rows(golden_clean):
+    got = by_key(R.approx_quartiles(golden_clean, ["loan_amnt"]), "column_name")
+    assert tuple(got["loan_amnt"])[1:] == (7000.0, 10000.0, 10000.0)
+
+
+REPORTS = [
+    R.row_count, R.preview, R.default_distribution, R.year_distribution, R.grade_distribution, R.grade_top,
+    R.purpose_top, R.distinct_years, R.year_coverage, R.numeric_describe, R.key_metrics, R.numeric_quartiles,
+    R.approx_quartiles, R.loan_amnt_stats, R.int_rate_stats, R.fico_stats, R.default_correlations,
+    R.default_rate, R.portfolio_summary,
+]
+
+
+@pytest.mark.parametrize("report", REPORTS, ids=lambda r: r.__name__)
+def test_empty_input(spark, report):
+    empty = spark.createDataFrame([], CLEAN_SCHEMA)
+    got = report(empty).collect()
+    if report is R.default_rate:
+        assert got[0][0] == 0.0
+    if report is R.numeric_describe:
+        assert [tuple(r)[1:] for r in got] == [(0, None, None, None, None)] * 6
+
+
+@pytest.mark.parametrize("report", REPORTS, ids=lambda r: r.__name__)
+def test_single_row(golden_clean, report):
+    report(golden_clean.where("id = '1'")).collect()
