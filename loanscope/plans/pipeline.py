@@ -11,7 +11,7 @@ from loanscope.operators.cleaning import clean_loans, required_filter, select_co
 from loanscope.sources.formats import COLUMNAR
 from loanscope.sources.readers import read_loans, read_processed
 from loanscope.sources.scratch import scratch_path
-from loanscope.sources.writers import write_loans
+from loanscope.sources.writers import write_loans, write_report
 
 REPORTS = {
     "row_count": reports.row_count,
@@ -98,10 +98,13 @@ def run_pipeline(
     if reports_path:
         started = time.perf_counter()
         for name, table in {**tables, "row_loss": row_loss}.items():
-            table.write.mode("overwrite").json(f"{reports_path}/{name}")
+            write_report(table, f"{reports_path}/{name}")
         done("report", started, n_clean)
 
-    return PipelineRun(clean, row_loss, _phase_metrics(spark, phases), tables)
+    metrics = _phase_metrics(spark, phases)
+    if reports_path:
+        write_report(metrics, f"{reports_path}/phase_metrics")
+    return PipelineRun(clean, row_loss, metrics, tables)
 
 
 def _phase_metrics(spark: SparkSession, phases: list[tuple[str, float, int]]) -> DataFrame:

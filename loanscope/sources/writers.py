@@ -44,3 +44,8 @@ def write_loans(
     if max_records_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.save(path)
+
+
+def write_report(table: DataFrame, path: str) -> None:
+    """Saves a report as JSON, NULL values included."""
+    table.write.mode("overwrite").option("ignoreNullFields", False).json(path)

@@ -1,0 +1,73 @@
+import json
+import glob
+
+import pytest
+from support import by_key, rows
+
+from loanscope.__main__ import size_shuffles
+from loanscope.plans.pipeline import REPORTS, run_pipeline
+from loanscope.sources.manifest import input_manifest
+from loanscope.sources.readers import read_processed
+
+
+@pytest.mark.parametrize("output_format", ["parquet", "csv", "json", "orc"])
+def test_run_from_csv(spark, golden_path, golden_clean, tmp_path, output_format):
+    out = str(tmp_path / "out")
+    run = run_pipeline(spark, golden_path, out, output_format=output_format)
+    assert rows(run.clean) == rows(golden_clean)
+    assert rows(read_processed(spark, out, output_format)) == rows(golden_clean)
+    assert [tuple(r)[1:3] for r in run.row_loss.collect()] == [(13, 9), (9, 7), (13, 7)]
+    phases = by_key(run.phases, "phase")
+    assert phases["extract"]["rows"] == 13 and phases["transform"]["rows"] == 7
+    assert ("load" in phases) == (output_format in ("csv", "json"))
+    assert all(r["rows_per_second"] > 0 for r in phases.values())
+    assert {name: rows(t) for name, t in run.reports.items() if name in ("year_distribution", "default_rate")} == {
+        "year_distribution": rows(REPORTS["year_distribution"](golden_clean)), "default_rate": [(28.57,)],
+    }
+
+
+def test_reports_are_saved(spark, golden_path, tmp_path):
+    run_pipeline(spark, golden_path, str(tmp_path / "out"), partition_by_year=True, reports_path=str(tmp_path / "r"))
+    saved = {p.split("/")[-2] for p in glob.glob(f"{tmp_path}/r/*/part-*.json")}
+    assert saved == {*REPORTS, "run_summary", "row_loss", "phase_metrics"}
+    lines = [l for p in glob.glob(f"{tmp_path}/r/default_correlations/part-*") for l in open(p)]
+    assert not lines
+    lines = [json.loads(l) for p in glob.glob(f"{tmp_path}/r/portfolio_summary/part-*") for l in open(p)]
+    assert {l["column_name"]: l["corr"] for l in lines}["dti"] is None
+    assert len(glob.glob(f"{tmp_path}/out/year=*")) == 3
+
+
+def test_columnar_input_is_not_copied(spark, golden_raw, golden_clean, tmp_path, monkeypatch):
+    from loanscope.plans import pipeline
+
+    golden_raw.write.orc(str(tmp_path / "in"))
+    monkeypatch.setattr(pipeline, "scratch_path", lambda *a: pytest.fail("no staging needed"))
+    run = run_pipeline(spark, str(tmp_path / "in"), str(tmp_path / "out"), input_format="orc")
+    assert rows(run.clean) == rows(golden_clean)
+
+
+def test_the_raw_text_is_read_once(spark, golden_path, tmp_path):
+    """After the run nothing depends on the input file any more."""
+    copy = tmp_path / "in.csv"
+    copy.write_text(open(golden_path).read())
+    run = run_pipeline(spark, str(copy), str(tmp_path / "out"))
+    copy.write_text("changed")
+    assert run.clean.count() == 7
+    assert by_key(run.row_loss, "step")["total"]["rows_before"] == 13
+
+
+def test_empty_input_table(spark, golden_path, tmp_path):
+    header_only = tmp_path / "in.csv"
+    header_only.write_text(open(golden_path).readline())
+    run = run_pipeline(spark, str(header_only), str(tmp_path / "out"), reports_path=str(tmp_path / "r"))
+    assert run.clean.count() == 0
+    assert {r["pct_removed"] for r in run.row_loss.collect()} == {0.0}
+
+
+def test_shuffle_width_follows_the_input(spark, conf, golden_path):
+    conf("spark.sql.shuffle.partitions", "4")
+    size_shuffles(spark, input_manifest(spark, golden_path))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    large = spark.createDataFrame([(10 * 128 * 1024**2 + 1,)], "length bigint")
+    size_shuffles(spark, large)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "11"
