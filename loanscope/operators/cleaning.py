@@ -30,30 +30,25 @@ def required_filter(df: DataFrame) -> DataFrame:
     return df.where(" AND ".join(f"{c} IS NOT NULL" for c in REQUIRED_COLUMNS))
 
 
-def dedup_by_id(
-    df: DataFrame,
-    order_by: Sequence[str | Column] | None = None,
-    stable: bool = False,
-) -> DataFrame:
+def dedup_by_id(df: DataFrame, order_by: Sequence[str | Column] | None = None) -> DataFrame:
     """One row per ``id``; all rows without an id count as one key.
 
-    Each form reduces every map task to one row per key before its single
-    shuffle, so a key that holds a large share of the rows stays cheap.
+    Keeps the first row in the given order, ties broken by the other columns; by
+    default the smallest row over all columns. The choice depends on the data
+    alone, so tasks repeated after a lost executor make the same one, which
+    ``dropDuplicates`` does not promise when copies differ.
 
-    By default any row of a key is kept, and columns the caller does not use
-    are pruned from the scan and the shuffle. ``stable=True`` keeps the
-    smallest row, so tasks repeated after a lost executor choose the same one.
-    ``order_by`` keeps the first row in that order; the other columns break
-    ties, which makes it stable too.
+    Every map task reduces its rows to one per key before the single shuffle, so
+    a key that holds a large share of the rows stays cheap.
     """
     rest = [c for c in df.columns if c != KEY]
     if order_by:
         first = Window.partitionBy(KEY).orderBy(*order_by, *rest)
         return df.withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
-    if stable:
-        smallest = F.min(F.struct(*rest)).alias("_row")
-        return df.groupBy(KEY).agg(smallest).select(*[c if c == KEY else f"_row.{c}" for c in df.columns])
-    return df.dropDuplicates([KEY])
+    if len(rest) < 2:  # plain values aggregate by hashing, structs by sorting
+        return df.groupBy(KEY).agg(F.count("*").alias("_n"), *[F.min(c).alias(c) for c in rest]).select(*df.columns)
+    smallest = F.min(F.struct(*rest)).alias("_row")
+    return df.groupBy(KEY).agg(smallest).select(*[c if c == KEY else f"_row.{c}" for c in df.columns])
 
 
 def add_features(df: DataFrame) -> DataFrame:
@@ -80,14 +75,22 @@ def add_features(df: DataFrame) -> DataFrame:
 
 def clean_loans(
     raw: DataFrame,
+    columns: Sequence[str] | None = None,
     order_by: Sequence[str | Column] | None = None,
-    stable: bool = False,
 ) -> DataFrame:
     """The whole chain: select, required filter, features, one row per id.
 
     The features of a row depend on that row alone, so computing them before
     the dedup gives the same table, and the dedup then shuffles short typed
-    values instead of text. ``order_by`` refers to cleaned columns.
+    values instead of text.
+
+    ``columns`` asks for some cleaned columns besides ``id``; the others are
+    neither read nor shuffled. ``order_by`` may name any cleaned column.
     """
     features = raw.transform(select_columns).transform(required_filter).transform(add_features)
-    return dedup_by_id(features, order_by=order_by, stable=stable)
+    if columns is None:
+        return dedup_by_id(features, order_by)
+    wanted = [KEY, *(c for c in columns if c != KEY)]
+    if order_by:
+        return dedup_by_id(features, order_by).select(*wanted)
+    return dedup_by_id(features.select(*wanted))

@@ -54,7 +54,6 @@ def run_pipeline(
     Row formats are first copied to Parquet, so that text is parsed once. Tables
     written to shared storage take the place of a cache: a lost executor
     loses none of them, and every later step reads only the columns it needs.
-    The dedup is stable, so tasks that run again write the same rows.
 
     ``reports_path`` saves every report as JSON in a folder of its own.
     """
@@ -75,7 +74,7 @@ def run_pipeline(
     done("extract", started, n_raw)
 
     started = time.perf_counter()
-    cleaned = clean_loans(raw, stable=True)
+    cleaned = clean_loans(raw)
     columnar = output_format in COLUMNAR
     table_path = output_path if columnar else scratch_path(spark, "clean")
     table_format = output_format if columnar else "parquet"

@@ -10,7 +10,7 @@ from loanscope.operators.cleaning import clean_loans, dedup_by_id, required_filt
 from loanscope.operators.joins import join_lookup
 from loanscope.plans.loan_view import loan_view
 from loanscope.plans.pipeline import run_pipeline
-from loanscope.schema import TEXT_COLUMNS
+from loanscope.schema import KEY, PREVIEW_COLUMNS, STATISTIC_COLUMNS, TEXT_COLUMNS
 from loanscope.sources.manifest import input_manifest, output_manifest
 from loanscope.sources.readers import read_csv, read_loans, read_processed
 from loanscope.sources.scratch import scratch_path
@@ -38,8 +38,7 @@ def _written_raw(spark: SparkSession, sf_dir: str, fmt: str, **options) -> str:
 
 def _written_clean(spark: SparkSession, sf_dir: str, fmt: str, **options) -> str:
     path = scratch_path(spark, fmt)
-    # Rows are written after shuffles, so the dedup must not depend on task timing.
-    write_loans(clean_loans(raw(spark, sf_dir), stable=True), path, fmt, **options)
+    write_loans(clean(spark, sf_dir), path, fmt, **options)
     return path
 
 
@@ -84,13 +83,14 @@ def _on_raw(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(raw(spark, sf_dir))
 
 
-def _on_clean(report: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: report(clean(spark, sf_dir))
+def _on_clean(report: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
+    """A report over the cleaned columns it uses, or over all of them."""
+    return lambda spark, sf_dir: report(clean_loans(raw(spark, sf_dir), columns or None))
 
 
 def _feature(*columns: str) -> Query:
-    """Some cleaned columns by id; the rest of the chain is pruned away."""
-    return _on_clean(lambda df: df.select("id", *columns))
+    """Some cleaned columns by id."""
+    return lambda spark, sf_dir: clean_loans(raw(spark, sf_dir), columns)
 
 
 def _deduplicated(df: DataFrame) -> DataFrame:
@@ -136,29 +136,29 @@ QUERIES: dict[str, Query] = {
     "issue_year": _feature("year"),
     "normalize_text": _feature(*TEXT_COLUMNS),
     "clean_loans": clean,
-    "preview": _on_clean(reports.preview),
-    "row_count": _on_clean(reports.row_count),
+    "preview": _on_clean(reports.preview, *PREVIEW_COLUMNS),
+    "row_count": _on_clean(reports.row_count, KEY),
     "row_loss": _on_raw(quality.row_loss),
-    "default_distribution": _on_clean(reports.default_distribution),
-    "year_distribution": _on_clean(reports.year_distribution),
-    "grade_distribution": _on_clean(reports.grade_distribution),
-    "grade_top10": _on_clean(reports.grade_top),
-    "purpose_top10": _on_clean(reports.purpose_top),
-    "numeric_describe": _on_clean(reports.numeric_describe),
-    "key_metrics": _on_clean(reports.key_metrics),
-    "distinct_years": _on_clean(reports.distinct_years),
-    "year_coverage": _on_clean(reports.year_coverage),
-    "loan_amnt_stats": _on_clean(reports.loan_amnt_stats),
-    "int_rate_stats": _on_clean(reports.int_rate_stats),
-    "fico_stats": _on_clean(reports.fico_stats),
-    "numeric_quartiles": _on_clean(reports.numeric_quartiles),
-    "default_correlations": _on_clean(reports.default_correlations),
-    "default_rate": _on_clean(reports.default_rate),
-    "portfolio_summary": _on_clean(reports.portfolio_summary),
+    "default_distribution": _on_clean(reports.default_distribution, "is_default"),
+    "year_distribution": _on_clean(reports.year_distribution, "year"),
+    "grade_distribution": _on_clean(reports.grade_distribution, "grade"),
+    "grade_top10": _on_clean(reports.grade_top, "grade"),
+    "purpose_top10": _on_clean(reports.purpose_top, "purpose"),
+    "numeric_describe": _on_clean(reports.numeric_describe, *STATISTIC_COLUMNS),
+    "key_metrics": _on_clean(reports.key_metrics, "loan_amnt", "int_rate", "fico_avg"),
+    "distinct_years": _on_clean(reports.distinct_years, "year"),
+    "year_coverage": _on_clean(reports.year_coverage, "year"),
+    "loan_amnt_stats": _on_clean(reports.loan_amnt_stats, "loan_amnt"),
+    "int_rate_stats": _on_clean(reports.int_rate_stats, "int_rate"),
+    "fico_stats": _on_clean(reports.fico_stats, "fico_avg"),
+    "numeric_quartiles": _on_clean(reports.numeric_quartiles, *STATISTIC_COLUMNS),
+    "default_correlations": _on_clean(reports.default_correlations, *STATISTIC_COLUMNS, "is_default"),
+    "default_rate": _on_clean(reports.default_rate, "is_default"),
+    "portfolio_summary": _on_clean(reports.portfolio_summary, *STATISTIC_COLUMNS, "is_default"),
     "run_summary": lambda spark, sf_dir: reports.run_summary(clean(spark, sf_dir), sf_dir),
     "completeness": _on_raw(quality.completeness),
     "validation_report": _on_raw(quality.validation_report),
-    "output_validation": _on_clean(quality.output_validation),
+    "output_validation": _on_clean(quality.output_validation, "loan_status", "annual_inc", "is_default"),
     "phase_metrics": phase_metrics,
     "broadcast_join": broadcast_join,
 }

@@ -125,11 +125,11 @@ def test_dedup_keeps_one_whole_row_per_key(copies):
     assert set(rows(kept)) <= set(rows(copies))
 
 
-def test_dedup_stable_keeps_the_smallest_row(copies):
+def test_dedup_keeps_the_smallest_row(copies):
     expected = copies.groupBy("id").agg(F.min(F.struct("a", "b")).alias("r")).select("id", "r.*")
-    assert rows(dedup_by_id(copies, stable=True)) == rows(expected)
-    assert rows(dedup_by_id(copies.repartition(3), stable=True)) == rows(expected)
-    assert dedup_by_id(copies, stable=True).columns == copies.columns
+    assert rows(dedup_by_id(copies)) == rows(expected)
+    assert rows(dedup_by_id(copies.repartition(3))) == rows(expected)
+    assert dedup_by_id(copies).columns == copies.columns
 
 
 def test_dedup_order(copies):
@@ -139,7 +139,6 @@ def test_dedup_order(copies):
 
 def test_every_dedup_form_gives_the_same_loans(golden_raw, golden_clean):
     expected = rows(golden_clean)
-    assert rows(clean_loans(golden_raw, stable=True)) == expected
     assert rows(clean_loans(golden_raw, order_by=["issue_d"])) == expected
 
 
@@ -148,3 +147,19 @@ def test_cleaning_before_the_dedup_changes_nothing(golden_raw, golden_clean):
 
     late = golden_raw.transform(select_columns).transform(required_filter).transform(dedup_by_id)
     assert rows(add_features(late)) == rows(golden_clean)
+
+
+def test_some_columns_only(golden_raw, golden_clean):
+    assert rows(clean_loans(golden_raw, ["year", "grade"])) == rows(golden_clean.select("id", "year", "grade"))
+    assert rows(clean_loans(golden_raw, ["year"])) == rows(golden_clean.select("id", "year"))
+    assert rows(clean_loans(golden_raw, ["id"])) == rows(golden_clean.select("id"))
+    ordered = clean_loans(golden_raw, ["year"], order_by=[F.desc("loan_amnt")])
+    assert rows(ordered) == rows(golden_clean.select("id", "year"))
+
+
+@pytest.mark.parametrize("columns", [["id"], ["id", "a"], ["id", "b"], ["b", "id", "a"]])
+def test_dedup_is_the_same_for_any_partitioning(copies, columns):
+    chosen = copies.select(*columns)
+    kept = dedup_by_id(chosen)
+    assert kept.columns == columns and kept.count() == 101
+    assert rows(kept) == rows(dedup_by_id(chosen.repartition(5))) == rows(dedup_by_id(chosen.coalesce(1)))

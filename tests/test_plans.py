@@ -11,6 +11,7 @@ from loanscope.operators import reports as R
 from loanscope.operators.cleaning import clean_loans, dedup_by_id
 from loanscope.operators.joins import join_lookup
 from loanscope.plans.loan_view import loan_view
+from loanscope.schema import STATISTIC_COLUMNS
 from loanscope.sources.readers import read_processed
 from loanscope.sources.writers import write_loans
 
@@ -45,7 +46,7 @@ def test_reports_read_only_their_columns(spark, golden_clean, tmp_path):
 
 
 def test_cleaning_prunes_through_the_dedup(spark):
-    text = initial_plan(R.default_rate(clean_loans(loan_view(spark, SMALL))))
+    text = initial_plan(R.default_rate(clean_loans(loan_view(spark, SMALL), ["is_default"])))
     orders, customer = read_columns(text)
     assert orders == {"o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"}
     assert customer == {"c_custkey", "c_acctbal"}
@@ -66,10 +67,11 @@ def keyed_exchanges(df):
 
 
 def test_dedup_shuffles_once_after_a_partial_reduction(spark):
-    raw = spark.read.parquet(f"{SMALL}/orders.parquet").selectExpr("CAST(o_orderkey AS STRING) AS id", "o_totalprice")
+    raw = spark.read.parquet(f"{SMALL}/orders.parquet").selectExpr(
+        "CAST(o_orderkey AS STRING) AS id", "o_totalprice", "o_orderstatus"
+    )
     for kept, partial in [
-        (dedup_by_id(raw), "partial_first"),
-        (dedup_by_id(raw, stable=True), "partial_min"),
+        (dedup_by_id(raw), "partial_min"),
         (dedup_by_id(raw, order_by=["o_totalprice"]), r"row_number\(\), 1, Partial"),
     ]:
         text = initial_plan(kept)
@@ -78,9 +80,9 @@ def test_dedup_shuffles_once_after_a_partial_reduction(spark):
         assert re.search(r"Exchange hashpartitioning\(id.*" + partial, text, re.S)
 
 
-def test_numeric_reports_dedup_by_hashing(spark):
-    """Features come before the dedup, so no text is sorted for a numeric report."""
-    text = initial_plan(R.default_rate(clean_loans(loan_view(spark, SMALL))))
+def test_dedup_of_one_number_hashes(spark):
+    """Features come before the dedup, so no text is sorted for such a report."""
+    text = initial_plan(R.default_rate(clean_loans(loan_view(spark, SMALL), ["is_default"])))
     assert "SortAggregate" not in text
 
 
@@ -93,7 +95,7 @@ def test_hot_id(spark):
 
 
 def test_quantile_passes_share_the_dedup(spark):
-    df = R.numeric_quartiles(clean_loans(loan_view(spark, SMALL)))
+    df = R.numeric_quartiles(clean_loans(loan_view(spark, SMALL), STATISTIC_COLUMNS))
     df.collect()
     final = plan(df).split("== Initial Plan ==")[0]
     assert len(re.findall(r"FileScan parquet", final)) == 2  # orders and customer once
