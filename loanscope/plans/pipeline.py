@@ -10,7 +10,7 @@ from loanscope.operators import quality, reports
 from loanscope.operators.cleaning import clean_loans, required_filter, select_columns
 from loanscope.sources.formats import COLUMNAR
 from loanscope.sources.readers import read_loans, read_processed
-from loanscope.sources.scratch import scratch_path
+from loanscope.sources.scratch import remove_scratch, scratch_path
 from loanscope.sources.writers import write_loans, write_report
 
 REPORTS = {
@@ -64,6 +64,7 @@ def run_pipeline(
 
     started = time.perf_counter()
     raw = read_loans(spark, input_path, input_format, **csv_options).transform(select_columns)
+    staged = None
     if input_format not in COLUMNAR:
         staged = scratch_path(spark, "raw")
         write_loans(raw, staged)
@@ -82,6 +83,8 @@ def run_pipeline(
     clean = read_processed(spark, table_path, table_format)
     n_clean = clean.count()
     done("transform", started, n_clean)
+    if staged:
+        remove_scratch(spark, staged)
 
     if not columnar:
         started = time.perf_counter()

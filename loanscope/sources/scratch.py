@@ -24,3 +24,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = _local_folder().name
     return f"{folder.rstrip('/')}/loanscope-{uuid.uuid4().hex}/{name}"
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Deletes a table this module gave a path to, wherever it is stored."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
