@@ -1,6 +1,7 @@
 """The whole job: extract, clean and write, report."""
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,8 @@ REPORTS = {
     "output_validation": quality.output_validation,
 }
 
+REPORTS_AT_ONCE = 4
+
 
 @dataclass
 class PipelineRun:
@@ -99,8 +102,11 @@ def run_pipeline(
     tables["run_summary"] = reports.run_summary(clean, input_path)
     if reports_path:
         started = time.perf_counter()
-        for name, table in {**tables, "row_loss": row_loss}.items():
-            write_report(table, f"{reports_path}/{name}")
+        named = {**tables, "row_loss": row_loss}
+        paths = [f"{reports_path}/{name}" for name in named]
+        # Small independent jobs: run some side by side so that none idles the cluster.
+        with ThreadPoolExecutor(REPORTS_AT_ONCE) as pool:
+            list(pool.map(write_report, named.values(), paths))
         done("report", started, n_clean)
 
     metrics = _phase_metrics(spark, phases)

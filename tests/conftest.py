@@ -10,6 +10,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from loanscope.operators.cleaning import clean_loans  # noqa: E402
+from loanscope.schema import CLEAN_SCHEMA  # noqa: E402
 from loanscope.sources.readers import read_loans  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -18,9 +19,9 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .appName("loanscope-tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
@@ -43,7 +44,8 @@ def golden_raw(spark, golden_path):
 
 @pytest.fixture(scope="session")
 def golden_clean(spark, golden_raw):
-    return clean_loans(golden_raw)
+    """The cleaned golden rows, computed once."""
+    return spark.createDataFrame(clean_loans(golden_raw).collect(), CLEAN_SCHEMA)
 
 
 @pytest.fixture(scope="session")
