@@ -10,18 +10,24 @@ from loanscope.plans.pipeline import run_pipeline
 from loanscope.sources.formats import FORMATS
 from loanscope.sources.manifest import input_manifest
 
-BYTES_PER_PARTITION = 128 * 1024**2
+MB = 1024**2
+MAX_PARTITIONS = 50_000
 
 
-def size_shuffles(spark: SparkSession, manifest: DataFrame) -> None:
-    """Raises the shuffle width so that a partition of the input fits in memory.
+def size_partitions(spark: SparkSession, manifest: DataFrame) -> None:
+    """Sizes shuffle partitions and scan splits by the bytes of the input.
 
-    Adaptive execution merges small shuffle partitions but does not split
-    evenly large ones, so the width must follow the size of the input.
+    Adaptive execution merges small shuffle partitions but does not split evenly
+    large ones, so the width must follow the input. For very large inputs, fewer
+    and larger tasks keep the blocks between two tasks from getting tiny.
     """
     n_bytes = manifest.agg(F.sum("length")).first()[0] or 0
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set("spark.sql.shuffle.partitions", max(current, -(-n_bytes // BYTES_PER_PARTITION)))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = min(-(-n_bytes // (512 * MB)), MAX_PARTITIONS)
+    spark.conf.set("spark.sql.shuffle.partitions", max(width, needed))
+    split = min(n_bytes // MAX_PARTITIONS, 512 * MB)
+    if split > 128 * MB:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
 
 
 def main(argv: list[str]) -> None:
@@ -37,7 +43,7 @@ def main(argv: list[str]) -> None:
 
     spark = SparkSession.builder.appName("loanscope").getOrCreate()
     try:
-        size_shuffles(spark, input_manifest(spark, args.input))
+        size_partitions(spark, input_manifest(spark, args.input))
         run = run_pipeline(
             spark,
             args.input,

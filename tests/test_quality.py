@@ -1,8 +1,6 @@
-import pytest
-from support import by_key, rows
+from support import by_key
 
 from loanscope.operators import quality as Q
-from loanscope.operators.cleaning import select_columns
 from loanscope.schema import CLEAN_SCHEMA, RAW_SCHEMA
 
 
