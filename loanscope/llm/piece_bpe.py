@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Chunks a worker remembers, the longest of them, and the characters split at a time.
-REMEMBERED, REMEMBERED_LENGTH, STRETCH = 250_000, 48, 1 << 20
+REMEMBERED, REMEMBERED_LENGTH, STRETCH = 400_000, 48, 1 << 20
 #: Pairs a worker remembers.
-REMEMBERED_PAIRS = 500_000
+REMEMBERED_PAIRS = 400_000
 
 SCHEMA = "doc_id {0}, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -56,13 +56,19 @@ class PieceBpe:
                 self.ids[surface], self.scores[surface] = i, vocabulary.get_score(i)
                 text = surface.encode()
             self.bytes_of.append(text)
+        # Every character that occurs in a piece has a number, whether or not it is a piece.
+        self.surfaces = dict(enumerate(sorted({c for p in self.ids for c in p} | set(self.ids))))
+        self.numbers = {surface: n for n, surface in self.surfaces.items()}
+        self.packed = {n: self._pack(surface) for n, surface in self.surfaces.items()}
         self.matches = ahocorasick.Automaton()
-        for surface in self.ids:
-            if len(surface) > 1:
-                self.matches.add_word(surface, len(surface))
+        # Of each longer piece that merging ends in: its score and the two parts merged last.
+        self.parts: dict[str, tuple[float, str, str]] = {}
+        for n, surface in self.surfaces.items():
+            if len(surface) > 1 and len(merged := self.merge(surface, stop=2)) == 2:
+                self.parts[surface] = (self.scores[surface], *merged)
+                self.matches.add_word(surface, (len(surface), n))
         self.matches.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
+        self.pairs: dict[tuple[int, int], bool] = {}
         self.chunks: dict[str, bytes] = {}
         longer = [p for p in self.ids if len(p) > 1]
         spaces_lead = not any(re.search("[^ ] ", p) for p in longer)
@@ -77,8 +83,12 @@ class PieceBpe:
         if vocabulary.normalize(probe) != (SPACE + probe).replace(" ", SPACE):
             raise ValueError("only models that leave the text as it is and put a space in front are supported")
 
-    def merge(self, text: str) -> list[str]:
-        """Plain merging of a short text: the best-scored adjacent pair first, the leftmost of equals."""
+    def merge(self, text: str, stop: int = 1) -> list[str]:
+        """Plain merging of a short text: the best-scored adjacent pair first, the leftmost of equals.
+
+        Goes on until no pair is a piece or ``stop`` symbols are left; with two
+        left that together are no piece, to the end.
+        """
         symbols = list(text)
         while len(symbols) > 1:
             best, at = None, -1
@@ -87,56 +97,77 @@ class PieceBpe:
                 if score is not None and (best is None or score > best):
                     best, at = score, i
             if best is None:
+                return symbols if stop == 1 else []
+            if len(symbols) == stop:
                 break
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
-    def compatible(self, left: str, right: str) -> bool:
+    def _pack(self, token: str) -> bytes:
+        """Ids of a token as bytes: one if it is a piece, else those of its UTF-8 bytes."""
+        known = self.ids.get(token)
+        ids = [self.byte_ids[b] for b in token.encode()] if known is None else [known]
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether merging the two tokens' text gives the two tokens."""
         known = self.pairs.get((left, right))
         if known is None:
             if len(self.pairs) >= REMEMBERED_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merge(left + right) == [left, right]
+            known = self.pairs[left, right] = self._stay_apart(self.surfaces[left], self.surfaces[right])
         return known
 
-    def reachable(self, piece: str) -> bool:
-        known = self.whole.get(piece)
-        if known is None:
-            known = self.whole[piece] = self.merge(piece) == [piece]
-        return known
-
-    def encode_chunk(self, chunk: str) -> list[int]:
-        """Ids of a text without the space in front."""
-        n = len(chunk)
-        ending: dict[int, list[int]] = {}
-        for end, length in self.matches.iter(chunk):
-            ending.setdefault(end + 1, []).append(length)
-        last = [0] * (n + 1)
-        for end in range(1, n + 1):
-            last[end] = 1  # a single character ends every prefix that no longer piece does
-            for length in sorted(ending.get(end, ()), reverse=True):
-                start = end - length
-                piece = chunk[start:end]
-                if self.reachable(piece) and (not start or self.compatible(chunk[start - last[start] : start], piece)):
-                    last[end] = length
-                    break
-        ids: list[int] = []
-        end = n
-        while end:
-            piece = chunk[end - last[end] : end]
-            known = self.ids.get(piece)
-            if known is not None:
-                ids.append(known)
+    def _stay_apart(self, left: str, right: str) -> bool:
+        """Undoes the merges inside two tokens, the latest first, looking for an earlier one across the border.
+
+        Parts that meet at the border would have been merged if that ranks
+        before the merge just undone, which is by score and then from the left.
+        """
+        parts, limit, wins_ties = self.parts, float("-inf"), True
+        while True:
+            across = self.scores.get(left + right)
+            if across is not None and (across > limit or (wins_ties and across == limit)):
+                return False
+            in_left, in_right = parts.get(left), parts.get(right)
+            if in_left is None and in_right is None:
+                return True
+            if in_right is None or (in_left is not None and in_left[0] < in_right[0]):
+                limit, _, left = in_left
+                wins_ties = False
             else:
-                ids.extend(self.byte_ids[b] for b in reversed(piece.encode()))
-            end -= last[end]
-        ids.reverse()
-        return ids
+                limit, right, _ = in_right
+                wins_ties = True
+
+    def encode_chunk(self, chunk: str) -> bytes:
+        """Ids of a text without the space in front, packed."""
+        # Of the prefix of each length, the last token and its length; at first, the last character.
+        # A character that is in no piece has no number and goes with every neighbour.
+        last = [None, *map(self.numbers.get, chunk)]
+        length_of = [1] * len(last)
+        pairs, decided = self.pairs, -1
+        for end, (length, token) in self.matches.iter(chunk):  # of one end, the longest match first
+            if end == decided:
+                continue
+            left = last[end + 1 - length]
+            if left is not None:
+                known = pairs.get((left, token))
+                if not (self.compatible(left, token) if known is None else known):
+                    continue
+            last[end + 1], length_of[end + 1], decided = token, length, end
+        out = []
+        end = len(chunk)
+        while end:
+            token = last[end]
+            out.append(self._pack(chunk[end - 1]) if token is None else self.packed[token])
+            end -= length_of[end]
+        out.reverse()
+        return b"".join(out)
 
     def _packed(self, chunk: str) -> bytes:
         packed = self.chunks.get(chunk)
         if packed is None:
-            packed = np.array(self.encode_chunk(chunk), dtype="<u4").tobytes()
+            packed = self.encode_chunk(chunk)
             if len(chunk) <= REMEMBERED_LENGTH:
                 if len(self.chunks) >= REMEMBERED:
                     self.chunks.clear()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loanscope.llm.common import table
 from loanscope.llm.piece_bpe import token_digests
 from loanscope.llm.sharding import assign_shards
+from loanscope.llm.simhash import hex_fingerprint, near_duplicates
 from loanscope.llm.topk import top_k
 from loanscope.llm.url_rules import apply_rules
 
@@ -44,11 +45,17 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "pages"), rules)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = near_duplicates(table(spark, sf_dir, "documents"))
+    return labelled.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op2_exact_topk": op2_exact_topk,
     "op3_sentencepiece": op3_sentencepiece,
     "op7_sharding": op7_sharding,
     "op8_url_filters": op8_url_filters,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLE_SQL = {
