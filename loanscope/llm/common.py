@@ -1,5 +1,6 @@
 """Helpers that several operators share."""
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,3 +59,43 @@ def runs(*keys: np.ndarray) -> list[tuple[int, int]]:
         change |= key[1:] != key[:-1]
     starts = [0, *(np.flatnonzero(change) + 1).tolist()]
     return list(zip(starts, [*starts[1:], n]))
+
+
+#: Bytes of a text split into words at a time.
+STRETCH = 1 << 20
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_blocks(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a UTF-8 text, those of about STRETCH bytes at a time.
+
+    Words are what the six ASCII blanks part, which is what ``bytes.split`` does.
+    """
+    start = 0
+    while start < len(text):
+        blank = _BLANK.search(text, start + STRETCH) if len(text) - start > STRETCH else None
+        end = blank.start() if blank else len(text)
+        yield text[start:end].split()
+        start = end
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_bytes: int, seed: int = 0
+) -> DataFrame:
+    """``doc_id``, ``text`` and ``label`` of a bounded sample of rows to learn from.
+
+    Of each value of the label column, 0 and 1, the ``per_class`` ids with the
+    smallest seeded hash are taken, less those whose text is missing, empty or
+    longer than ``max_bytes``. Ids of the held-out fold and ids with contradicting
+    labels are not used; of rows that share an id, the smallest text is.
+    """
+    order = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    agreed = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min(label).alias("label"), F.max(label).alias("most")
+    )
+    agreed = agreed.where((F.col("label") == F.col("most")) & ~held_out("doc_id")).select("doc_id", "label")
+    picked = [agreed.where(F.col("label") == value).orderBy(order, "doc_id").limit(per_class) for value in (0, 1)]
+    # At most 2 * per_class short rows.
+    ids = F.broadcast(picked[0].union(picked[1]))
+    rows = docs.select("doc_id", "text").where(F.octet_length("text").between(1, max_bytes)).join(ids, "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).orderBy(order, "doc_id")

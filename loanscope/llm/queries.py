@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanscope.llm import langid, quality_classifier, quality_rules
 from loanscope.llm.common import table
+from loanscope.llm.html_extract import main_text
 from loanscope.llm.piece_bpe import token_digests
 from loanscope.llm.sharding import assign_shards
 from loanscope.llm.simhash import hex_fingerprint, near_duplicates
@@ -25,6 +27,10 @@ URL_RULES = [
 ]
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=10)
 
@@ -33,6 +39,16 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), Path(PIECE_MODEL).read_bytes())
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.apply_rules(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = assign_shards(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -50,12 +66,20 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_exact_topk": op2_exact_topk,
     "op3_sentencepiece": op3_sentencepiece,
+    "op5_language_id": op5_language_id,
+    "op6_quality_rules": op6_quality_rules,
     "op7_sharding": op7_sharding,
     "op8_url_filters": op8_url_filters,
     "op9_simhash": op9_simhash,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL = {

@@ -15,7 +15,6 @@ components by alternating star steps, in which every fingerprint only looks at
 the smallest of its neighbours.
 """
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,43 +23,42 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import checkpointed, encoded, runs
+from loanscope.llm.common import checkpointed, encoded, runs, word_blocks
 
 SEED = 42
 BITS, SEGMENT = 64, 2
 SEGMENTS = BITS // SEGMENT
 #: Every other bit; used to count the bits of all segments at once.
 EVEN_BITS = 0x5555555555555555
-STRETCH = 1 << 20
-BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
     """SimHash of a UTF-8 text: the bits set in over half of the hashes of its shingles."""
-    votes, n_hashes, carried, start = np.zeros(BITS, dtype=np.int64), 0, [], 0
-    while start < len(text) or (start == 0 and not text):
-        end = len(text)
-        if end - start > STRETCH and (blank := BLANK.search(text, start + STRETCH)):
-            end = blank.start()
-        # bytes.lower and bytes.split know A-Z and the six ASCII blanks only, as wanted.
-        words = carried + text[start:end].lower().split()
-        start = max(end, 1)
-        if len(words) < shingle and (start < len(text) or not words or n_hashes):
+    votes, n_hashes, carried = np.zeros(BITS, dtype=np.int64), 0, []
+    for block in word_blocks(text.lower()):  # bytes.lower knows A-Z only, as wanted
+        words = carried + block
+        if len(words) < shingle:
             carried = words
             continue
-        joined = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        last = max(0, len(words) - shingle)
-        spans = zip(starts[: last + 1].tolist(), ends[len(words) - last - 1 :].tolist())
-        digests = b"".join([xxhash.xxh64_digest(joined[a:b], SEED) for a, b in spans])
-        bits = np.unpackbits(np.frombuffer(digests, dtype=np.uint8).reshape(-1, 8), axis=1)
-        votes += bits.sum(axis=0, dtype=np.int64)
-        n_hashes += len(bits)
-        carried = words[last + 1 :]
+        votes += _votes(words, shingle)
+        n_hashes += len(words) - shingle + 1
+        carried = words[len(words) - shingle + 1 :]
+    if not n_hashes and carried:
+        votes, n_hashes = _votes(carried, len(carried)), 1
     return int.from_bytes(np.packbits(2 * votes > n_hashes).tobytes(), "big")
 
 
+def _votes(words: list[bytes], shingle: int) -> np.ndarray:
+    """How many of the shingles' hashes have each bit set, the highest bit first."""
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    spans = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist())
+    digests = b"".join([xxhash.xxh64_digest(joined[a:b], SEED) for a, b in spans])
+    bits = np.unpackbits(np.frombuffer(digests, dtype=np.uint8).reshape(-1, 8), axis=1)
+    return bits.sum(axis=0, dtype=np.int64)
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns and the 64-bit ``fp`` of every row, as a signed long.
 
