@@ -1,7 +1,9 @@
 """Helpers that several operators share."""
 
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -12,20 +14,39 @@ from pyspark.sql import functions as F
 FOLDS, HELD_OUT = 4, 2
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, written to the shared checkpoint folder, with the plan cut there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder ``spark.checkpoint.dir`` names; only a session that names none has one in its warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints").rstrip("/")
 
-    The folder is the one ``spark.checkpoint.dir`` names. Only a session that
-    names none gets one of its own, below its warehouse folder.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, written to the shared folder, with the plan cut there."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+@contextmanager
+def work_tables(spark: SparkSession) -> Iterator[Callable[[str, DataFrame], DataFrame]]:
+    """A function that writes a frame as a Parquet table in the shared folder and reads it back.
+
+    The tables live in a database of their own, which is dropped with them in the end.
+    """
+    database = f"work_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark)}/{database}'")
+
+    def written(name: str, df: DataFrame) -> DataFrame:
+        df.write.format("parquet").saveAsTable(f"{database}.{name}")
+        return spark.table(f"{database}.{name}")
+
+    try:
+        yield written
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def held_out(doc_id: Column | str) -> Column:
     """True for rows of the held-out fold; a missing id is in none."""
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loanscope.llm import langid, quality_classifier, quality_rules
 from loanscope.llm.common import table
 from loanscope.llm.html_extract import main_text
+from loanscope.llm.mixing import mix
 from loanscope.llm.piece_bpe import token_digests
 from loanscope.llm.sharding import assign_shards
 from loanscope.llm.simhash import hex_fingerprint, near_duplicates
@@ -39,6 +40,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), Path(PIECE_MODEL).read_bytes())
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), entropy=0.95, max_repeats=4.0, budget=1.0)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.train(docs))
@@ -74,6 +79,7 @@ QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_exact_topk": op2_exact_topk,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op7_sharding": op7_sharding,
@@ -98,6 +104,68 @@ WITH parts AS (
 SELECT query_id, rank, vec_id, score FROM (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scores
 ) WHERE rank <= 10
+""",
+    # Bisects the exponent, in millionths: ``e`` for the entropy, ``r`` for the repeats.
+    "op4_mixing": """
+WITH RECURSIVE counted AS (
+  SELECT doc_id, source, coalesce('=' || source, '') AS stratum,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_tokens
+  FROM documents
+), totals AS (
+  SELECT stratum, sum(n_tokens)::BIGINT AS tokens FROM counted GROUP BY 1
+), whole AS (
+  SELECT sum(tokens)::BIGINT AS total, count(*) FILTER (WHERE tokens > 0) AS n FROM totals
+), shares AS (
+  SELECT stratum, tokens, tokens / total::DOUBLE AS share FROM totals, whole
+), e(lo, hi) AS (
+  SELECT -1, 1000000
+  UNION ALL
+  SELECT CASE WHEN holds THEN lo ELSE mid END, CASE WHEN holds THEN mid ELSE hi END FROM (
+    SELECT lo, hi, mid, ln(z) - mid / 1e6 * g / z < 0.95 * ln(n) AS holds FROM (
+      SELECT any_value(lo) AS lo, any_value(hi) AS hi, mid, sum(pow(share, mid / 1e6)) AS z, sum(pow(share, mid / 1e6) * ln(share)) AS g
+      FROM (SELECT lo, hi, (lo + hi) // 2 AS mid FROM e WHERE hi - lo > 1) AS m, shares WHERE share > 0 GROUP BY mid
+    ) AS sums, whole
+  ) AS decided
+), r(lo, hi) AS (
+  SELECT -1, 1000000
+  UNION ALL
+  SELECT CASE WHEN holds THEN lo ELSE mid END, CASE WHEN holds THEN mid ELSE hi END FROM (
+    SELECT any_value(lo) AS lo, any_value(hi) AS hi, mid, max(pow(share, mid / 1e6 - 1)) / sum(pow(share, mid / 1e6)) <= 4 AS holds
+    FROM (SELECT lo, hi, (lo + hi) // 2 AS mid FROM r WHERE hi - lo > 1) AS m, shares WHERE share > 0 GROUP BY mid
+  ) AS decided
+), ends AS (
+  SELECT (SELECT min(hi) FROM e) AS e, (SELECT min(hi) FROM r) AS r
+), exponent AS (
+  SELECT greatest(CASE WHEN e < 1000000 THEN greatest(e - 1, 0) ELSE e END, r) / 1e6 AS a FROM ends
+), powers AS (
+  SELECT stratum, tokens, CASE WHEN share > 0 THEN pow(share, a) ELSE 0 END AS p FROM shares, exponent
+), weights AS (
+  SELECT stratum, tokens, round(p / (SELECT sum(p) FROM powers), 9) AS weight FROM powers
+), quotas AS (
+  SELECT stratum, weight,
+    CASE WHEN tokens > 0 THEN floor(weight * total)::BIGINT // tokens ELSE 1 END AS whole_blocks,
+    CASE WHEN tokens > 0 THEN floor(weight * total)::BIGINT % tokens ELSE 0 END AS left_over
+  FROM weights, whole
+), keyed AS (
+  SELECT c.*, weight, whole_blocks, left_over, md5(concat_ws('|', '0', whole_blocks, doc_id)) AS last_key
+  FROM counted c JOIN quotas USING (stratum)
+), summed AS (
+  SELECT *, sum(n_tokens) OVER (
+      PARTITION BY stratum ORDER BY (('0x' || substr(last_key, 1, 8))::BIGINT % 65536), last_key
+    ) AS so_far,
+    sum(n_tokens) OVER (PARTITION BY stratum ORDER BY (('0x' || substr(last_key, 1, 8))::BIGINT % 65536)) AS up_to
+  FROM keyed
+), ended AS (
+  SELECT *, ('0x' || substr(last_key, 1, 8))::BIGINT % 65536 AS bucket,
+    min(CASE WHEN up_to > left_over THEN ('0x' || substr(last_key, 1, 8))::BIGINT % 65536 END) OVER (PARTITION BY stratum) AS end_bucket
+  FROM summed
+), numbered AS (
+  SELECT *, whole_blocks + (left_over > 0 AND (bucket < end_bucket OR (bucket = end_bucket AND so_far <= left_over)))::INT AS n_blocks
+  FROM ended
+), drawn AS (
+  SELECT *, unnest(range(n_blocks)) AS block FROM numbered
+)
+SELECT doc_id, source, n_tokens, weight, block, md5(concat_ws('|', '0', block, doc_id)) AS draw_key FROM drawn
 """,
     "op8_url_filters": """
 WITH rules(rhost, rpath, rverdict) AS (VALUES

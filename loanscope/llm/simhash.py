@@ -237,7 +237,9 @@ def near_duplicates(
     words among themselves as well.
     """
     rows = checkpointed(fingerprints(docs, shingle, keep))
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    # The cells of a fingerprint take far more room than it does, hence not the few tasks its own size asks for.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")).repartition(tasks, "fp"))
     roots = components(close_pairs(distinct, max_distance)).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
