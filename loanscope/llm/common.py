@@ -53,6 +53,11 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == HELD_OUT, F.lit(False))
 
 
+def hash_bucket(key: Column | str, buckets: int) -> Column:
+    """Number of the equal part of all values that a hexadecimal hash falls into; in the order of the hashes."""
+    return F.shiftright(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * buckets, 32)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

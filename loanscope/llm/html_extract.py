@@ -96,6 +96,7 @@ class _Reader:
         self.blocks: list[Block] = []
         self.parts: list[str] = []
         self.linked, self.in_link, self.articles, self.heading = 0, False, 0, False
+        self.link_depth = 0
 
     def read(self, page: str) -> list[Block]:
         at = 0
@@ -145,7 +146,7 @@ class _Reader:
             self.close()
             self.heading = name in HEADINGS
         if name == "a":
-            self.in_link = "href" in source.lower()
+            self.in_link, self.link_depth = "href" in source.lower(), len(self.stack)
         if name in VOID_TAGS or name == "p" or name not in BLOCK_TAGS | HIDDEN_TAGS and not source:
             return
         around = self.stack[-1]
@@ -182,6 +183,7 @@ class _Reader:
                 if name not in BLOCK_TAGS and any(e.tag in BLOCK_TAGS for e in self.stack[depth + 1 :]):
                     return  # an inline end tag does not end the blocks inside
                 del self.stack[depth:]
+                self.in_link = self.in_link and self.link_depth <= depth  # a link ends with what it began in
                 return
 
 

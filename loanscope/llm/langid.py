@@ -104,10 +104,12 @@ class ContextTrees:
             for node in range(len(self.parent) - 1, 0, -1):  # a longer context counts for its shorter ones
                 counts[self.parent[node]] += counts[node]
             p = np.full(base, 1 / 256)
+            bytes_of = np.ones(base)
+            bytes_of[separator] = 256 - separator  # all bytes never seen share a place, each with the chance there
             chances = np.empty_like(counts)
             for node in range(len(self.parent)):
                 shorter = chances[self.parent[node]] if node else p
-                chances[node] = _escape(counts[node], shorter)
+                chances[node] = _escape(counts[node], shorter, bytes_of)
             self.bits[:, :, language] = -np.log2(chances)
 
     def code_lengths(self, texts: Iterator[str]) -> np.ndarray:
@@ -163,13 +165,13 @@ class ContextTrees:
         return names, np.where(has_letter, scores, 0.0)
 
 
-def _escape(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Chances of every symbol after a context, given those after the context one byte shorter."""
+def _escape(counts: np.ndarray, shorter: np.ndarray, bytes_of: np.ndarray) -> np.ndarray:
+    """Chances of every byte after a context, given those after the context one byte shorter."""
     seen = counts > 0
     distinct, total = int(seen.sum()), counts.sum()
     if not distinct:
         return shorter
-    left_over = shorter[~seen].sum()
+    left_over = (shorter * bytes_of)[~seen].sum()
     return np.where(seen, counts / (total + distinct), shorter * (distinct / (total + distinct) / max(left_over, 1e-300)))
 
 

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import checkpointed
+from loanscope.llm.common import checkpointed, hash_bucket
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Exponents are whole numbers of this part of 1.
@@ -146,7 +146,7 @@ def draw(
     def placed(rows: DataFrame) -> DataFrame:
         """Rows with the place of their document in the last block. Sources are few, so Spark broadcasts the quotas."""
         rows = rows.join(quotas, "stratum").withColumn("last_key", _key(seed, F.col("whole_blocks")))
-        return rows.withColumn("bucket", F.conv(F.substring("last_key", 1, 8), 16, 10).cast("long") % buckets)
+        return rows.withColumn("bucket", hash_bucket("last_key", buckets))
 
     lean = placed(counted.select(stratum, "doc_id", "n_tokens")).where("left_over > 0")
     sums = lean.groupBy("stratum", "bucket", "left_over").agg(F.sum("n_tokens").alias("in_bucket"))

@@ -150,18 +150,9 @@ WITH RECURSIVE counted AS (
   SELECT c.*, weight, whole_blocks, left_over, md5(concat_ws('|', '0', whole_blocks, doc_id)) AS last_key
   FROM counted c JOIN quotas USING (stratum)
 ), summed AS (
-  SELECT *, sum(n_tokens) OVER (
-      PARTITION BY stratum ORDER BY (('0x' || substr(last_key, 1, 8))::BIGINT % 65536), last_key
-    ) AS so_far,
-    sum(n_tokens) OVER (PARTITION BY stratum ORDER BY (('0x' || substr(last_key, 1, 8))::BIGINT % 65536)) AS up_to
-  FROM keyed
-), ended AS (
-  SELECT *, ('0x' || substr(last_key, 1, 8))::BIGINT % 65536 AS bucket,
-    min(CASE WHEN up_to > left_over THEN ('0x' || substr(last_key, 1, 8))::BIGINT % 65536 END) OVER (PARTITION BY stratum) AS end_bucket
-  FROM summed
+  SELECT *, sum(n_tokens) OVER (PARTITION BY stratum ORDER BY last_key) AS so_far FROM keyed
 ), numbered AS (
-  SELECT *, whole_blocks + (left_over > 0 AND (bucket < end_bucket OR (bucket = end_bucket AND so_far <= left_over)))::INT AS n_blocks
-  FROM ended
+  SELECT *, whole_blocks + (left_over > 0 AND so_far <= left_over)::INT AS n_blocks FROM summed
 ), drawn AS (
   SELECT *, unnest(range(n_blocks)) AS block FROM numbered
 )

@@ -1,9 +1,11 @@
 """Shards that each hold every source in its share of the whole.
 
 Rows of a source are shuffled by a seeded hash and ranked. Row ``r`` of the
-``n`` rows of its source gets the fraction ``(r + 1/2) / n``. All rows sorted by
-fraction interleave the sources evenly, and cutting that order into equal
-stretches gives shards whose row counts differ by at most one.
+``n`` rows of its source gets the fraction ``(r + u) / n``, with an offset ``u``
+between 0 and 1 that a hash gives the source, so that sources of one size do not
+move in step. All rows sorted by fraction interleave the sources evenly, and
+cutting that order into equal stretches gives shards whose row counts differ by
+at most one.
 
 Both rankings work in buckets: counts per bucket give each bucket its offset,
 and rows are ranked inside a bucket only. The first ranking takes its buckets
@@ -15,7 +17,7 @@ every source. Texts do not move: only the carried columns do.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import checkpointed
+from loanscope.llm.common import checkpointed, hash_bucket
 
 ROW_BYTES = 16
 
@@ -48,7 +50,7 @@ def assign_shards(
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("stratum"),
         F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"))).alias("shuffle_key"),
-    ).withColumn("bucket", F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("long") % buckets)
+    ).withColumn("bucket", hash_bucket("shuffle_key", buckets))
 
     counts = rows.groupBy("stratum", "bucket").count()
     stratum = Window.partitionBy("stratum")
@@ -60,7 +62,8 @@ def assign_shards(
     )
     ties = ("shuffle_key", "size", "text_crc32")
     in_bucket = Window.partitionBy("stratum", "bucket").orderBy(*ties)
-    fraction = (F.col("before") + F.row_number().over(in_bucket) - 0.5) / F.col("n_stratum")
+    offset = (hash_bucket(F.md5(F.concat_ws("|", F.lit(str(seed)), "stratum")), 1 << 16) + 0.5) / (1 << 16)
+    fraction = (F.col("before") + F.row_number().over(in_bucket) - 1 + offset) / F.col("n_stratum")
     ranked = checkpointed(
         rows.join(offsets, ["stratum", "bucket"])
         .withColumn("fraction", fraction)

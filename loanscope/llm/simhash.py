@@ -177,7 +177,7 @@ class _Homes:
         return i
 
     def ask(self, fps: np.ndarray) -> list[tuple[int, int]]:
-        """A link of each asking fingerprint, and those its other links add between fingerprints here."""
+        """Of each asking fingerprint one link, and those that join up fingerprints here not joined before."""
         out = []
         for first in range(0, len(fps) if len(self.fps) else 0, self.BLOCK):
             block = fps[first : first + self.BLOCK]
@@ -190,7 +190,7 @@ class _Homes:
                     out.append((int(block[row]), int(self.fps[column])))
                 elif (x := self._find(anchor)) != (y := self._find(column)):
                     self.root[y] = x
-                    out.append((int(self.fps[anchor]), int(self.fps[column])))
+                    out.append((int(block[row]), int(self.fps[column])))
         return out
 
 

@@ -1,0 +1,101 @@
+"""The pipeline against the same steps on plain lists, and what each stage does to odd rows."""
+
+import hashlib
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pytest
+import sentencepiece
+from llm.support import DOCS, ODD_TEXTS, SMALL, docs, rows, small
+from llm.test_simhash import classes, fingerprint
+
+import corpus_pipeline
+from loanscope.llm import quality_classifier, quality_rules
+from loanscope.llm.common import shared_folder, table
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Rows after each stage, every one from a table written and read again."""
+    from loanscope.llm.common import work_tables
+
+    out, current = {}, table(spark, SMALL, "documents")
+    with work_tables(spark) as written:
+        for name, stage in corpus_pipeline.STAGES:
+            current = written(name, stage(spark, current, SMALL))
+            out[name] = (current.schema, current.collect())
+    return out
+
+
+def test_order_and_columns(spark, stages):
+    assert list(stages) == ["quality_classifier", "quality_rules", "simhash_near_dedup", "mixing", "sentencepiece"]
+    schema = table(spark, SMALL, "documents").schema
+    for name in list(stages)[:-1]:
+        assert stages[name][0].fieldNames() == schema.fieldNames(), name
+
+
+def test_filters_keep_what_they_judge_good(spark, stages):
+    documents, labels = table(spark, SMALL, "documents"), table(spark, SMALL, "labels")
+    model = quality_classifier.train(documents, labels)
+    want = [r for r in small("documents") if model.scores([r["text"].encode()])[0] >= 0.7]
+    assert sorted(r["doc_id"] for r in stages["quality_classifier"][1]) == sorted(r["doc_id"] for r in want)
+    trees = quality_rules.train(documents, labels)
+    passed = []
+    for r in want:
+        counts, x = quality_rules.statistics(r["text"])
+        if not quality_rules.base_failed(np.array([counts]))[0] and trees.scores(np.array([x]))[0] >= 0.5:
+            passed.append(r["doc_id"])
+    assert sorted(r["doc_id"] for r in stages["quality_rules"][1]) == sorted(passed)
+
+
+def test_one_of_each_group(stages):
+    before = {r["doc_id"]: r["text"] for r in stages["quality_rules"][1]}
+    root = classes([fingerprint(t) for t in before.values()])
+    first = {}
+    for i in sorted(before):
+        first.setdefault(root[fingerprint(before[i])], i)
+    assert sorted(r["doc_id"] for r in stages["simhash_near_dedup"][1]) == sorted(first.values())
+
+
+def test_mixing_loses_nothing(stages):
+    before, after = (Counter(r["doc_id"] for r in stages[n][1]) for n in ("simhash_near_dedup", "mixing"))
+    assert set(before) == set(after) and max(after.values()) <= 4
+
+
+def test_tokens(stages):
+    library = sentencepiece.SentencePieceProcessor(model_proto=Path(corpus_pipeline.PIECE_MODEL).read_bytes())
+    want = []
+    for r in stages["mixing"][1]:
+        ids = library.encode(r["text"], add_bos=True, add_eos=True)
+        packed = np.array(ids, dtype="<u4").tobytes()
+        want.append((r["doc_id"], len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest()))
+    assert sorted(map(tuple, stages["sentencepiece"][1])) == sorted(want)
+
+
+def test_run_gives_the_last_stage_and_removes_its_tables(spark, stages):
+    assert rows(corpus_pipeline.run(spark, SMALL)) == sorted((tuple(r) for r in stages["sentencepiece"][1]), key=repr)
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    assert not list(folder.glob("work_*"))
+    assert not [d for d in spark.catalog.listDatabases() if d.name.startswith("work_")]
+
+
+def test_tables_go_when_a_stage_fails(spark, monkeypatch):
+    def broken(spark, docs, sf_dir):
+        raise RuntimeError("stop")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [corpus_pipeline.STAGES[1], ("broken", broken)])
+    with pytest.raises(RuntimeError):
+        corpus_pipeline.run(spark, SMALL)
+    assert not list(Path(shared_folder(spark).removeprefix("file:")).glob("work_*"))
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_odd_rows(spark, name, stage):
+    texts = ODD_TEXTS + ODD_TEXTS[:3]
+    df = docs(spark, texts, doc_id=[None, *range(1, len(texts))], lang=[None] * len(texts), source=[None, "a"] * 11)
+    df = df.selectExpr("*", "1 AS score", "2 AS kept", "3 AS fp", "4 AS block")
+    out = stage(spark, df, SMALL)
+    if name != "sentencepiece":
+        assert out.columns == df.columns and set(rows(out)) <= set(rows(df))
+    assert stage(spark, spark.createDataFrame([], DOCS), SMALL).collect() == []

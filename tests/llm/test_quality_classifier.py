@@ -1,0 +1,81 @@
+"""The compression classifier on held-out rows, and its odd cases."""
+
+import pickle
+
+import pytest
+from llm.support import DOCS, ODD_TEXTS, docs, held_out, training_rows
+
+from loanscope.llm.quality_classifier import classify, keep_good, score, train
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    data = training_rows(400)
+    labels = spark.createDataFrame([(i, q, 0) for i, _, q in data], LABELS)
+    return data, docs(spark, [t for _, t, _ in data]), labels
+
+
+@pytest.fixture(scope="module")
+def model(tables):
+    return train(tables[1], tables[2])
+
+
+def test_held_out_rows(tables):
+    data, df, labels = tables
+    got = {r["doc_id"]: r for r in classify(df, labels).collect()}
+    assert all(got[i]["held_out"] == held_out(i) for i, _, _ in data)
+    assert all(got[i]["predicted"] == (got[i]["score"] >= 0.7) for i, _, _ in data)
+    right = [got[i]["predicted"] == q for i, _, q in data if held_out(i)]
+    assert sum(right) / len(right) > 0.9
+
+
+def test_the_held_out_fold_is_not_learnt_from(spark, tables, model):
+    data, df, labels = tables
+    turned = spark.createDataFrame([(i, 1 - q if held_out(i) else q, 0) for i, _, q in data], LABELS)
+    other = train(df, turned)
+    assert (other.good, other.bad) == (model.good, model.bad) and (other.weights == model.weights).all()
+
+
+def test_training_does_not_depend_on_partitions(tables, model):
+    other = train(tables[1].repartition(7), tables[2].repartition(3))
+    assert (other.good, other.bad) == (model.good, model.bad) and (other.weights == model.weights).all()
+
+
+def test_contradicting_labels_are_not_used(spark, tables, model):
+    data, df, labels = tables
+    extra = spark.createDataFrame([(9_999, 0, 0), (9_999, 1, 0), (None, 1, 0), (5_000, None, 0)], LABELS)
+    other = train(df.union(docs(spark, ["zz " * 99], doc_id=[9_999])), labels.union(extra))
+    assert other.good == model.good
+
+
+def test_a_model_can_be_sent(model):
+    again = pickle.loads(pickle.dumps(model))
+    assert list(again.scores([b"a b c", b""])) == list(model.scores([b"a b c", b""]))
+
+
+def test_odd_texts(spark, model):
+    ids = [None, *range(1, 2 * len(ODD_TEXTS))]
+    df = docs(spark, ODD_TEXTS * 2, doc_id=ids).selectExpr("*", "1 AS score", "true AS held_out", "3 AS predicted")
+    got = score(df, model).collect()
+    assert len(got) == len(ids) and all(0 <= r["score"] <= 1 for r in got)
+    assert {r["score"] for r in got if r["doc_id"] in (None, len(ODD_TEXTS))} == {model.scores([b""])[0]}
+    assert not [r for r in got if r["doc_id"] is None][0]["held_out"]
+    kept = keep_good(df, model)
+    assert kept.schema == df.schema and kept.count() == sum(r["score"] >= 0.7 for r in got)
+
+
+def test_long_texts_count_whole(model):
+    """What comes after the first blocks matters."""
+    good, bad = (next(t for _, t, q in training_rows() if q == want) for want in (1, 0))
+    mixed = (good * 30 + bad * 300).encode()
+    assert model.scores([good.encode() * 330])[0] > model.scores([mixed])[0]
+
+
+def test_nothing_to_learn(spark):
+    empty, no_labels = spark.createDataFrame([], DOCS), spark.createDataFrame([], LABELS)
+    assert classify(empty, no_labels).collect() == []
+    assert [r["score"] for r in classify(docs(spark, ["a", None]), no_labels).collect()] == [0.5, 0.5]
+    few = spark.createDataFrame([(0, 1, 0), (1, 1, 0)], LABELS)
+    assert [r["predicted"] for r in classify(docs(spark, ["a", "b"]), few).collect()] == [0, 0]

@@ -1,0 +1,115 @@
+"""Counts, base rules and trees."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm.support import DOCS, ODD_TEXTS, WORD, docs, random_text, rows, training_rows
+
+from loanscope.llm import common
+from loanscope.llm.quality_rules import COUNTS, FEATURES, BoostedTrees, apply_rules, keep_passing, statistics, train
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    again = {i + d for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for d in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return [len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(again)]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="aabé#\n\t\x0b\x1c\x85 |<", max_size=60))
+def test_counts(text):
+    assert statistics(text)[0] == counts(text)
+
+
+def test_counts_in_stretches(monkeypatch):
+    monkeypatch.setattr(common, "STRETCH", 5)
+    for seed in range(20):
+        text = random_text(random.Random(seed % 3), 40).replace("a", "") + " a a a a"
+        assert statistics(text)[0] == counts(text)
+
+
+def test_windows_of_very_many_words():
+    """Three words as one number must not overflow, however many distinct words there are."""
+    from loanscope.llm.quality_rules import _repeated
+
+    words = np.arange(50)
+    words[10:13] = words[40:43]
+    assert _repeated(words, 3_000_000) == 6
+
+
+def test_trees_learn_and_keep_their_direction():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(1500, 3))
+    y = (x[:, 0] + 0.5 * np.sin(3 * x[:, 1]) + rng.normal(size=1500) * 0.3 > 0).astype(float)
+    direction = np.array([1, 0, -1])
+    trees = BoostedTrees().fit(x, y, direction)
+    assert ((trees.scores(x) > 0.5) == (y == 1)).mean() > 0.9
+    grid = np.linspace(-4, 4, 200)
+    for row in x[:50]:
+        for feature, way in ((0, 1), (2, -1)):
+            line = np.repeat(row[None], 200, axis=0)
+            line[:, feature] = grid
+            assert (way * np.diff(trees.scores(line)) >= -1e-12).all()
+
+
+def test_flat_trees_score_like_single_steps():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 4)).round(1)
+    trees = BoostedTrees(n_trees=7).fit(x, (x[:, 0] * x[:, 1] > 0).astype(float), np.zeros(4))
+
+    def walk(row):
+        total = 0.0
+        for node in trees.roots:
+            while trees.left[node] != node:
+                node = (trees.left if row[trees.feature[node]] <= trees.threshold[node] else trees.right)[node]
+            total += trees.value[node]
+        return 1 / (1 + np.exp(-total))
+
+    assert trees.scores(x) == pytest.approx([walk(r) for r in x])
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    data = training_rows()
+    return train(docs(spark, [t for _, t, _ in data]), spark.createDataFrame([(i, q, 0) for i, _, q in data], LABELS))
+
+
+def test_verdicts(spark, model):
+    data = training_rows(80, seed=11)
+    got = {r["doc_id"]: r for r in apply_rules(docs(spark, [t for _, t, _ in data]), model).collect()}
+    for i, text, good in data:
+        assert [got[i][c] for c in COUNTS] == counts(text)
+        n, repeated = counts(text)[0], counts(text)[4]
+        assert got[i]["base_failed"] == (n < 50 or 100 * repeated > 50 * n)
+        assert got[i]["kept"] == bool(good)
+
+
+def test_odd_texts(spark, model):
+    df = docs(spark, ODD_TEXTS * 2, doc_id=[None, *range(1, 2 * len(ODD_TEXTS))]).selectExpr("*", "1 AS kept", "2 AS n_words")
+    got = apply_rules(df, model).collect()
+    assert sorted(tuple(r)[1:6] for r in got) == sorted(tuple(counts(t)) for t in ODD_TEXTS * 2)
+    assert all(not r["kept"] for r in got if r["base_failed"])
+    kept = keep_passing(df, model)
+    assert kept.schema == df.schema and kept.count() == sum(r["kept"] for r in got)
+
+
+def test_empty_tables_and_no_labels(spark):
+    empty, no_labels = spark.createDataFrame([], DOCS), spark.createDataFrame([], LABELS)
+    model = train(empty, no_labels)
+    assert apply_rules(empty, model).collect() == []
+    text = " ".join(f"w{i}" for i in range(60))
+    assert [r["kept"] for r in apply_rules(docs(spark, [text, "short"]), model).collect()] == [True, False]
+    assert list(FEATURES.values()).count(-1) > 2 and rows(keep_passing(docs(spark, ["x"]), model)) == []
