@@ -3,32 +3,10 @@
 import argparse
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from loanscope.plans.pipeline import run_pipeline
 from loanscope.sources.formats import FORMATS
-from loanscope.sources.manifest import input_manifest
-
-MB = 1024**2
-MAX_PARTITIONS = 50_000
-
-
-def size_partitions(spark: SparkSession, manifest: DataFrame) -> None:
-    """Sizes shuffle partitions and scan splits by the bytes of the input.
-
-    Adaptive execution merges small shuffle partitions but does not split evenly
-    large ones, so the width must follow the input. For very large inputs, fewer
-    and larger tasks keep the blocks between two tasks from getting tiny.
-    """
-    n_bytes = manifest.agg(F.sum("length")).first()[0] or 0
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    needed = min(-(-n_bytes // (512 * MB)), MAX_PARTITIONS)
-    spark.conf.set("spark.sql.shuffle.partitions", max(width, needed))
-    split = min(n_bytes // MAX_PARTITIONS, 512 * MB)
-    if split > 128 * MB:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
-
 
 def main(argv: list[str]) -> None:
     parser = argparse.ArgumentParser(prog="loanscope", description="Clean a loan table and report on it.")
@@ -39,11 +17,17 @@ def main(argv: list[str]) -> None:
     parser.add_argument("--partition-by-year", action="store_true")
     parser.add_argument("--single-line", action="store_true", help="CSV values hold no line breaks: split large files")
     parser.add_argument("--reports", metavar="PATH", help="save every report and the run metrics as JSON here")
+    parser.add_argument("--shuffle-partitions", type=int, help="partitions of a shuffle; else as the session has it")
+    parser.add_argument("--split-bytes", type=int, help="most bytes of a scan task; else as the session has it")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("loanscope").getOrCreate()
     try:
-        size_partitions(spark, input_manifest(spark, args.input))
+        for setting, value in (
+            ("spark.sql.shuffle.partitions", args.shuffle_partitions), ("spark.sql.files.maxPartitionBytes", args.split_bytes)
+        ):
+            if value is not None:
+                spark.conf.set(setting, value)
         run = run_pipeline(
             spark,
             args.input,
@@ -54,6 +38,7 @@ def main(argv: list[str]) -> None:
             reports_path=args.reports,
             **({"multi_line": not args.single_line} if args.input_format == "csv" else {}),
         )
+        print(f"Input read by {run.input_tasks} tasks.")
         run.row_loss.show(truncate=False)
         run.phases.show(truncate=False)
     finally:

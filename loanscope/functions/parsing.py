@@ -26,6 +26,11 @@ def first_decimal(text: Column) -> Column:
     return F.regexp_extract(text.cast("string"), DECIMAL_PATTERN, 1).try_cast("double")
 
 
+def parse_number(value: Column) -> Column:
+    """Text to a double; takes an already numeric column as well."""
+    return value.try_cast("double")
+
+
 def parse_term(term: Column) -> Column:
     return first_integer(term)
 

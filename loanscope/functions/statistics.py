@@ -21,9 +21,8 @@ def safe_corr(x: Column, y: Column) -> Column:
     """
     x_pair = F.when(y.isNotNull(), x)
     y_pair = F.when(x.isNotNull(), y)
-    spread = F.stddev_samp(x_pair) * F.stddev_samp(y_pair)
-    varies = (F.var_pop(x_pair) > 0) & (F.var_pop(y_pair) > 0)
-    return F.when(varies, F.covar_samp(x, y) / F.when(varies, spread))
+    spread = F.sqrt(F.var_pop(x_pair)) * F.sqrt(F.var_pop(y_pair))
+    return F.when(spread > 0, F.covar_pop(x, y) / F.when(spread > 0, spread))
 
 
 def direction(corr: Column) -> Column:

@@ -4,12 +4,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanscope.functions import parsing as P
 from loanscope.schema import (
     CLEAN_COLUMNS,
     KEY,
-    RAW_SCHEMA,
+    NUMERIC_COLUMNS,
     REQUIRED_COLUMNS,
     SELECTED_COLUMNS,
     TEXT_COLUMNS,
@@ -17,37 +18,48 @@ from loanscope.schema import (
 
 
 def select_columns(df: DataFrame) -> DataFrame:
-    """The loan columns in their declared types; a missing column fails here."""
+    """The loan columns; a missing column fails here.
+
+    Columns keep their type, numbers or text; what is neither, as a nested value,
+    becomes text.
+    """
     chosen = df.select(*SELECTED_COLUMNS)
-    other = [f for f, g in zip(RAW_SCHEMA, chosen.schema) if f.dataType != g.dataType]
-    if not other:
-        return chosen
-    return chosen.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in other})
+    kept = (T.NumericType, T.StringType)
+    other = [f.name for f in chosen.schema if not isinstance(f.dataType, kept) or f.name == KEY]
+    return chosen.withColumns({c: F.col(c).cast("string") for c in other})
 
 
 def required_filter(df: DataFrame) -> DataFrame:
-    """Rows that have a status, an income and an issue month (NaN is a value)."""
+    """Rows that have a status, an income and an issue month; a malformed income is one."""
     return df.where(" AND ".join(f"{c} IS NOT NULL" for c in REQUIRED_COLUMNS))
 
 
+def _row_order(df: DataFrame) -> list[Column]:
+    """One total order of whole rows, the same for a number read as text and as a number."""
+    rest = [c for c in df.columns if c != KEY]
+    as_text = [c for c in rest if c in NUMERIC_COLUMNS and df.schema[c].dataType == T.StringType()]
+    return [P.parse_number(F.col(c)).alias(f"{c}_") if c in as_text else F.col(c) for c in rest] + [F.col(c) for c in as_text]
+
+
 def dedup_by_id(df: DataFrame, order_by: Sequence[str | Column] | None = None) -> DataFrame:
-    """One row per ``id``; all rows without an id count as one key.
+    """One whole row per ``id``; all rows without an id count as one key.
 
     Keeps the first row in the given order, ties broken by the other columns; by
-    default the smallest row over all columns. The choice depends on the data
-    alone, so tasks repeated after a lost executor make the same one, which
-    ``dropDuplicates`` does not promise when copies differ.
+    default the smallest row over all columns, numbers read as text compared as
+    numbers, missing values first. The choice depends on the data alone, so tasks
+    repeated after a lost executor make the same one, which ``dropDuplicates``
+    does not promise when copies differ.
 
     Every map task reduces its rows to one per key before the single shuffle, so
     a key that holds a large share of the rows stays cheap.
     """
-    rest = [c for c in df.columns if c != KEY]
+    order = _row_order(df)
     if order_by:
-        first = Window.partitionBy(KEY).orderBy(*order_by, *rest)
+        first = Window.partitionBy(KEY).orderBy(*order_by, *order)
         return df.withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
-    if len(rest) < 2:  # plain values aggregate by hashing, structs by sorting
-        return df.groupBy(KEY).agg(F.count("*").alias("_n"), *[F.min(c).alias(c) for c in rest]).select(*df.columns)
-    smallest = F.min(F.struct(*rest)).alias("_row")
+    # The order comes first in the struct and the row itself after it, as far as the order does not hold it.
+    ordered = {f.name for f in df.select(*order).schema}
+    smallest = F.min(F.struct(*order, *[c for c in df.columns if c != KEY and c not in ordered])).alias("_row")
     return df.groupBy(KEY).agg(smallest).select(*[c if c == KEY else f"_row.{c}" for c in df.columns])
 
 
@@ -58,15 +70,18 @@ def add_features(df: DataFrame) -> DataFrame:
     before its text is normalised.
     """
     issue_date = P.parse_issue_date(F.col("issue_d"))
+    amount, income = P.parse_number(F.col("loan_amnt")), P.parse_number(F.col("annual_inc"))
+    low, high = P.parse_number(F.col("fico_range_low")), P.parse_number(F.col("fico_range_high"))
     cleaned = {
+        **{c: P.parse_number(F.col(c)) for c in NUMERIC_COLUMNS},
         "term": P.parse_term(F.col("term")),
         "int_rate": P.parse_percent(F.col("int_rate")),
         "emp_length": P.parse_emp_length(F.col("emp_length")),
         "revol_util": P.parse_percent(F.col("revol_util")),
         "issue_d": issue_date,
         "is_default": P.default_flag(F.col("loan_status")),
-        "fico_avg": P.fico_avg(F.col("fico_range_low"), F.col("fico_range_high")),
-        "income_to_loan_ratio": P.income_to_loan_ratio(F.col("annual_inc"), F.col("loan_amnt")),
+        "fico_avg": P.fico_avg(low, high),
+        "income_to_loan_ratio": P.income_to_loan_ratio(income, amount),
         "year": P.issue_year(issue_date),
         **{c: P.normalize_text(F.col(c)) for c in TEXT_COLUMNS},
     }
@@ -78,19 +93,12 @@ def clean_loans(
     columns: Sequence[str] | None = None,
     order_by: Sequence[str | Column] | None = None,
 ) -> DataFrame:
-    """The whole chain: select, required filter, features, one row per id.
+    """The whole chain: select, required filter, one row per id, features.
 
-    The features of a row depend on that row alone, so computing them before
-    the dedup gives the same table, and the dedup then shuffles short typed
-    values instead of text.
-
-    ``columns`` asks for some cleaned columns besides ``id``; the others are
-    neither read nor shuffled. ``order_by`` may name any cleaned column.
+    Which copy of a loan stays is decided on its whole raw row, before anything
+    else is looked at, so every report of a table speaks of the same loans.
+    ``columns`` asks for some cleaned columns besides ``id``, of the same rows.
+    ``order_by`` is evaluated on the raw columns.
     """
-    features = raw.transform(select_columns).transform(required_filter).transform(add_features)
-    if columns is None:
-        return dedup_by_id(features, order_by)
-    wanted = [KEY, *(c for c in columns if c != KEY)]
-    if order_by:
-        return dedup_by_id(features, order_by).select(*wanted)
-    return dedup_by_id(features.select(*wanted))
+    cleaned = add_features(dedup_by_id(required_filter(select_columns(raw)), order_by))
+    return cleaned if columns is None else cleaned.select(KEY, *(c for c in columns if c != KEY))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loanscope.functions import parsing as P
 from loanscope.functions.statistics import percent
 from loanscope.operators.cleaning import select_columns
-from loanscope.schema import KEY, REQUIRED_COLUMNS, SELECTED_COLUMNS
+from loanscope.schema import KEY, NUMERIC_COLUMNS, REQUIRED_COLUMNS, SELECTED_COLUMNS
 
 
 def _is_complete() -> Column:
@@ -76,8 +76,9 @@ def _empty() -> Column:
 
 
 def validation_report(raw: DataFrame) -> DataFrame:
-    """Violations of the input rules: critical nulls, text that does not parse, no rows."""
+    """Violations of the input rules: critical nulls, text and numbers that do not parse, no rows."""
     parsed = {
+        **{c: P.parse_number(F.col(c)) for c in NUMERIC_COLUMNS},
         "term": P.parse_term(F.col("term")),
         "int_rate": P.parse_percent(F.col("int_rate")),
         "emp_length": P.parse_emp_length(F.col("emp_length")),
@@ -86,7 +87,7 @@ def validation_report(raw: DataFrame) -> DataFrame:
     }
     rules = {f"missing_{c}": F.count_if(F.col(c).isNull()) for c in [KEY, *REQUIRED_COLUMNS]}
     for c, value in parsed.items():
-        rules[f"unparsed_{c}"] = F.count_if((F.col(c) != "") & value.isNull())
+        rules[f"unparsed_{c}"] = F.count_if((F.col(c).cast("string") != "") & value.isNull())
     rules["empty_input"] = _empty()
     rules["empty_output"] = F.when(F.count_if(_is_complete()) == 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
     return _violations(raw.transform(select_columns), rules)

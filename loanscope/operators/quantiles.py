@@ -87,8 +87,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
             .drop("n")
         )
 
-    # min and max are the values at the lower and the upper rank.
+    # min and max are the values at the lower and the upper rank; between equal ones, infinite or not, lies no other.
     return (
         state.groupBy("column_name", "probability")
-        .agg(F.expr("min(lo) + (max(lo) - min(lo)) * max(position - floor(position))").alias("value"))
+        .agg(F.min("lo").alias("lo"), F.max("lo").alias("hi"), F.max(F.expr("position - floor(position)")).alias("part"))
+        .selectExpr("column_name", "probability", "CASE WHEN lo = hi THEN lo ELSE lo + (hi - lo) * part END AS value")
     )

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from loanscope.functions.statistics import direction, percent, safe_corr, strength, without_nan
 from loanscope.operators.quantiles import exact_quantiles
 from loanscope.schema import KEY, PREVIEW_COLUMNS, STATISTIC_COLUMNS
-
-
+from loanscope.sources.scratch import checkpointed
 
 
 def row_count(df: DataFrame) -> DataFrame:
+    if "grouped_by" in df.columns:
+        return _counts(df, "is_default").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     return df.agg(F.count("*").alias("n"))
 
 
@@ -28,7 +29,21 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 # --- Distributions ---
 
 
+GROUPED_COLUMNS = ["is_default", "year", "grade", "purpose"]
+
+
+def grouped_counts(df: DataFrame, columns: Sequence[str] = GROUPED_COLUMNS) -> DataFrame:
+    """Rows per value of each column, from one aggregate: ``grouped_by``, the columns, ``n``.
+
+    The distributions and shares of this module take such a table in place of the loans.
+    """
+    name = F.coalesce(*[F.when(F.grouping(c) == 0, F.lit(c)) for c in columns])
+    return df.groupingSets([[c] for c in columns], *columns).agg(name.alias("grouped_by"), F.count("*").alias("n"))
+
+
 def _counts(df: DataFrame, key: str) -> DataFrame:
+    if "grouped_by" in df.columns:
+        return df.where(F.col("grouped_by") == key).select(key, "n")
     return df.groupBy(key).agg(F.count("*").alias("n"))
 
 
@@ -74,7 +89,7 @@ def distinct_years(df: DataFrame) -> DataFrame:
 
 
 def year_coverage(df: DataFrame) -> DataFrame:
-    return df.agg(
+    return _counts(df, "year").agg(
         F.min("year").alias("min_year"),
         F.max("year").alias("max_year"),
         F.count_distinct("year").alias("n_years"),
@@ -94,14 +109,22 @@ def _describe(value: Column) -> list[Column]:
     ]
 
 
+def _wide(columns: Sequence[str], measures) -> list[Column]:
+    """``measures(column)`` of each column, a struct per column."""
+    return [F.struct(*measures(c)).alias(c) for c in columns]
+
+
+def _long(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return wide.unpivot([], list(columns), "column_name", "measures").select("column_name", "measures.*")
+
+
 def _per_column(df: DataFrame, columns: Sequence[str], measures) -> DataFrame:
     """``measures(column)`` of each column, one row per column.
 
     One aggregate over the unexpanded rows; only its single result row is
     turned from wide to long.
     """
-    wide = df.agg(*[F.struct(*measures(c)).alias(c) for c in columns])
-    return wide.unpivot([], list(columns), "column_name", "measures").select("column_name", "measures.*")
+    return _long(df.agg(*_wide(columns, measures)), columns)
 
 
 def numeric_describe(df: DataFrame, columns: Sequence[str] = STATISTIC_COLUMNS) -> DataFrame:
@@ -109,14 +132,18 @@ def numeric_describe(df: DataFrame, columns: Sequence[str] = STATISTIC_COLUMNS)
     return _per_column(df, columns, lambda c: _describe(F.col(c).cast("double")))
 
 
-def key_metrics(df: DataFrame) -> DataFrame:
-    return df.agg(
+def _key_metrics() -> list[Column]:
+    return [
         F.min("loan_amnt").alias("min_loan"),
         F.max("loan_amnt").alias("max_loan"),
         F.round(F.avg("loan_amnt"), 4).alias("avg_loan"),
         F.round(F.avg("int_rate"), 4).alias("avg_int_rate"),
         F.round(F.avg("fico_avg"), 4).alias("avg_fico"),
-    )
+    ]
+
+
+def key_metrics(df: DataFrame) -> DataFrame:
+    return df.agg(*_key_metrics())
 
 
 def _quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -185,7 +212,18 @@ def default_correlations(df: DataFrame, columns: Sequence[str] = STATISTIC_COLUM
 
 def default_rate(df: DataFrame) -> DataFrame:
     """Percent of loans in default; 0 for an empty table."""
-    return df.agg(F.coalesce(F.round(F.avg("is_default") * 100, 2), F.lit(0.0)).alias("default_rate_pct"))
+    counts = _counts(df, "is_default").where("is_default IS NOT NULL")
+    rate = F.round(F.try_divide(F.sum(F.col("is_default") * F.col("n")), F.sum("n")) * 100, 2)
+    return counts.agg(F.coalesce(rate, F.lit(0.0)).alias("default_rate_pct"))
+
+
+def _portfolio_measures(column: str) -> list[Column]:
+    return [*_describe(without_nan(F.col(column))), _correlation(column).alias("corr")]
+
+
+def _portfolio(measures: DataFrame, quartiles: DataFrame) -> DataFrame:
+    # One row per column on the broadcast side.
+    return _with_labels(measures.join(F.broadcast(quartiles), "column_name", "left"))
 
 
 def portfolio_summary(df: DataFrame, columns: Sequence[str] = STATISTIC_COLUMNS) -> DataFrame:
@@ -194,11 +232,32 @@ def portfolio_summary(df: DataFrame, columns: Sequence[str] = STATISTIC_COLUMNS)
     All plain measures share one aggregate, so the table is read once for them
     and three times for the quartiles, however many columns are asked for.
     """
-    measures = _per_column(
-        df, columns, lambda c: [*_describe(without_nan(F.col(c))), _correlation(c).alias("corr")]
-    )
-    # One row per column on the broadcast side.
-    return _with_labels(measures.join(F.broadcast(_quartiles(df, columns)), "column_name", "left"))
+    return _portfolio(_per_column(df, columns, _portfolio_measures), _quartiles(df, columns))
+
+
+def all_reports(df: DataFrame) -> dict[str, DataFrame]:
+    """Every report of a written table, from one count of groups, one aggregate and one set of quartiles.
+
+    These three small tables are written to the shared folder at once; what the
+    reports do with them costs next to nothing.
+    """
+    groups = checkpointed(grouped_counts(df))
+    metrics = F.struct(*_key_metrics()).alias("key_metrics")
+    wide = checkpointed(df.agg(*_wide(STATISTIC_COLUMNS, _portfolio_measures), metrics))
+    quartiles = checkpointed(_quartiles(df, STATISTIC_COLUMNS))
+    return {
+        "row_count": row_count(groups),
+        "preview": preview(df),
+        "default_distribution": default_distribution(groups),
+        "year_distribution": year_distribution(groups),
+        "grade_distribution": grade_distribution(groups),
+        "grade_top10": grade_top(groups),
+        "purpose_top10": purpose_top(groups),
+        "key_metrics": wide.select("key_metrics.*"),
+        "year_coverage": year_coverage(groups),
+        "default_rate": default_rate(groups),
+        "portfolio_summary": _portfolio(_long(wide.drop("key_metrics"), STATISTIC_COLUMNS), quartiles),
+    }
 
 
 def run_summary(df: DataFrame, source: str) -> DataFrame:

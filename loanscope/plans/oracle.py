@@ -1,7 +1,7 @@
 """The same results in standard SQL, for comparison on the same tables."""
 
-from loanscope.plans.loan_view import LOAN_EXPRESSIONS, REPEATED
-from loanscope.schema import CLEAN_COLUMNS, SELECTED_COLUMNS, STATISTIC_COLUMNS, TEXT_COLUMNS
+from loanscope.plans.loan_view import LOAN_EXPRESSIONS, REPEATED, UPDATED
+from loanscope.schema import CLEAN_COLUMNS, NUMERIC_COLUMNS, SELECTED_COLUMNS, STATISTIC_COLUMNS, TEXT_COLUMNS
 
 _SELECTED = ", ".join(SELECTED_COLUMNS)
 _CLEAN = ", ".join(CLEAN_COLUMNS)
@@ -15,7 +15,15 @@ _EMP_LENGTH = (
 )
 _ISSUE_DATE = "CAST(try_strptime(issue_d, '%b-%Y') AS DATE)"
 
+_NUMBER = {c: f"TRY_CAST({c} AS DOUBLE)" for c in NUMERIC_COLUMNS}
+# Copies of a loan in the order of their columns, numbers as numbers, then the text of the numbers.
+_ORDER = ", ".join(
+    f"{c} NULLS FIRST"
+    for c in [*(_NUMBER.get(c, c) for c in SELECTED_COLUMNS if c != "id"), *(c for c in SELECTED_COLUMNS if c in _NUMBER)]
+)
+
 _REPLACED = {
+    **_NUMBER,
     "term": _INTEGER.format("term"),
     "int_rate": _DECIMAL.format("int_rate"),
     "revol_util": _DECIMAL.format("revol_util"),
@@ -25,8 +33,8 @@ _REPLACED = {
 }
 _DERIVED = {
     "is_default": "CAST(CASE WHEN loan_status IN ('Charged Off', 'Default') THEN 1 ELSE 0 END AS INTEGER)",
-    "fico_avg": "CAST(round((fico_range_low + fico_range_high) / 2, 0) AS INTEGER)",
-    "income_to_loan_ratio": "CASE WHEN loan_amnt > 0 THEN round(annual_inc / loan_amnt, 2) END",
+    "fico_avg": f"CAST(round(({_NUMBER['fico_range_low']} + {_NUMBER['fico_range_high']}) / 2, 0) AS INTEGER)",
+    "income_to_loan_ratio": f"CASE WHEN {_NUMBER['loan_amnt']} > 0 THEN round({_NUMBER['annual_inc']} / {_NUMBER['loan_amnt']}, 2) END",
     "year": f"CAST(year({_ISSUE_DATE}) AS INTEGER)",
 }
 _FEATURES = ", ".join(
@@ -38,18 +46,24 @@ WITH base AS (
   SELECT o_orderkey AS k, o_orderdate AS d, *
   FROM orders JOIN customer ON o_custkey = c_custkey
 ), loans AS (
-  SELECT {_VIEW} FROM base
-  UNION ALL
-  SELECT {_VIEW} FROM base WHERE {REPEATED}
+  SELECT {_VIEW} FROM (
+    SELECT *, 0 AS copy FROM base
+    UNION ALL
+    SELECT *, 1 AS copy FROM base WHERE {REPEATED}
+    UNION ALL
+    SELECT *, 2 AS copy FROM base WHERE {UPDATED} AND NOT {REPEATED}
+  )
 ), required AS (
   SELECT * FROM loans
   WHERE loan_status IS NOT NULL AND annual_inc IS NOT NULL AND issue_d IS NOT NULL
 ), deduped AS (
   SELECT * EXCLUDE (rn)
-  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loan_amnt) AS rn FROM required)
+  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_ORDER}) AS rn FROM required)
   WHERE rn = 1
 ), clean AS (
   SELECT {_FEATURES} FROM deduped
+), faulty AS (
+  SELECT * REPLACE (CASE WHEN grade = 'C' THEN 2 ELSE is_default END AS is_default) FROM (SELECT {_FEATURES} FROM loans)
 )
 """
 
@@ -146,7 +160,7 @@ _INPUT_RULES = {
     **{f"missing_{c}": _count(f"{c} IS NULL") for c in ("id", "loan_status", "annual_inc", "issue_d")},
     **{
         f"unparsed_{c}": _count(f"{c} <> '' AND ({_REPLACED[c]}) IS NULL")
-        for c in ("term", "int_rate", "emp_length", "revol_util", "issue_d")
+        for c in (*NUMERIC_COLUMNS, "term", "int_rate", "emp_length", "revol_util", "issue_d")
     },
     "empty_input": "CAST(count(*) = 0 AS BIGINT)",
     "empty_output": f"CAST({_count('loan_status IS NOT NULL AND annual_inc IS NOT NULL AND issue_d IS NOT NULL')} = 0 "
@@ -156,7 +170,7 @@ _OUTPUT_RULES = {
     "missing_loan_status": _count("loan_status IS NULL"),
     "missing_annual_inc": _count("annual_inc IS NULL"),
     "invalid_is_default": _count("is_default IS NULL OR is_default NOT IN (0, 1)"),
-    "repeated_id": "count(*) - (SELECT count(*) FROM (SELECT DISTINCT id FROM clean))",
+    "repeated_id": "count(*) - (SELECT count(*) FROM (SELECT DISTINCT id FROM faulty))",
     "empty_output": "CAST(count(*) = 0 AS BIGINT)",
 }
 
@@ -228,7 +242,16 @@ ORACLE_SQL: dict[str, str] = {
         )
     ),
     "validation_report": _violations("loans", _INPUT_RULES),
-    "output_validation": _violations("clean", _OUTPUT_RULES),
+    "output_validation": _violations("faulty", _OUTPUT_RULES),
+    "input_rows": _union(f"SELECT '{t}.parquet' AS file_name, count(*) AS n_rows FROM {t}" for t in ("orders", "customer")),
+    "run_summary": _sql(f"SELECT count(*) AS n_rows, CAST({len(CLEAN_COLUMNS)} AS INTEGER) AS n_columns, 'loans' AS source FROM clean"),
+    "phase_rows": _sql(
+        "SELECT 'extract' AS phase, count(*) AS rows FROM loans UNION ALL "
+        + _union(f"SELECT '{phase}' AS phase, count(*) AS rows FROM clean" for phase in ("transform", "load", "report"))
+    ),
+    "output_listing": _sql(
+        "SELECT count(*) AS n_rows, TRUE AS several_files, TRUE AS all_files_csv, TRUE AS main_file_is_largest FROM loans"
+    ),
     "broadcast_join": (
         "SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey"
     ),

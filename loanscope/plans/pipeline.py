@@ -9,36 +9,22 @@ from pyspark.sql import functions as F
 
 from loanscope.operators import quality, reports
 from loanscope.operators.cleaning import clean_loans, required_filter, select_columns
-from loanscope.sources.formats import COLUMNAR
+from loanscope.sources.formats import COLUMNAR, check_format
 from loanscope.sources.readers import read_loans, read_processed
-from loanscope.sources.scratch import remove_scratch, scratch_path
+from loanscope.sources.scratch import checkpointed, work_folder
 from loanscope.sources.writers import write_loans, write_report
 
-REPORTS = {
-    "row_count": reports.row_count,
-    "preview": reports.preview,
-    "default_distribution": reports.default_distribution,
-    "year_distribution": reports.year_distribution,
-    "grade_distribution": reports.grade_distribution,
-    "grade_top10": reports.grade_top,
-    "purpose_top10": reports.purpose_top,
-    "key_metrics": reports.key_metrics,
-    "year_coverage": reports.year_coverage,
-    "default_rate": reports.default_rate,
-    "portfolio_summary": reports.portfolio_summary,
-    "output_validation": quality.output_validation,
-}
-
 REPORTS_AT_ONCE = 4
 
 
 @dataclass
 class PipelineRun:
-    """Tables of one run. ``reports`` are lazy plans over the written clean table."""
+    """Tables of one run, over what it wrote. ``input_tasks`` read the input side by side."""
 
     clean: DataFrame
     row_loss: DataFrame
     phases: DataFrame
+    input_tasks: int
     reports: dict[str, DataFrame] = field(default_factory=dict)
 
 
@@ -57,9 +43,17 @@ def run_pipeline(
     Row formats are first copied to Parquet, so that text is parsed once. Tables
     written to shared storage take the place of a cache: a lost executor
     loses none of them, and every later step reads only the columns it needs.
+    They lie in a work folder of the run, which is removed when it ends or fails.
 
     ``reports_path`` saves every report as JSON in a folder of its own.
     """
+    check_format(input_format)
+    check_format(output_format)
+    with work_folder(spark) as work:
+        return _run(spark, input_path, output_path, input_format, output_format, partition_by_year, reports_path, work, csv_options)
+
+
+def _run(spark, input_path, output_path, input_format, output_format, partition_by_year, reports_path, work, csv_options):
     phases: list[tuple[str, float, int]] = []
 
     def done(phase: str, started: float, rows: int) -> None:
@@ -67,52 +61,52 @@ def run_pipeline(
 
     started = time.perf_counter()
     raw = read_loans(spark, input_path, input_format, **csv_options).transform(select_columns)
-    staged = None
+    input_tasks = raw.rdd.getNumPartitions()  # of the plan; nothing runs for it
     if input_format not in COLUMNAR:
-        staged = scratch_path(spark, "raw")
-        write_loans(raw, staged)
-        raw = read_loans(spark, staged, "parquet")
+        write_loans(raw, f"{work}/raw")
+        raw = read_loans(spark, f"{work}/raw", "parquet")
     # Counting a columnar table reads its file footers or the required columns only.
     n_raw = raw.count()
     n_filtered = raw.transform(required_filter).count()
     done("extract", started, n_raw)
 
     started = time.perf_counter()
-    cleaned = clean_loans(raw)
     columnar = output_format in COLUMNAR
-    table_path = output_path if columnar else scratch_path(spark, "clean")
-    table_format = output_format if columnar else "parquet"
-    write_loans(cleaned, table_path, table_format, partition_by_year=partition_by_year and columnar)
+    table_path, table_format = (output_path, output_format) if columnar else (f"{work}/clean", "parquet")
+    write_loans(clean_loans(raw), table_path, table_format, partition_by_year=partition_by_year and columnar)
     clean = read_processed(spark, table_path, table_format)
     n_clean = clean.count()
     done("transform", started, n_clean)
-    if staged:
-        remove_scratch(spark, staged)
 
+    started = time.perf_counter()
     if not columnar:
-        started = time.perf_counter()
         write_loans(clean, output_path, output_format, partition_by_year=partition_by_year)
-        done("load", started, n_clean)
+    done("load", started, n_clean)  # a columnar table is written by the transform itself
 
     counts = spark.range(1).select(
         F.lit(n_raw).alias("n_raw"), F.lit(n_filtered).alias("n_filtered"), F.lit(n_clean).alias("n_unique")
     )
     row_loss = quality.loss_table(counts)
-    tables = {name: report(clean) for name, report in REPORTS.items()}
+    started = time.perf_counter()
+    tables = reports.all_reports(clean)
+    tables["output_validation"] = checkpointed(quality.output_validation(clean))
     tables["run_summary"] = reports.run_summary(clean, input_path)
     if reports_path:
-        started = time.perf_counter()
         named = {**tables, "row_loss": row_loss}
         paths = [f"{reports_path}/{name}" for name in named]
         # Small independent jobs: run some side by side so that none idles the cluster.
         with ThreadPoolExecutor(REPORTS_AT_ONCE) as pool:
             list(pool.map(write_report, named.values(), paths))
-        done("report", started, n_clean)
+    done("report", started, n_clean)
 
+    if not columnar:  # what outlives the run must not read the work folder
+        clean = read_processed(spark, output_path, output_format)
+        tables["preview"] = reports.preview(clean)
+        tables["run_summary"] = reports.run_summary(clean, input_path)
     metrics = _phase_metrics(spark, phases)
     if reports_path:
         write_report(metrics, f"{reports_path}/phase_metrics")
-    return PipelineRun(clean, row_loss, metrics, tables)
+    return PipelineRun(clean, row_loss, metrics, input_tasks, tables)
 
 
 def _phase_metrics(spark: SparkSession, phases: list[tuple[str, float, int]]) -> DataFrame:

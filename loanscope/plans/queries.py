@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanscope.operators import quality, reports
-from loanscope.operators.cleaning import clean_loans, dedup_by_id, required_filter, select_columns
+from loanscope.operators.cleaning import add_features, clean_loans, dedup_by_id, required_filter, select_columns
 from loanscope.operators.joins import join_lookup
 from loanscope.plans.loan_view import loan_view
 from loanscope.plans.pipeline import run_pipeline
 from loanscope.schema import KEY, PREVIEW_COLUMNS, STATISTIC_COLUMNS, TEXT_COLUMNS
-from loanscope.sources.manifest import input_manifest, output_manifest
+from loanscope.sources.manifest import input_manifest, output_manifest, rows_per_file
 from loanscope.sources.readers import read_csv, read_loans, read_processed
 from loanscope.sources.scratch import scratch_path
 from loanscope.sources.writers import write_loans
 
+#: Cuts the files of the smallest tables already.
+RECORDS_PER_FILE = 1000
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -60,8 +63,8 @@ def scan_year_partition(spark, sf_dir):
 
 
 def csv_roundtrip(spark, sf_dir):
-    path = _written_raw(spark, sf_dir, "csv", max_records_per_file=1_000_000)
-    return read_loans(spark, path, "csv", multi_line=False).transform(select_columns)
+    path = _written_raw(spark, sf_dir, "csv", max_records_per_file=RECORDS_PER_FILE)
+    return read_loans(spark, path, "csv").transform(select_columns)
 
 
 def _roundtrip(fmt: str) -> Query:
@@ -72,10 +75,29 @@ def partitioned_roundtrip(spark, sf_dir):
     return read_processed(spark, _written_clean(spark, sf_dir, "parquet", partition_by_year=True))
 
 
-def output_listing(spark, sf_dir):
+def input_rows(spark, sf_dir):
+    orders, customer = (rows_per_file(spark.read.parquet(f"{sf_dir}/{t}.parquet")) for t in ("orders", "customer"))
+    return orders.union(customer)
+
+
+def output_files(spark, sf_dir):
     return output_manifest(spark, _written_clean(spark, sf_dir, "csv"))
 
 
+def output_listing(spark, sf_dir):
+    """What holds of a listing whatever the files are called: a bound on records gives several, all of them CSV."""
+    path = _written_raw(spark, sf_dir, "csv", max_records_per_file=RECORDS_PER_FILE)
+    listed = output_manifest(spark, path).first()
+    largest = input_manifest(spark, path).agg(F.max("length")).first()[0]
+    n_rows = read_loans(spark, path, "csv").agg(F.count("*").alias("n_rows"))
+    return n_rows.select(
+        "n_rows",
+        F.lit(listed["csv_files"] > 1).alias("several_files"),
+        F.lit(listed["csv_files"] == listed["total_files"]).alias("all_files_csv"),
+        F.lit(listed["main_file_bytes"] == largest).alias("main_file_is_largest"),
+    )
+
+
 # --- Row operators and single features ---
 
 
@@ -105,11 +127,33 @@ def broadcast_join(spark, sf_dir):
 
 
 def phase_metrics(spark, sf_dir):
+    """The whole job, its reports saved, timed by phase."""
     source = _written_raw(spark, sf_dir, "csv")
     run = run_pipeline(spark, source, scratch_path(spark, "out"), reports_path=scratch_path(spark, "reports"))
     return run.phases
 
 
+def phase_rows(spark, sf_dir):
+    return phase_metrics(spark, sf_dir).select("phase", "rows")
+
+
+def _faulty(df: DataFrame) -> DataFrame:
+    """Features of all raw rows, copies and incomplete ones included, with a flag that is none in some."""
+    flag = F.when(F.col("grade") == "C", F.lit(2)).otherwise(F.col("is_default"))
+    return df.transform(select_columns).transform(add_features).withColumn("is_default", flag)
+
+
+def _on_written(report: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
+    """A report that reads its table several times: the cleaned columns are written once before."""
+
+    def query(spark, sf_dir):
+        path = scratch_path(spark, "clean")
+        write_loans(clean_loans(raw(spark, sf_dir), columns), path)
+        return report(spark.read.parquet(path))
+
+    return query
+
+
 QUERIES: dict[str, Query] = {
     "scan_csv": scan_csv,
     "scan_csv_inferred": scan_csv_inferred,
@@ -121,7 +165,9 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": _roundtrip("parquet"),
     "partitioned_roundtrip": partitioned_roundtrip,
     "input_manifest": input_manifest,
-    "output_manifest": output_listing,
+    "input_rows": input_rows,
+    "output_manifest": output_files,
+    "output_listing": output_listing,
     "select_columns": _on_raw(select_columns),
     "required_filter": _on_raw(lambda df: df.transform(select_columns).transform(required_filter)),
     "dedup_by_id": _on_raw(_deduplicated),
@@ -148,17 +194,18 @@ QUERIES: dict[str, Query] = {
     "key_metrics": _on_clean(reports.key_metrics, "loan_amnt", "int_rate", "fico_avg"),
     "distinct_years": _on_clean(reports.distinct_years, "year"),
     "year_coverage": _on_clean(reports.year_coverage, "year"),
-    "loan_amnt_stats": _on_clean(reports.loan_amnt_stats, "loan_amnt"),
-    "int_rate_stats": _on_clean(reports.int_rate_stats, "int_rate"),
-    "fico_stats": _on_clean(reports.fico_stats, "fico_avg"),
-    "numeric_quartiles": _on_clean(reports.numeric_quartiles, *STATISTIC_COLUMNS),
+    "loan_amnt_stats": _on_written(reports.loan_amnt_stats, "loan_amnt"),
+    "int_rate_stats": _on_written(reports.int_rate_stats, "int_rate"),
+    "fico_stats": _on_written(reports.fico_stats, "fico_avg"),
+    "numeric_quartiles": _on_written(reports.numeric_quartiles, *STATISTIC_COLUMNS),
     "default_correlations": _on_clean(reports.default_correlations, *STATISTIC_COLUMNS, "is_default"),
     "default_rate": _on_clean(reports.default_rate, "is_default"),
-    "portfolio_summary": _on_clean(reports.portfolio_summary, *STATISTIC_COLUMNS, "is_default"),
-    "run_summary": lambda spark, sf_dir: reports.run_summary(clean(spark, sf_dir), sf_dir),
+    "portfolio_summary": _on_written(reports.portfolio_summary, *STATISTIC_COLUMNS, "is_default"),
+    "run_summary": lambda spark, sf_dir: reports.run_summary(clean(spark, sf_dir), "loans"),
     "completeness": _on_raw(quality.completeness),
     "validation_report": _on_raw(quality.validation_report),
-    "output_validation": _on_clean(quality.output_validation, "loan_status", "annual_inc", "is_default"),
+    "output_validation": _on_raw(lambda df: quality.output_validation(_faulty(df))),
     "phase_metrics": phase_metrics,
+    "phase_rows": phase_rows,
     "broadcast_join": broadcast_join,
 }

@@ -33,19 +33,16 @@ MODERATE_CORRELATION = 0.1
 
 KEY = "id"
 
-_RAW_NUMERIC = {
+NUMERIC_COLUMNS = [
     "loan_amnt", "installment", "annual_inc", "dti", "delinq_2yrs", "fico_range_low",
     "fico_range_high", "open_acc", "pub_rec", "revol_bal", "total_acc",
-}
+]
 
-RAW_SCHEMA = T.StructType(
-    [
-        T.StructField(c, T.DoubleType() if c in _RAW_NUMERIC else T.StringType())
-        for c in SELECTED_COLUMNS
-    ]
-)
+# Numbers are read as text too: a malformed one can then be told from a missing one.
+RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in SELECTED_COLUMNS])
 
 _CLEANED_TYPES = {
+    **{c: T.DoubleType() for c in NUMERIC_COLUMNS},
     "term": T.IntegerType(),
     "int_rate": T.DoubleType(),
     "emp_length": T.IntegerType(),
@@ -54,7 +51,7 @@ _CLEANED_TYPES = {
 }
 
 CLEAN_SCHEMA = T.StructType(
-    [T.StructField(f.name, _CLEANED_TYPES.get(f.name, f.dataType)) for f in RAW_SCHEMA]
+    [T.StructField(c, _CLEANED_TYPES.get(c, T.StringType())) for c in SELECTED_COLUMNS]
     + [
         T.StructField("is_default", T.IntegerType()),
         T.StructField("fico_avg", T.IntegerType()),

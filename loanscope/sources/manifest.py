@@ -25,12 +25,17 @@ def input_manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def rows_per_file(df: DataFrame) -> DataFrame:
+    """Rows of each file that a scan reads; files without rows are not listed."""
+    return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count("*").alias("n_rows"))
+
+
 def output_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Data files of an output folder in one row: CSV files, all files, largest file.
 
     Marker and checksum files, whose names start with ``_`` or ``.``, are not counted.
     """
-    is_csv = F.col("path").endswith(".csv")
+    is_csv = F.col("path").rlike(r"\.csv(\.\w+)?$")  # compressed or not
     size = F.struct("length", "path")
     return (
         _files(spark, path)

@@ -1,6 +1,7 @@
 """Loan table scans."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanscope.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, RAW_SCHEMA
@@ -23,22 +24,25 @@ def read_csv(
     task, so large inputs should come as many files; without such line breaks,
     ``multi_line=False`` splits files as well.
     """
-    reader = spark.read.options(**CSV, multiLine=multi_line)
+    # Columns bind by position, so every file must have this header or fail.
+    reader = spark.read.options(**CSV, multiLine=multi_line, enforceSchema=False)
     if schema is None:
         return reader.csv(path, inferSchema=True)
-    declared = {f.name: f.dataType for f in schema}
-    header = reader.csv(path).columns
-    full = T.StructType([T.StructField(c, declared.get(c, T.StringType())) for c in header])
-    # Columns bind by position, so every file must have this header or fail.
-    return reader.schema(full).csv(path, enforceSchema=False)
+    text = reader.csv(path)
+    typed = {f.name: f.dataType for f in schema if f.dataType != T.StringType()}
+    return text.withColumns({c: F.col(c).try_cast(typed[c]) for c in text.columns if c in typed})
 
 
 def read_loans(spark: SparkSession, path: str, fmt: str = "csv", **csv_options) -> DataFrame:
-    """Raw loan table. JSON is read with the declared schema, never inferred."""
+    """Raw loan table. JSON is read with the declared schema, never inferred.
+
+    ORC and Parquet files may lack different columns: theirs are merged, a
+    missing one is NULL in the rows of a file without it.
+    """
     if check_format(fmt) == "csv":
         return read_csv(spark, path, **csv_options)
     if fmt in COLUMNAR:
-        return spark.read.format(fmt).load(path)
+        return spark.read.format(fmt).option("mergeSchema", True).load(path)
     return spark.read.schema(RAW_SCHEMA).json(path)
 
 

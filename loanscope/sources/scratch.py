@@ -1,32 +1,42 @@
-"""Folder for tables written between the steps of a job."""
+"""Folders for tables written between the steps of a job."""
 
-import functools
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-@functools.cache
-def _local_folder() -> tempfile.TemporaryDirectory:
-    return tempfile.TemporaryDirectory(prefix="loanscope-")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, else one below the warehouse of the session."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints").rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, written to the shared folder, with the plan cut there."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that ``spark.checkpoint.dir`` names.
+    """A new path in the shared folder, for a table whose reader outlives the step that writes it."""
+    return f"{shared_folder(spark)}/loanscope-{uuid.uuid4().hex}/{name}"
 
-    Executors on other machines must see it, so a temporary folder of this
-    machine stands in only where that setting is missing and Spark runs locally.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = _local_folder().name
-    return f"{folder.rstrip('/')}/loanscope-{uuid.uuid4().hex}/{name}"
 
+@contextmanager
+def work_folder(spark: SparkSession) -> Iterator[str]:
+    """A new folder in the shared folder, removed with all it holds in the end, also after a failure.
 
-def remove_scratch(spark: SparkSession, path: str) -> None:
-    """Deletes a table this module gave a path to, wherever it is stored."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    It is the place of a database that is dropped, so that Spark itself removes
+    it, wherever it is stored.
+    """
+    database = f"work_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{database}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
+    try:
+        yield path
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")

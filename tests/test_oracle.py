@@ -4,10 +4,11 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from loanscope.plans.oracle import ORACLE_SQL as ORACLE
+from loanscope.plans.queries import QUERIES
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
-ROWS_ONLY = {"input_manifest", "output_manifest", "run_summary", "phase_metrics"}
+TYPES = {"boolean": "BOOLEAN", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+ROWS_ONLY = {"input_manifest", "output_manifest", "phase_metrics"}
 
 
 def test_only_listings_and_timings_have_no_sql():
