@@ -10,10 +10,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loanscope.llm import quality_classifier, quality_rules
-from loanscope.llm.common import checkpointed, table, work_tables
+from loanscope.llm.common import table, work_tables
 from loanscope.llm.mixing import repeat_to_weights
 from loanscope.llm.piece_bpe import token_digests
 from loanscope.llm.simhash import deduplicate
+from loanscope.sources.scratch import checkpointed
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 

@@ -1,7 +1,6 @@
 """Helpers that several operators share."""
 
 import re
-import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -10,41 +9,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanscope.sources.scratch import work_folder
+
 #: Rows of this fold are never learnt from.
 FOLDS, HELD_OUT = 4, 2
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder ``spark.checkpoint.dir`` names; only a session that names none has one in its warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints").rstrip("/")
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, written to the shared folder, with the plan cut there."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 @contextmanager
 def work_tables(spark: SparkSession) -> Iterator[Callable[[str, DataFrame], DataFrame]]:
-    """A function that writes a frame as a Parquet table in the shared folder and reads it back.
-
-    The tables live in a database of their own, which is dropped with them in the end.
-    """
-    database = f"work_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark)}/{database}'")
+    """A function that writes a frame as Parquet in a work folder and reads it back; the folder goes in the end."""
+    with work_folder(spark) as folder:
 
-    def written(name: str, df: DataFrame) -> DataFrame:
-        df.write.format("parquet").saveAsTable(f"{database}.{name}")
-        return spark.table(f"{database}.{name}")
+        def written(name: str, df: DataFrame) -> DataFrame:
+            df.write.parquet(f"{folder}/{name}")
+            return spark.read.parquet(f"{folder}/{name}")
 
-    try:
         yield written
-    finally:
-        spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 def held_out(doc_id: Column | str) -> Column:

@@ -17,7 +17,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import checkpointed, hash_bucket
+from loanscope.llm.common import hash_bucket
+from loanscope.sources.scratch import checkpointed
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Exponents are whole numbers of this part of 1.

@@ -17,7 +17,8 @@ every source. Texts do not move: only the carried columns do.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import checkpointed, hash_bucket
+from loanscope.llm.common import hash_bucket
+from loanscope.sources.scratch import checkpointed
 
 ROW_BYTES = 16
 

@@ -23,7 +23,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import checkpointed, encoded, runs, word_blocks
+from loanscope.llm.common import encoded, runs, word_blocks
+from loanscope.sources.scratch import checkpointed
 
 SEED = 42
 BITS, SEGMENT = 64, 2

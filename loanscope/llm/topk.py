@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import checkpointed, runs
+from loanscope.llm.common import runs
+from loanscope.sources.scratch import checkpointed
 
 LEAF = 64
 BLOCK = 256

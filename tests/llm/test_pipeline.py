@@ -12,7 +12,8 @@ from llm.test_simhash import classes, fingerprint
 
 import corpus_pipeline
 from loanscope.llm import quality_classifier, quality_rules
-from loanscope.llm.common import shared_folder, table
+from loanscope.llm.common import table
+from loanscope.sources.scratch import shared_folder
 
 
 @pytest.fixture(scope="module")
