@@ -23,10 +23,12 @@ from loanscope.sources.scratch import checkpointed
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Exponents are whole numbers of this part of 1.
 STEP = 1_000_000
-#: Exponents tried in one round: a round does the work of five halvings.
-TRIED = 32
+#: Exponents tried in one round, a row each per source: a round does the work of six halvings.
+TRIED = 64
 #: Least and largest exponent.
 LOW, HIGH = 0, STEP
+#: With up to so many sources their quotas, some 100 bytes each, are broadcast; with more they are shuffled.
+BROADCAST_SOURCES = 100_000
 #: Decimals of a weight; beyond these, engines round sums differently.
 WEIGHT_DIGITS = 9
 
@@ -47,20 +49,17 @@ def _search(sources: DataFrame, holds) -> int:
     sum of ``p ** a * ln p`` and the largest ``p ** (a - 1)``.
     """
     low, high = LOW - 1, HIGH  # holds above, not at ``low``
-    share, log = F.col("share"), F.log("share")
+    share, a = F.col("share"), F.col("step") / STEP
     while high - low > 1:
         width = -(-(high - low) // TRIED)
-        tried = [m for m in range(low + width, high, width)]
-        sums = []
-        for m in tried:
-            a = F.lit(m / STEP)
-            sums += [
-                F.sum(F.pow(share, a)).alias(f"z{m}"),
-                F.sum(F.pow(share, a) * log).alias(f"g{m}"),
-                F.max(F.pow(share, a - 1)).alias(f"r{m}"),
-            ]
-        found = sources.where("share > 0").agg(*sums).first()
-        first = next((m for m in tried if holds(m / STEP, found[f"z{m}"], found[f"g{m}"], found[f"r{m}"])), None)
+        tried = list(range(low + width, high, width))
+        steps = F.explode(F.array(*[F.lit(m) for m in tried])).alias("step")
+        power = F.pow(share, a)
+        found = sources.where("share > 0").select("share", steps).groupBy("step").agg(
+            F.sum(power).alias("z"), F.sum(power * F.log(share)).alias("g"), F.max(F.pow(share, a - 1)).alias("most")
+        )
+        fits = {r["step"]: holds(r["step"] / STEP, r["z"], r["g"], r["most"]) for r in found.collect()}
+        first = next((m for m in tried if fits[m]), None)
         high, low = (high, tried[-1]) if first is None else (first, max(low, first - width))
     return high
 
@@ -120,7 +119,7 @@ def mixture(
 
 
 def draw(
-    counted: DataFrame, plan: DataFrame, seed: int = 0, docs: DataFrame | None = None, buckets: int = 65_536
+    counted: DataFrame, plan: DataFrame, seed: int = 0, docs: DataFrame | None = None, buckets: int = 4096
 ) -> DataFrame:
     """One row per draw: ``doc_id``, ``source``, ``n_tokens``, ``weight``, ``block`` and ``draw_key``.
 
@@ -144,12 +143,17 @@ def draw(
         F.when(F.col("tokens") > 0, target % tokens).otherwise(0).alias("left_over"),
     )
 
-    def placed(rows: DataFrame) -> DataFrame:
-        """Rows with the place of their document in the last block. Sources are few, so Spark broadcasts the quotas."""
-        rows = rows.join(quotas, "stratum").withColumn("last_key", _key(seed, F.col("whole_blocks")))
+    few = plan.count() <= BROADCAST_SOURCES
+
+    def small(per_source: DataFrame) -> DataFrame:
+        return F.broadcast(per_source) if few else per_source
+
+    def placed(rows: DataFrame, per_source: DataFrame) -> DataFrame:
+        """Rows with the place of their document in the last block."""
+        rows = rows.join(small(per_source), "stratum").withColumn("last_key", _key(seed, F.col("whole_blocks")))
         return rows.withColumn("bucket", hash_bucket("last_key", buckets))
 
-    lean = placed(counted.select(stratum, "doc_id", "n_tokens")).where("left_over > 0")
+    lean = placed(counted.select(stratum, "doc_id", "n_tokens"), quotas).where("left_over > 0")
     sums = lean.groupBy("stratum", "bucket", "left_over").agg(F.sum("n_tokens").alias("in_bucket"))
     up_to = F.sum("in_bucket").over(Window.partitionBy("stratum").orderBy("bucket"))
     # The bucket in which a source passes its target, and what is left of the target for it.
@@ -158,11 +162,11 @@ def draw(
     ends = checkpointed(
         sums.withColumn("up_to", up_to).where("up_to > left_over").groupBy("stratum").agg(end).select("stratum", "end.*")
     )
-    inside = lean.join(ends, "stratum").where("bucket = end_bucket")
+    inside = lean.join(small(ends), "stratum").where("bucket = end_bucket")
     so_far = F.sum("n_tokens").over(Window.partitionBy("stratum").orderBy("last_key"))
     fitting = inside.withColumn("so_far", so_far).where("so_far <= rest")
     cuts = fitting.groupBy("stratum").agg(F.max("last_key").alias("cut"))
-    limits = checkpointed(ends.join(cuts, "stratum", "left").select("stratum", "end_bucket", "cut"))
+    limits = checkpointed(quotas.join(ends, "stratum", "left").join(cuts, "stratum", "left").drop("rest"))
 
     if docs is None:
         rows = counted.select(stratum, "doc_id", F.struct("source", "n_tokens").alias("row"))
@@ -172,7 +176,7 @@ def draw(
     in_last = F.coalesce((F.col("bucket") < F.col("end_bucket")) | in_end, F.lit(False))
     n_blocks = F.col("whole_blocks") + in_last.cast("int")
     blocks = F.filter(F.sequence(F.lit(0).cast("long"), n_blocks), lambda b: b < n_blocks)
-    drawn = placed(rows).join(limits, "stratum", "left").withColumn("block", F.explode(blocks))
+    drawn = placed(rows, limits).withColumn("block", F.explode(blocks))
     if docs is not None:
         return drawn.select("row.*")
     return drawn.select("doc_id", "row.*", "weight", "block", _key(seed, F.col("block")).alias("draw_key"))
