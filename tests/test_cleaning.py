@@ -1,3 +1,4 @@
+import random
 from datetime import date
 
 import pytest
@@ -6,8 +7,8 @@ from pyspark.sql import functions as F
 from support import rows
 
 from loanscope.functions import parsing as P
-from loanscope.operators.cleaning import clean_loans, dedup_by_id, required_filter, select_columns
-from loanscope.schema import CLEAN_SCHEMA, RAW_SCHEMA
+from loanscope.operators.cleaning import add_features, clean_loans, dedup_by_id, required_filter, select_columns
+from loanscope.schema import CLEAN_SCHEMA, NUMERIC_COLUMNS, RAW_SCHEMA, SELECTED_COLUMNS
 
 D = date(2015, 12, 1)
 CHANGED = [
@@ -49,10 +50,10 @@ def test_missing_column_fails(golden_raw):
         select_columns(golden_raw.drop("dti"))
 
 
-def test_other_types_are_cast(golden_raw):
-    odd = golden_raw.withColumns({"loan_amnt": F.lit("oops"), "id": F.lit(7)})
+def test_numbers_and_text_keep_their_type(golden_raw):
+    odd = golden_raw.withColumns({"loan_amnt": F.lit("oops"), "id": F.lit(7), "dti": F.lit(2.5), "issue_d": F.to_date(F.lit("2015-12-01"))})
     row = select_columns(odd).first()
-    assert (row["id"], row["loan_amnt"]) == ("7", None)
+    assert (row["id"], row["loan_amnt"], row["dti"], row["issue_d"]) == ("7", "oops", 2.5, "2015-12-01")
 
 
 @pytest.mark.parametrize(
@@ -142,17 +143,47 @@ def test_every_dedup_form_gives_the_same_loans(golden_raw, golden_clean):
     assert rows(clean_loans(golden_raw, order_by=["issue_d"])) == expected
 
 
-def test_cleaning_before_the_dedup_changes_nothing(golden_raw, golden_clean):
-    from loanscope.operators.cleaning import add_features
+def differing_copies(spark, seed):
+    """Random copies of loans, most of which differ; some without an id, some with malformed numbers."""
+    rng = random.Random(seed)
+    values = {
+        "loan_amnt": ["1000", "9", "10", "$9", None], "term": [" 36 months", " 60 months", "x"], "int_rate": ["9%", "10%", None],
+        "emp_length": ["9 years", "10+ years", "< 1 year"], "annual_inc": ["5", "50,000", "40"],
+        "loan_status": ["Charged Off", "Current", " Charged Off"], "dti": ["1.0", "9", None, "abc"], "issue_d": ["Dec-2015", "Apr-2016"],
+    }
+    data = [
+        tuple(rng.choice(["1", "2", "3", None]) if c == "id" else rng.choice(values.get(c, ["7", "a"])) for c in SELECTED_COLUMNS)
+        for _ in range(60)
+    ]
+    return spark.createDataFrame(data, RAW_SCHEMA).repartition(5)
 
-    late = golden_raw.transform(select_columns).transform(required_filter).transform(dedup_by_id)
-    assert rows(add_features(late)) == rows(golden_clean)
+
+@pytest.mark.parametrize("seed", range(3))
+def test_every_report_sees_the_same_copy(spark, seed):
+    raw = differing_copies(spark, seed)
+    whole = spark.createDataFrame(clean_loans(raw).collect(), CLEAN_SCHEMA)
+    late = raw.transform(select_columns).transform(required_filter).transform(dedup_by_id)
+    assert rows(add_features(late)) == rows(whole)
+    for columns in (["is_default"], ["dti"], ["term"], ["year", "grade"], ["emp_length", "loan_status"], ["id"], ["id", "annual_inc"]):
+        want = whole.select("id", *[c for c in columns if c != "id"])
+        assert rows(clean_loans(raw, columns)) == rows(want), columns
+
+
+def test_numbers_as_text_and_as_numbers_keep_the_same_copy(spark):
+    raw = differing_copies(spark, 9)
+    readable = raw.where(" AND ".join(f"try_cast({c} AS DOUBLE) IS NOT NULL OR {c} IS NULL" for c in NUMERIC_COLUMNS))
+    typed = readable.withColumns({c: F.col(c).try_cast("double") for c in NUMERIC_COLUMNS})
+    assert rows(clean_loans(typed)) == rows(clean_loans(readable))
+
+
+def test_an_unreadable_income_is_not_a_missing_one(spark, golden_raw):
+    odd = golden_raw.where("id = '1'").withColumn("annual_inc", F.lit("50,000"))
+    kept = clean_loans(odd).first()
+    assert kept["annual_inc"] is None and kept["loan_amnt"] == 10000.0
 
 
 def test_some_columns_only(golden_raw, golden_clean):
     assert rows(clean_loans(golden_raw, ["year", "grade"])) == rows(golden_clean.select("id", "year", "grade"))
-    assert rows(clean_loans(golden_raw, ["year"])) == rows(golden_clean.select("id", "year"))
-    assert rows(clean_loans(golden_raw, ["id"])) == rows(golden_clean.select("id"))
     ordered = clean_loans(golden_raw, ["year"], order_by=[F.desc("loan_amnt")])
     assert rows(ordered) == rows(golden_clean.select("id", "year"))
 

@@ -1,0 +1,40 @@
+"""The registry with and without the optional subpackage."""
+
+import os
+import shutil
+import subprocess
+import sys
+
+import pytest
+from conftest import ROOT
+
+SCRIPT = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), sorted(q for q in e.queries() if q[:2] == 'op'))"
+
+
+def copy_of_the_library(tmp_path):
+    shutil.copytree(f"{ROOT}/loanscope", tmp_path / "loanscope", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{ROOT}/__spark_entry__.py", tmp_path)
+    return tmp_path
+
+
+def run(folder):
+    return subprocess.run([sys.executable, "-c", SCRIPT], cwd=folder, env=os.environ | {"PYTHONPATH": ""}, capture_output=True, text=True)
+
+
+def test_the_rest_works_without_the_subpackage(tmp_path):
+    from loanscope.plans.oracle import ORACLE_SQL
+    from loanscope.plans.queries import QUERIES
+
+    done = run(copy_of_the_library(tmp_path))
+    assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLE_SQL)), "[]"], done.stderr
+
+
+@pytest.mark.parametrize("missing", ["no_such_module", "loanscope.operators.no_such_module"])
+def test_an_import_error_inside_the_subpackage_is_not_hidden(tmp_path, missing):
+    folder = copy_of_the_library(tmp_path)
+    (folder / "loanscope/llm").mkdir()
+    (folder / "loanscope/llm/__init__.py").touch()
+    (folder / "loanscope/llm/queries.py").write_text(f"import {missing}\n")
+    (folder / "corpus_pipeline.py").write_text("run = None\nORACLE_SQL = None\n")
+    done = run(folder)
+    assert done.returncode and "no_such_module" in done.stderr

@@ -6,18 +6,17 @@ import pytest
 from conftest import SMALL
 from support import initial_plan, plan, rows
 
-import __spark_entry__ as entry
 from loanscope.operators import reports as R
 from loanscope.operators.cleaning import clean_loans, dedup_by_id
 from loanscope.operators.joins import join_lookup
 from loanscope.plans.loan_view import loan_view
+from loanscope.plans.queries import QUERIES
 from loanscope.schema import STATISTIC_COLUMNS
 from loanscope.sources.readers import read_processed
 from loanscope.sources.writers import write_loans
 
-QUERIES = entry.queries()
 LAZY = [n for n in QUERIES if not n.startswith("scan") and "roundtrip" not in n and n not in (
-    "phase_metrics", "output_manifest", "input_manifest"
+    "phase_metrics", "phase_rows", "output_manifest", "output_listing", "input_manifest"
 )]
 
 
@@ -45,13 +44,6 @@ def test_reports_read_only_their_columns(spark, golden_clean, tmp_path):
         assert {frozenset(c) for c in read_columns(initial_plan(report(clean)))} == {frozenset(columns)}
 
 
-def test_cleaning_prunes_through_the_dedup(spark):
-    text = initial_plan(R.default_rate(clean_loans(loan_view(spark, SMALL), ["is_default"])))
-    orders, customer = read_columns(text)
-    assert orders == {"o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"}
-    assert customer == {"c_custkey", "c_acctbal"}
-
-
 def test_required_filter_reaches_the_scan(spark, golden_raw, tmp_path):
     from loanscope.operators.cleaning import required_filter, select_columns
 
@@ -80,12 +72,6 @@ def test_dedup_shuffles_once_after_a_partial_reduction(spark):
         assert re.search(r"Exchange hashpartitioning\(id.*" + partial, text, re.S)
 
 
-def test_dedup_of_one_number_hashes(spark):
-    """Features come before the dedup, so no text is sorted for such a report."""
-    text = initial_plan(R.default_rate(clean_loans(loan_view(spark, SMALL), ["is_default"])))
-    assert "SortAggregate" not in text
-
-
 def test_hot_id(spark):
     hot = spark.range(30_000, numPartitions=6).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS id", "CAST(id AS DOUBLE) AS v"
@@ -94,12 +80,18 @@ def test_hot_id(spark):
     assert kept.count() == 20_001
 
 
-def test_quantile_passes_share_the_dedup(spark):
-    df = R.numeric_quartiles(clean_loans(loan_view(spark, SMALL), STATISTIC_COLUMNS))
-    df.collect()
-    final = plan(df).split("== Initial Plan ==")[0]
-    assert len(re.findall(r"FileScan parquet", final)) == 2  # orders and customer once
-    assert "ReusedExchange" in final
+@pytest.mark.parametrize("name", ["numeric_quartiles", "portfolio_summary", "loan_amnt_stats"])
+def test_reports_of_several_passes_read_a_written_table(spark, name):
+    """The dedup is done before; no pass repeats it."""
+    text = plan(QUERIES[name](spark, SMALL))
+    assert "SortAggregate" not in text.split("column_name")[-1] and "orders.parquet" not in text
+    assert 1 <= text.count("FileScan parquet") <= 4
+
+
+def test_correlation_takes_three_aggregates_a_column(spark, golden_clean):
+    text = initial_plan(R.default_correlations(golden_clean, ["loan_amnt"]))
+    partial = re.search(r"functions=\[(partial_[^\]]*)\]", text)[1]
+    assert partial.count("partial_") == 3
 
 
 def test_lookup_is_broadcast_only_below_the_threshold(spark, conf):

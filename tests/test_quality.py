@@ -1,7 +1,7 @@
 from support import by_key
 
 from loanscope.operators import quality as Q
-from loanscope.schema import CLEAN_SCHEMA, RAW_SCHEMA
+from loanscope.schema import CLEAN_SCHEMA, NUMERIC_COLUMNS, RAW_SCHEMA
 
 
 def test_row_loss(golden_raw):
@@ -38,12 +38,21 @@ def test_completeness_of_nothing(spark):
 def test_validation(golden_raw):
     got = {r["rule"]: r["violations"] for r in Q.validation_report(golden_raw).collect()}
     assert got == {
+        **{f"unparsed_{c}": 0 for c in NUMERIC_COLUMNS},
         "missing_id": 2, "missing_loan_status": 2, "missing_annual_inc": 2, "missing_issue_d": 2,
         "unparsed_term": 1, "unparsed_int_rate": 1, "unparsed_emp_length": 1, "unparsed_revol_util": 0,
         "unparsed_issue_d": 1, "empty_input": 0, "empty_output": 0,
     }
 
 
+def test_malformed_numbers_are_reported_and_kept(golden_raw):
+    odd = golden_raw.replace({"50000.0": "50,000", "10000": "$9"}, subset=["annual_inc", "loan_amnt"])
+    got = {r["rule"]: r["violations"] for r in Q.validation_report(odd).collect()}
+    n_income, n_amount = (golden_raw.where(c).count() for c in ("annual_inc = '50000.0'", "loan_amnt = '10000'"))
+    assert (got["unparsed_annual_inc"], got["unparsed_loan_amnt"], got["missing_annual_inc"]) == (n_income, n_amount, 2)
+    assert [tuple(r)[1:3] for r in Q.row_loss(odd).collect()] == [tuple(r)[1:3] for r in Q.row_loss(golden_raw).collect()]
+
+
 def test_validation_finds_empty_tables(spark, golden_raw):
     nothing = spark.createDataFrame([], RAW_SCHEMA)
     got = {r["rule"]: r["violations"] for r in Q.validation_report(nothing).collect()}

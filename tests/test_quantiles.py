@@ -55,6 +55,13 @@ def test_infinite_ends(spark):
     assert got == {0.25: 1.0, 0.5: 2.0, 0.75: 3.0}
 
 
+def test_equal_infinite_neighbours(spark):
+    inf = float("inf")
+    for values, want in (([inf, inf, 1.0], inf), ([-inf, -inf, 1.0], -inf), ([inf, inf, inf, inf], inf)):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        assert exact_quantiles(df, ["x"], [0.5]).first()["value"] == want
+
+
 def test_columns_do_not_mix_and_empty_ones_have_no_row(spark):
     df = spark.createDataFrame([(1, 10.0, None), (2, 20.0, None), (3, 60.0, None)], "a int, b double, c double")
     got = {r["column_name"]: r["value"] for r in exact_quantiles(df, ["a", "b", "c"], [0.5]).collect()}

@@ -9,7 +9,7 @@ from support import plan, rows
 
 from loanscope.operators.cleaning import clean_loans, select_columns
 from loanscope.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, SELECTED_COLUMNS
-from loanscope.sources.manifest import input_manifest, output_manifest
+from loanscope.sources.manifest import input_manifest, output_manifest, rows_per_file
 from loanscope.sources.readers import read_csv, read_loans, read_processed
 from loanscope.sources.scratch import scratch_path
 from loanscope.sources.writers import write_loans
@@ -49,6 +49,7 @@ def test_inferred_types(spark, golden_path):
     assert (types["id"], types["loan_amnt"], types["annual_inc"], types["int_rate"]) == (
         "string", "int", "double", "string",
     )
+    assert dict(read_csv(spark, golden_path).dtypes)["loan_amnt"] == "string"
 
 
 def test_inferred_input_cleans_to_the_same_table(spark, golden_path, golden_clean):
@@ -143,12 +144,36 @@ def session_with(**settings):
 
 
 def test_scratch_is_a_new_path_in_the_shared_folder():
-    session = session_with(spark_checkpoint_dir="hdfs://cluster/shared/", spark_master="yarn")
+    session = session_with(spark_checkpoint_dir="hdfs://cluster/shared/")
     first, second = scratch_path(session, "a"), scratch_path(session, "a")
     assert first.startswith("hdfs://cluster/shared/loanscope-") and first != second
 
 
-def test_scratch_without_the_setting():
-    assert os.path.isabs(scratch_path(session_with(spark_master="local[4]"), "a"))
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_path(session_with(spark_master="yarn"), "a")
+@pytest.mark.parametrize("master", ["local[4]", "yarn"])
+def test_scratch_without_the_setting(master):
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: {"spark.sql.warehouse.dir": "s3://w/", "spark.master": master}.get(key, default)))
+    assert scratch_path(session, "a").startswith("s3://w/checkpoints/loanscope-")
+
+
+def test_compressed_csv_counts_as_csv(spark, golden_clean, tmp_path):
+    golden_clean.coalesce(1).write.option("compression", "gzip").csv(str(tmp_path / "out"))
+    assert output_manifest(spark, str(tmp_path / "out")).first()["csv_files"] == 1
+
+
+@pytest.mark.parametrize("fmt", ["orc", "parquet"])
+def test_columnar_files_with_different_columns(spark, golden_raw, tmp_path, fmt):
+    selected = golden_raw.transform(select_columns)
+    selected.where("id = '1'").drop("dti").write.format(fmt).save(str(tmp_path / "in" / "a"))
+    selected.where("id = '2'").drop("grade").write.format(fmt).save(str(tmp_path / "in" / "b"))
+    back = {r["id"]: r for r in read_loans(spark, str(tmp_path / "in" / "*"), fmt).transform(select_columns).collect()}
+    assert (back["1"]["dti"], back["1"]["grade"], back["2"]["dti"], back["2"]["grade"]) == (None, "A", "10.0", None)
+
+
+def test_csv_lists_its_folder_once(spark, golden_path):
+    """One read gives names and rows; types come by a projection."""
+    assert plan(read_loans(spark, golden_path)).count("FileScan csv") == 1
+
+
+def test_rows_per_file(spark, golden_raw, tmp_path):
+    golden_raw.select("id").coalesce(1).write.parquet(str(tmp_path / "t"))
+    assert [r["n_rows"] for r in rows_per_file(spark.read.parquet(str(tmp_path / "t"))).collect()] == [13]
