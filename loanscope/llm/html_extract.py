@@ -10,6 +10,7 @@ there count, and blocks there only look at each other.
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -97,14 +98,16 @@ class _Reader:
         self.parts: list[str] = []
         self.linked, self.in_link, self.articles, self.heading = 0, False, 0, False
         self.link_depth = 0
+        self.open: Counter[str] = Counter()
 
     def read(self, page: str) -> list[Block]:
-        at = 0
+        at, last = 0, page.rfind(">") + 1  # looking for tags behind the last ">" would take a page of "<" for ever
         while True:
-            found = TAG.search(page, at)
-            self.text(page[at : found.start()] if found else page[at:])
+            found = TAG.search(page, at, last)
             if not found:
+                self.text(page[at:].partition("<!--")[0])
                 break
+            self.text(page[at : found.start()])
             at = found.end()
             if found[0] == "<!--":
                 end = page.find("-->", at)
@@ -168,9 +171,10 @@ class _Reader:
         hidden = hidden or "display:none" in attributes.get("style", "").replace(" ", "").lower()
         if name in BLOCK_TAGS | HIDDEN_TAGS or side != around.side or hidden != around.hidden:
             self.stack.append(_Element(name, side, comment, hidden, article))
+            self.open[name] += 1
 
     def _inside(self, tags: set[str]) -> bool:
-        return any(e.tag in tags for e in self.stack)
+        return any(self.open[tag] for tag in tags)
 
     def end(self, name: str) -> None:
         if name in BLOCK_TAGS:
@@ -178,10 +182,11 @@ class _Reader:
             self.heading = False
         if name == "a":
             self.in_link = False
-        for depth in range(len(self.stack) - 1, 0, -1):
+        for depth in range(len(self.stack) - 1 if self.open[name] else 0, 0, -1):
             if self.stack[depth].tag == name:
                 if name not in BLOCK_TAGS and any(e.tag in BLOCK_TAGS for e in self.stack[depth + 1 :]):
                     return  # an inline end tag does not end the blocks inside
+                self.open.subtract(e.tag for e in self.stack[depth:])
                 del self.stack[depth:]
                 self.in_link = self.in_link and self.link_depth <= depth  # a link ends with what it began in
                 return
@@ -222,6 +227,7 @@ def classify(blocks: list[Block]) -> None:
         stops_help = any(_stop_density(b.text) >= STOPS_LOW for b in region if len(b.text) >= LENGTH_LOW)
         decided = [_decide(b, stops_help) for b in region]
         before, after = _nearest(decided), _nearest(decided[::-1])[::-1]
+        nothing_clear = True not in decided
         for i, block in enumerate(region):
             if decided[i] is not None:
                 block.label = decided[i]
@@ -231,7 +237,7 @@ def classify(blocks: list[Block]) -> None:
             if block.heading and after[i] is not None and after[i] in near:
                 near = [after[i]]
             near = [n for n in near if n[0] == min(near)[0]]
-            block.label = any(label for _, label in near) if near else bool(block.article) or True not in decided
+            block.label = any(label for _, label in near) if near else bool(block.article) or nothing_clear
 
 
 def _nearest(decided: list[bool | None]) -> list[tuple[int, bool] | None]:

@@ -241,10 +241,17 @@ def near_duplicates(
     # The cells of a fingerprint take far more room than it does, hence not the few tasks its own size asks for.
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")).repartition(tasks, "fp"))
-    roots = components(close_pairs(distinct, max_distance)).withColumnRenamed("node", "fp")
-    rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = rooted.join(smallest, "root").select("fp", "root", "component_id")
+    roots = components(close_pairs(distinct, max_distance))
+    ends = roots.select("root").distinct().select(F.col("root").alias("fp"), "root")
+    members = roots.select(F.col("node").alias("fp"), "root").union(ends)
+    # Only linked fingerprints are grouped, and written before the join, which can then split a large group.
+    ids = members.join(distinct, "fp").groupBy("root").agg(F.min("first_id").alias("smallest_id"))
+    linked = members.join(checkpointed(ids), "root")
+    labels = distinct.join(linked, "fp", "left").select(
+        "fp",
+        F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("smallest_id")).alias("component_id"),
+    )
     return rows.join(labels, "fp").select(*keep, "fp", "root", "component_id")
 
 
