@@ -40,6 +40,9 @@ SIDE_WORDS = set(
     " recommendations pagination pager copyright disclaimer toolbar widget skip masthead topbar alert".split()
 )
 OUTER_SIDE_WORDS = {"header"}
+#: The only such words that count on an article itself; on the whole page none does.
+ARTICLE_SIDE_WORDS = set("ad ads advert advertisement sponsored promo related recommended teaser".split())
+PAGE_TAGS = {"html", "body", "main"}
 COMMENT_WORDS = set("comment comments commentlist discussion disqus replies reply respond".split())
 # Frequent short words by language.
 STOP_WORDS = set(
@@ -92,7 +95,9 @@ def _attributes(source: str) -> dict[str, str]:
 class _Reader:
     """Turns a page into blocks."""
 
-    def __init__(self):
+    def __init__(self, names_count: bool = True):
+        self.names_count = names_count
+        self.own_side = False  # of a paragraph, which has no element on the stack
         self.stack = [_Element("", False, False, False, 0)]
         self.blocks: list[Block] = []
         self.parts: list[str] = []
@@ -139,8 +144,8 @@ class _Reader:
         text = " ".join("".join(self.parts).split())
         if text:
             here = self.stack[-1]
-            self.blocks.append(Block(text, self.linked, here.side, here.article, self.heading))
-        self.parts, self.linked = [], 0
+            self.blocks.append(Block(text, self.linked, here.side or self.own_side, here.article, self.heading))
+        self.parts, self.linked, self.own_side = [], 0, False
 
     def start(self, name: str, source: str) -> None:
         if name == "br":
@@ -150,29 +155,42 @@ class _Reader:
             self.heading = name in HEADINGS
         if name == "a":
             self.in_link, self.link_depth = "href" in source.lower(), len(self.stack)
-        if name in VOID_TAGS or name == "p" or name not in BLOCK_TAGS | HIDDEN_TAGS and not source:
+        if name in VOID_TAGS or name not in BLOCK_TAGS | HIDDEN_TAGS and not source:
             return
         around = self.stack[-1]
         attributes = _attributes(source) if source else {}
-        words = set(NAME_WORD.findall(CAMEL.sub(" ", f"{attributes.get('class', '')} {attributes.get('id', '')}").lower()))
+        words = self._names(name, attributes)
         comment = around.comment or bool(words & COMMENT_WORDS)
         marked = bool(words & SIDE_WORDS) or attributes.get("role", "").lower() in SIDE_ROLES
+        hidden = name in HIDDEN_TAGS or "hidden" in attributes
+        hidden = hidden or "display:none" in attributes.get("style", "").replace(" ", "").lower()
         side = around.side or comment or name in SIDE_TAGS or marked
         if not around.article:
             side = side or name in OUTER_SIDE_TAGS or bool(words & OUTER_SIDE_WORDS)
+        if name == "p":  # ends with the next block, whether or not it is closed
+            self.own_side = side or hidden
+            return
         article = around.article
         is_article = name in ("article", "main") or attributes.get("role", "").lower() in ("article", "main")
-        if is_article and not comment and not marked and not self._inside(SIDE_TAGS):
+        if is_article and not comment and not marked and not article and not self._inside(SIDE_TAGS):
             # The names of what surrounds an article say nothing about it.
-            if not article:
-                self.articles += 1
-                article, side = self.articles, False
-        hidden = around.hidden or name in HIDDEN_TAGS or "hidden" in attributes
-        hidden = hidden or "display:none" in attributes.get("style", "").replace(" ", "").lower()
-        if name in BLOCK_TAGS | HIDDEN_TAGS or side != around.side or hidden != around.hidden:
+            self.articles += 1
+            article, side = self.articles, False
+        is_block = name in BLOCK_TAGS | HIDDEN_TAGS
+        # Inside a line of text, what is marked is left out of the line.
+        hidden = hidden or around.hidden or (side and not around.side and not is_block)
+        if is_block or side != around.side or hidden != around.hidden:
             self.stack.append(_Element(name, side, comment, hidden, article))
             self.open[name] += 1
 
+    def _names(self, tag: str, attributes: dict[str, str]) -> set[str]:
+        """Words of class and id that may mark an element."""
+        if not self.names_count or tag in PAGE_TAGS:
+            return set()
+        names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
+        words = set(NAME_WORD.findall(CAMEL.sub(" ", names).lower()))
+        return words & (ARTICLE_SIDE_WORDS | COMMENT_WORDS) if tag == "article" else words
+
     def _inside(self, tags: set[str]) -> bool:
         return any(self.open[tag] for tag in tags)
 
@@ -251,10 +269,17 @@ def _nearest(decided: list[bool | None]) -> list[tuple[int, bool] | None]:
 
 
 def extract(page: str | None) -> str:
-    """The main text: blocks in page order, a line each. Empty if there is none."""
-    blocks = _Reader().read(page or "")
-    classify(blocks)
-    return "\n".join(b.text for b in blocks if b.label)
+    """The main text: blocks in page order, a line each. Empty if there is none.
+
+    If all of a page is marked by its names as something else, the names are not believed.
+    """
+    for names_count in (True, False):
+        blocks = _Reader(names_count).read(page or "")
+        classify(blocks)
+        text = "\n".join(b.text for b in blocks if b.label)
+        if text or not blocks:
+            break
+    return text
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Keys sampled for each key range.
-SAMPLE_PER_RANGE = 64
+SAMPLE_PER_RANGE = 20
 
 
 def url_parts(url: str = "url") -> tuple:

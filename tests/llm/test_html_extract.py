@@ -31,6 +31,9 @@ SIDE = [
     f"<div role='complementary'><p>{MORE}</p></div>",
     f"<div style='display: none'><p>{MORE}</p></div>",
     f"<p><a href='/more'>{MORE}</a></p>",
+    f"<p class='advert'>{MORE}</p>",
+    f"<p hidden>{MORE}</p>",
+    f"<article class='related'><p>{MORE}</p></article>",
 ]
 
 
@@ -69,6 +72,20 @@ def test_short_blocks_take_the_nearest_label():
     assert extract(page(body)) == f"{LONG}\nnear the text\n{LONG}"
 
 
+def test_marked_parts_of_a_line_are_left_out():
+    body = f"<article><p>{LONG} <span class='share-links'>Share <b>this</b></span>{MORE}</p></article>"
+    assert extract(page(body)) == f"{LONG} {MORE}"
+
+
+def test_names_of_the_whole_page_say_nothing():
+    body = f"<div class='story'><h2>Head</h2><p>{LONG}</p></div>"
+    for mark in ("nav-open has-sidebar", "ads", "cookie-consent"):
+        assert extract(f"<html class='{mark}'><body class='{mark}'>{body}</body></html>") == f"Head\n{LONG}"
+        assert extract(page(f"<div class='{mark}'>{body}</div>")) == f"Head\n{LONG}"
+        assert extract(page(f"<main class='{mark}'>{body}</main>")) == f"Head\n{LONG}"
+    assert extract(page(f"<article class='post has-sidebar'>{body}</article>")) == f"Head\n{LONG}"
+
+
 def test_a_header_inside_an_article_belongs_to_it():
     body = f"<div class='layout has-sidebar'><article><header><h1>Head</h1></header><p>{LONG}</p></article></div>"
     assert extract(page(body)) == f"Head\n{LONG}"
