@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Chunks a worker remembers, the longest of them, and the characters split at a time.
-REMEMBERED, REMEMBERED_LENGTH, STRETCH = 400_000, 48, 1 << 20
+REMEMBERED, REMEMBERED_LENGTH, STRETCH = 200_000, 48, 1 << 20
 #: Pairs a worker remembers.
-REMEMBERED_PAIRS = 400_000
+REMEMBERED_PAIRS = 200_000
 
 SCHEMA = "doc_id {0}, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
