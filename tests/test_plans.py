@@ -7,11 +7,9 @@ from conftest import SMALL
 from support import initial_plan, plan, rows
 
 from loanscope.operators import reports as R
-from loanscope.operators.cleaning import clean_loans, dedup_by_id
+from loanscope.operators.cleaning import dedup_by_id
 from loanscope.operators.joins import join_lookup
-from loanscope.plans.loan_view import loan_view
 from loanscope.plans.queries import QUERIES
-from loanscope.schema import STATISTIC_COLUMNS
 from loanscope.sources.readers import read_processed
 from loanscope.sources.writers import write_loans
 
