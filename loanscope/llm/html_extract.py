@@ -4,8 +4,12 @@ A page is cut into blocks at block-level tags. The first pass decides on what is
 clear: blocks inside navigation, footers, forms, notices, adverts or comments
 and blocks made of links are not text; blocks of some length with many stop
 words are. The second pass gives each block left over, short ones above all, the
-label of the nearest decided block. If the page marks its article, only blocks
-there count, and blocks there only look at each other.
+label of the nearest decided block.
+
+If the page marks its article, that is evidence beside the rules: what they leave
+undecided there is text, and outside only clear text counts, of some length in all.
+If there is that much, the whole page is read by the rules: a body beside a marked
+card or teaser stays.
 """
 
 import html as entities
@@ -233,29 +237,28 @@ def _decide(block: Block, stops_help: bool) -> bool | None:
 
 def classify(blocks: list[Block]) -> None:
     """Labels all blocks, in two passes."""
+    # Where no block has stop words of a language known here, length decides.
+    stops_help = any(_stop_density(b.text) >= STOPS_LOW for b in blocks if len(b.text) >= LENGTH_LOW)
+    decided = [_decide(b, stops_help) for b in blocks]
     if any(b.article and not b.side for b in blocks):
-        for block in blocks:
-            if not block.article:
-                block.label = False
-        regions = [[b for b in blocks if b.article == n] for n in sorted({b.article for b in blocks} - {0})]
-    else:
-        regions = [blocks]
-    for region in regions:
-        # Where no block has stop words of a language known here, length decides.
-        stops_help = any(_stop_density(b.text) >= STOPS_LOW for b in region if len(b.text) >= LENGTH_LOW)
-        decided = [_decide(b, stops_help) for b in region]
-        before, after = _nearest(decided), _nearest(decided[::-1])[::-1]
-        nothing_clear = True not in decided
-        for i, block in enumerate(region):
-            if decided[i] is not None:
-                block.label = decided[i]
-                continue
-            # Inside an article, what is left out leaves its neighbours alone.
-            near = [n for n in (before[i], after[i]) if n is not None and not (block.article and not n[1])]
-            if block.heading and after[i] is not None and after[i] in near:
-                near = [after[i]]
-            near = [n for n in near if n[0] == min(near)[0]]
-            block.label = any(label for _, label in near) if near else bool(block.article) or nothing_clear
+        # Outside a marked article, one short line is not enough: clear text there counts from a length on.
+        outside = sum(len(b.text) for b, label in zip(blocks, decided) if label and not b.article)
+        for i, block in enumerate(blocks):
+            if block.article:
+                decided[i] = decided[i] is not False  # what is left out leaves its neighbours alone
+            elif outside < LENGTH_HIGH:
+                decided[i] = False
+    before, after = _nearest(decided), _nearest(decided[::-1])[::-1]
+    nothing_clear = True not in decided
+    for i, block in enumerate(blocks):
+        if decided[i] is not None:
+            block.label = decided[i]
+            continue
+        near = [n for n in (before[i], after[i]) if n is not None]
+        if block.heading and after[i] is not None:
+            near = [after[i]]
+        near = [n for n in near if n[0] == min(near)[0]]
+        block.label = any(label for _, label in near) if near else nothing_clear
 
 
 def _nearest(decided: list[bool | None]) -> list[tuple[int, bool] | None]:

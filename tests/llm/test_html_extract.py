@@ -86,6 +86,15 @@ def test_names_of_the_whole_page_say_nothing():
     assert extract(page(f"<article class='post has-sidebar'>{body}</article>")) == f"Head\n{LONG}"
 
 
+@pytest.mark.parametrize("mark", ["<article>{}</article>", "<main>{}</main>", "<div role='article'>{}</div>"])
+def test_a_body_beside_a_marked_card_stays(mark):
+    card, body = mark.format("<p>Read on.</p>"), f"<div><h1>Head</h1><p>{LONG}</p><p>Yes.</p><p>{MORE}</p></div>"
+    assert extract(page(card + body)) == f"Read on.\nHead\n{LONG}\nYes.\n{MORE}"
+    assert extract(page(body + card)) == f"Head\n{LONG}\nYes.\n{MORE}\nRead on."
+    # A short line outside is not a body.
+    assert extract(page("<div>All of it for you</div>" + mark.format(f"<p>{LONG}</p><p>{MORE}</p>"))) == f"{LONG}\n{MORE}"
+
+
 def test_a_header_inside_an_article_belongs_to_it():
     body = f"<div class='layout has-sidebar'><article><header><h1>Head</h1></header><p>{LONG}</p></article></div>"
     assert extract(page(body)) == f"Head\n{LONG}"
