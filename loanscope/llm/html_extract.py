@@ -3,20 +3,22 @@
 A page is cut into blocks at block-level tags. The first pass decides on what is
 clear: blocks inside navigation, footers, forms, notices, adverts or comments
 and blocks made of links are not text; blocks of some length with many stop
-words are. The second pass gives each block left over, short ones above all, the
-label of the nearest decided block.
+words are. The second pass gives each block left over, long ones first, the
+label of the nearest decided block. Blocks inside the parts named above decide
+nothing about those around them.
 
 If the page marks its article, that is evidence beside the rules: what they leave
-undecided there is text, and outside only clear text counts, of some length in all.
-If there is that much, the whole page is read by the rules: a body beside a marked
-card or teaser stays.
+undecided there is text, and outside only clear text of some length counts, or
+more text than is marked. If there is that much, the whole page is read by the
+rules: a body beside a marked card or teaser stays.
 """
 
 import html as entities
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -60,7 +62,7 @@ STOP_WORDS = set(
 
 LENGTH_LOW, LENGTH_HIGH = 70, 140
 STOPS_LOW, STOPS_HIGH = 0.2, 0.3
-LINKS_HIGH = 0.5
+LINKS_LOW, LINKS_HIGH = 0.2, 0.5
 
 TAG = re.compile(
     r"<!--|<([/]?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[/]?([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>"
@@ -231,34 +233,56 @@ def _decide(block: Block, stops_help: bool) -> bool | None:
     density = _stop_density(block.text)
     if density >= STOPS_HIGH or (density >= STOPS_LOW and length >= LENGTH_HIGH):
         return True
-    # Few stop words speak against a block, unless the page itself calls it article.
-    return None if block.article or density >= STOPS_LOW else False
+    # Few stop words alone say nothing, as in lists of names, tables or code; with links they speak against a block.
+    return False if density < STOPS_LOW and block.linked > LINKS_LOW * length else None
 
 
 def classify(blocks: list[Block]) -> None:
     """Labels all blocks, in two passes."""
     # Where no block has stop words of a language known here, length decides.
     stops_help = any(_stop_density(b.text) >= STOPS_LOW for b in blocks if len(b.text) >= LENGTH_LOW)
-    decided = [_decide(b, stops_help) for b in blocks]
-    if any(b.article and not b.side for b in blocks):
-        # Outside a marked article, one short line is not enough: clear text there counts from a length on.
-        outside = sum(len(b.text) for b, label in zip(blocks, decided) if label and not b.article)
-        for i, block in enumerate(blocks):
+    for block in blocks:
+        block.label = _decide(block, stops_help)
+    inside = sum(len(b.text) for b in blocks if b.article and b.label is not False)
+    if inside:
+        # Outside a marked article short lines are not enough: clear text there counts from a length on, and
+        # text of long blocks that is not clear if it is more than what is marked.
+        clear = sum(len(b.text) for b in blocks if b.label and not b.article)
+        unclear = sum(len(b.text) for b in blocks if b.label is None and _is_long(b) and not b.article)
+        for block in blocks:
             if block.article:
-                decided[i] = decided[i] is not False  # what is left out leaves its neighbours alone
-            elif outside < LENGTH_HIGH:
-                decided[i] = False
-    before, after = _nearest(decided), _nearest(decided[::-1])[::-1]
-    nothing_clear = True not in decided
-    for i, block in enumerate(blocks):
-        if decided[i] is not None:
-            block.label = decided[i]
-            continue
-        near = [n for n in (before[i], after[i]) if n is not None]
-        if block.heading and after[i] is not None:
-            near = [after[i]]
-        near = [n for n in near if n[0] == min(near)[0]]
-        block.label = any(label for _, label in near) if near else nothing_clear
+                block.label = block.label is not False  # what is left out leaves its neighbours alone
+            elif clear < LENGTH_HIGH and clear + unclear <= inside:
+                block.label = False
+    # Long blocks first: what is marked as something else says nothing about them.
+    plain = [b for b in blocks if not b.side]
+    if any(b.label for b in plain):
+        _inherit(plain, _is_long, False)
+    else:
+        for block in plain:
+            block.label = True if block.label is None and _is_long(block) else block.label
+    # Then the rest, each between two marked blocks only.
+    nothing_clear = not any(b.label for b in plain)
+    for side, stretch in groupby(blocks, lambda b: b.side):
+        if not side:
+            _inherit(list(stretch), lambda _: True, nothing_clear)
+
+
+def _is_long(block: Block) -> bool:
+    return len(block.text) >= LENGTH_LOW and not block.heading
+
+
+def _inherit(region: list[Block], which: Callable[[Block], bool], default: bool) -> None:
+    """Gives undecided blocks the label of the nearest decided one of their region, or the default if there is none."""
+    labels = [b.label for b in region]
+    before, after = _nearest(labels), _nearest(labels[::-1])[::-1]
+    for i, block in enumerate(region):
+        if labels[i] is None and which(block):
+            near = [n for n in (before[i], after[i]) if n is not None]
+            if block.heading and after[i] is not None:
+                near = [after[i]]
+            near = [n for n in near if n[0] == min(near)[0]]
+            block.label = any(label for _, label in near) if near else default
 
 
 def _nearest(decided: list[bool | None]) -> list[tuple[int, bool] | None]:

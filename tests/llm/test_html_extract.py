@@ -1,5 +1,6 @@
 """Main text of pages whose article is known."""
 
+import pyarrow.parquet as pq
 import pytest
 from llm.support import rows
 
@@ -72,6 +73,30 @@ def test_short_blocks_take_the_nearest_label():
     assert extract(page(body)) == f"{LONG}\nnear the text\n{LONG}"
 
 
+@pytest.mark.parametrize("around", ["<div>{}</div>", "<article><p>Card.</p></article><div>{}</div>"])
+def test_blocks_with_few_stop_words_stay_without_a_mark(around):
+    names = "Zxcv qwer tyui " * 8
+    blocks = ["Head", LONG, names.strip(), "Yes.", names.strip(), names.strip(), "No."]
+    body = "<h1>Head</h1>" + "".join(f"<p>{b}</p>" for b in blocks[1:])
+    got = extract(page("<nav><a href='/'>Home</a></nav>" + around.format(body) + f"<footer>{MORE}</footer>"))
+    assert got.removeprefix("Card.\n") == "\n".join(blocks)
+    # Nor does a page need a clear block, or a long one without a mark.
+    body = f"<h1>Head</h1><p>{names}</p><p>Yes.</p>"
+    got = extract(page("<nav><a href='/'>Home</a></nav>" + around.format(body) + f"<footer>{MORE}</footer>"))
+    assert got.removeprefix("Card.\n") == f"Head\n{names.strip()}\nYes."
+
+
+def test_few_stop_words_with_links_are_not_text():
+    tags = "Zxcv qwer tyui " * 4 + "<a href='/t'>zxcv qwer tyui zxcv qwer</a>"
+    assert extract(page(f"<div><p>{LONG}</p><p>{MORE}</p><p>{tags}</p></div>")) == f"{LONG}\n{MORE}"
+
+
+def test_given_pages_without_their_mark():
+    given = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"])["html"].to_pylist()
+    for html in given:
+        assert extract(html.replace("<article>", "<div>").replace("</article>", "</div>")) == extract(html)
+
+
 def test_marked_parts_of_a_line_are_left_out():
     body = f"<article><p>{LONG} <span class='share-links'>Share <b>this</b></span>{MORE}</p></article>"
     assert extract(page(body)) == f"{LONG} {MORE}"
