@@ -63,6 +63,10 @@ STOP_WORDS = set(
 LENGTH_LOW, LENGTH_HIGH = 70, 140
 STOPS_LOW, STOPS_HIGH = 0.2, 0.3
 LINKS_LOW, LINKS_HIGH = 0.2, 0.5
+#: Of a page's long blocks, by length, how much must have stop words for them to count.
+STOPS_SHARE = 0.25
+#: Lines left of a page are few if what its names mark is that many times as long.
+FEW_LINES = 10
 
 TAG = re.compile(
     r"<!--|<([/]?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[/]?([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>"
@@ -221,9 +225,13 @@ def _stop_density(text: str) -> float:
     return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
 
 
+def _is_out(block: Block) -> bool:
+    return block.side or block.linked > LINKS_HIGH * len(block.text)
+
+
 def _decide(block: Block, stops_help: bool) -> bool | None:
     """True for text, False for the rest, None for what the neighbours must tell."""
-    if block.side or block.linked > LINKS_HIGH * len(block.text):
+    if _is_out(block):
         return False
     length = len(block.text)
     if length < LENGTH_LOW or block.heading:
@@ -239,8 +247,10 @@ def _decide(block: Block, stops_help: bool) -> bool | None:
 
 def classify(blocks: list[Block]) -> None:
     """Labels all blocks, in two passes."""
-    # Where no block has stop words of a language known here, length decides.
-    stops_help = any(_stop_density(b.text) >= STOPS_LOW for b in blocks if len(b.text) >= LENGTH_LOW)
+    # Where little of what may be text has stop words of a language known here, length decides.
+    may_be_text = [b.text for b in blocks if len(b.text) >= LENGTH_LOW and not _is_out(b)]
+    known = sum(len(t) for t in may_be_text if _stop_density(t) >= STOPS_LOW)
+    stops_help = known > STOPS_SHARE * sum(map(len, may_be_text))
     for block in blocks:
         block.label = _decide(block, stops_help)
     inside = sum(len(b.text) for b in blocks if b.article and b.label is not False)
@@ -298,17 +308,22 @@ def _nearest(decided: list[bool | None]) -> list[tuple[int, bool] | None]:
 def extract(page: str | None) -> str:
     """The main text: blocks in page order, a line each. Empty if there is none.
 
-    If all of a page is marked by its names as something else, the names are not believed.
+    If all of a page but a few short lines is marked by its names as something else, the names are not believed.
     """
-    for names_count in (True, False):
-        blocks = _Reader(names_count).read(page or "")
-        classify(blocks)
-        text = "\n".join(b.text for b in blocks if b.label)
-        if text or not blocks:
-            break
+    blocks = _Reader().read(page or "")
+    text = _chosen(blocks)
+    if blocks and len(text) < LENGTH_LOW and not any(b.article and b.label for b in blocks):
+        unnamed = _chosen(_Reader(names_count=False).read(page or ""))
+        if not text or len(unnamed) > max(LENGTH_LOW, FEW_LINES * len(text)):
+            return unnamed
     return text
 
 
+def _chosen(blocks: list[Block]) -> str:
+    classify(blocks)
+    return "\n".join(b.text for b in blocks if b.label)
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every row; a missing page has an empty text."""
 

@@ -120,6 +120,29 @@ def test_a_body_beside_a_marked_card_stays(mark):
     assert extract(page("<div>All of it for you</div>" + mark.format(f"<p>{LONG}</p><p>{MORE}</p>"))) == f"{LONG}\n{MORE}"
 
 
+OTHER = "Старая мельница стояла над рекой, и жители долины говорили, что второй такой нет во всём крае. "
+
+
+@pytest.mark.parametrize(
+    "notice", ["<div class='cookie-notice'><p>{}</p></div>", "<footer>{}</footer>", "<p><a href='/x'>{}</a></p>"]
+)
+def test_a_notice_says_nothing_about_a_page_in_another_language(notice):
+    links = "<ul><li><a href='/a'>Домой</a></li><li><a href='/b'>Новости</a></li></ul>"
+    blocks = ["Мельница", OTHER.strip(), (OTHER * 3).strip(), (OTHER * 2).strip(), "Да."]
+    body = "<div><h1>Мельница</h1>" + "".join(f"<p>{b}</p>" for b in blocks[1:]) + "</div>"
+    for html in (links + body + notice.format(MORE), notice.format(MORE) + body + links):
+        assert extract(page(html)) == "\n".join(blocks)
+    # A notice without a mark stays, but does not cost the body.
+    assert extract(page(f"{links}{body}<div>{MORE}</div>")) == "\n".join([*blocks, MORE])
+
+
+def test_marked_notices_stay_out_if_a_short_text_is_left():
+    notice = f"<div class='cookie-notice'><p>{MORE}</p></div>"
+    assert extract(page(f"<div><h1>Head</h1><p>One short line of it.</p></div>{notice}")) == "Head\nOne short line of it."
+    body = f"<p>{LONG}</p><p>{MORE}</p>"
+    assert extract(page(f"<p>Acme</p><div class='has-sidebar'>{body}</div>")) == f"Acme\n{LONG}\n{MORE}"
+
+
 def test_a_header_inside_an_article_belongs_to_it():
     body = f"<div class='layout has-sidebar'><article><header><h1>Head</h1></header><p>{LONG}</p></article></div>"
     assert extract(page(body)) == f"Head\n{LONG}"
