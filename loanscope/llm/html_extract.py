@@ -37,6 +37,9 @@ HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are never the article, and those that are not when outside one.
 SIDE_TAGS = set("nav footer aside form menu dialog search".split())
 OUTER_SIDE_TAGS = {"header"}
+#: Of the former, those that may be around a whole page, and their parts that are not text even then.
+AROUND_TAGS = {"form", "dialog", "menu"}
+FORM_PARTS = {"label", "legend"}
 SIDE_ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 #: Words of class and id names that mark what is not the article.
 SIDE_WORDS = set(
@@ -105,8 +108,9 @@ def _attributes(source: str) -> dict[str, str]:
 class _Reader:
     """Turns a page into blocks."""
 
-    def __init__(self, names_count: bool = True):
+    def __init__(self, names_count: bool = True, forms_count: bool = True):
         self.names_count = names_count
+        self.side_tags = SIDE_TAGS if forms_count else SIDE_TAGS - AROUND_TAGS | FORM_PARTS
         self.own_side = False  # of a paragraph, which has no element on the stack
         self.stack = [_Element("", False, False, False, 0)]
         self.blocks: list[Block] = []
@@ -165,7 +169,7 @@ class _Reader:
             self.heading = name in HEADINGS
         if name == "a":
             self.in_link, self.link_depth = "href" in source.lower(), len(self.stack)
-        if name in VOID_TAGS or name not in BLOCK_TAGS | HIDDEN_TAGS and not source:
+        if name in VOID_TAGS or name not in BLOCK_TAGS | HIDDEN_TAGS | self.side_tags and not source:
             return
         around = self.stack[-1]
         attributes = _attributes(source) if source else {}
@@ -174,7 +178,7 @@ class _Reader:
         marked = bool(words & SIDE_WORDS) or attributes.get("role", "").lower() in SIDE_ROLES
         hidden = name in HIDDEN_TAGS or "hidden" in attributes
         hidden = hidden or "display:none" in attributes.get("style", "").replace(" ", "").lower()
-        side = around.side or comment or name in SIDE_TAGS or marked
+        side = around.side or comment or name in self.side_tags or marked
         if not around.article:
             side = side or name in OUTER_SIDE_TAGS or bool(words & OUTER_SIDE_WORDS)
         if name == "p":  # ends with the next block, whether or not it is closed
@@ -182,8 +186,8 @@ class _Reader:
             return
         article = around.article
         is_article = name in ("article", "main") or attributes.get("role", "").lower() in ("article", "main")
-        if is_article and not comment and not marked and not article and not self._inside(SIDE_TAGS):
-            # The names of what surrounds an article say nothing about it.
+        if is_article and not comment and not marked and not article and not self._inside(SIDE_TAGS - AROUND_TAGS):
+            # The names of what surrounds an article say nothing about it, nor does a form around it.
             self.articles += 1
             article, side = self.articles, False
         is_block = name in BLOCK_TAGS | HIDDEN_TAGS
@@ -308,15 +312,16 @@ def _nearest(decided: list[bool | None]) -> list[tuple[int, bool] | None]:
 def extract(page: str | None) -> str:
     """The main text: blocks in page order, a line each. Empty if there is none.
 
-    If all of a page but a few short lines is marked by its names as something else, the names are not believed.
+    If all of a page but a few short lines is marked by its names as something else, the names are not believed,
+    and likewise if all of it is in a form.
     """
     blocks = _Reader().read(page or "")
     text = _chosen(blocks)
-    if blocks and len(text) < LENGTH_LOW and not any(b.article and b.label for b in blocks):
-        unnamed = _chosen(_Reader(names_count=False).read(page or ""))
-        if not text or len(unnamed) > max(LENGTH_LOW, FEW_LINES * len(text)):
-            return unnamed
-    return text
+    if not blocks or len(text) >= LENGTH_LOW or any(b.article and b.label for b in blocks):
+        return text
+    unnamed, unformed = (_chosen(_Reader(*count).read(page or "")) for count in ((False, True), (True, False)))
+    other = max(unnamed, unformed, key=len) or _chosen(_Reader(False, False).read(page or ""))
+    return other if not text or len(other) > max(LENGTH_LOW, FEW_LINES * len(text)) else text
 
 
 def _chosen(blocks: list[Block]) -> str:

@@ -143,6 +143,18 @@ def test_marked_notices_stay_out_if_a_short_text_is_left():
     assert extract(page(f"<p>Acme</p><div class='has-sidebar'>{body}</div>")) == f"Acme\n{LONG}\n{MORE}"
 
 
+@pytest.mark.parametrize("around", ["<form action='/x'>{}</form>", "<form id='aspnetForm'>{}</form>", "<dialog open>{}</dialog>"])
+@pytest.mark.parametrize("article", ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>"])
+def test_a_form_around_the_page(around, article):
+    side = f"<nav><a href='/'>Home</a></nav><div class='sidebar'><p>{MORE}</p></div>"
+    body = article.format(f"<h1>Head</h1><p>{LONG}</p><p>Yes.</p><p>{MORE}</p>")
+    assert extract(page(around.format(side + body))) == f"Head\n{LONG}\nYes.\n{MORE}"
+    assert extract(page(around.format(side + body) + f"<footer>{LONG}</footer>")) == f"Head\n{LONG}\nYes.\n{MORE}"
+    # What is in a form beside the text, or has only labels, is no text.
+    assert extract(page(f"<div><p>{LONG}</p></div>" + around.format(f"<label>{MORE}</label><p>{MORE}</p>"))) == LONG
+    assert extract(page(around.format("<legend>Sign in</legend><label>Name of it</label><input name='q'>"))) == ""
+
+
 def test_a_header_inside_an_article_belongs_to_it():
     body = f"<div class='layout has-sidebar'><article><header><h1>Head</h1></header><p>{LONG}</p></article></div>"
     assert extract(page(body)) == f"Head\n{LONG}"
