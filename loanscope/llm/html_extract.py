@@ -32,7 +32,9 @@ BLOCK_TAGS = set(
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is not text of the page; nothing inside them is markup for the first few.
 RAW_TAGS = set("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN_TAGS = set("audio button canvas datalist head map math noscript object option select svg template video".split())
+HIDDEN_TAGS = set(
+    "annotation annotation-xml audio button canvas datalist head noscript option select svg template video".split()
+)
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are never the article, and those that are not when outside one.
 SIDE_TAGS = set("nav footer aside form menu dialog search".split())
@@ -233,16 +235,15 @@ def _is_out(block: Block) -> bool:
     return block.side or block.linked > LINKS_HIGH * len(block.text)
 
 
-def _decide(block: Block, stops_help: bool) -> bool | None:
-    """True for text, False for the rest, None for what the neighbours must tell."""
+def _decide(block: Block, density: float | None) -> bool | None:
+    """True for text, False for the rest, None for what the neighbours must tell; without a density length decides."""
     if _is_out(block):
         return False
     length = len(block.text)
     if length < LENGTH_LOW or block.heading:
         return None
-    if not stops_help:
+    if density is None:
         return True if length >= LENGTH_HIGH else None
-    density = _stop_density(block.text)
     if density >= STOPS_HIGH or (density >= STOPS_LOW and length >= LENGTH_HIGH):
         return True
     # Few stop words alone say nothing, as in lists of names, tables or code; with links they speak against a block.
@@ -252,11 +253,11 @@ def _decide(block: Block, stops_help: bool) -> bool | None:
 def classify(blocks: list[Block]) -> None:
     """Labels all blocks, in two passes."""
     # Where little of what may be text has stop words of a language known here, length decides.
-    may_be_text = [b.text for b in blocks if len(b.text) >= LENGTH_LOW and not _is_out(b)]
-    known = sum(len(t) for t in may_be_text if _stop_density(t) >= STOPS_LOW)
-    stops_help = known > STOPS_SHARE * sum(map(len, may_be_text))
-    for block in blocks:
-        block.label = _decide(block, stops_help)
+    density = [_stop_density(b.text) if len(b.text) >= LENGTH_LOW and not _is_out(b) else None for b in blocks]
+    known = sum(len(b.text) for b, d in zip(blocks, density) if d is not None and d >= STOPS_LOW)
+    stops_help = known > STOPS_SHARE * sum(len(b.text) for b, d in zip(blocks, density) if d is not None)
+    for block, own in zip(blocks, density):
+        block.label = _decide(block, own if stops_help else None)
     inside = sum(len(b.text) for b in blocks if b.article and b.label is not False)
     if inside:
         # Outside a marked article short lines are not enough: clear text there counts from a length on, and

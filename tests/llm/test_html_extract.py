@@ -56,6 +56,13 @@ def test_text_is_decoded_and_blanks_are_joined():
     assert extract(page(body)) == "a <b> & é! bold next\n2 < 3 &am"
 
 
+def test_formulas_and_fallbacks_are_text():
+    formula = "<math display='block'><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='TeX'>x=2</annotation></semantics></math>"
+    body = f"<article><p>So {formula} holds.</p><object data='a.pdf'><param name='p'><p>The text of it.</p></object>"
+    body += "<map name='m'><p>Places: <area href='/a' alt='A'>north</p></map><svg><text>drawn</text></svg></article>"
+    assert extract(page(body)) == "So x=2 holds.\nThe text of it.\nPlaces: north"
+
+
 def test_missing_end_tags():
     assert extract("<article><p>One<p><b>Two<br><p>Three<footer>foot") == "One\nTwo\nThree"
     assert extract("<body><nav><ul><li><a href='x'>Home<li><a href='y'>Away</nav><article><h2>Hi<p>You") == "Hi\nYou"
