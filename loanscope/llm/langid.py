@@ -8,10 +8,10 @@ equal. A text costs each language a number of bits, and the language that
 encodes it in the fewest wins.
 
 The statistics are frozen after training, so the code length of every byte after
-every context is known beforehand. One table holds them for the contexts that
-occur in any language; a language that lacks a context has its shorter one's
-lengths there. Scoring finds the longest context of each byte by walking the
-tree for all bytes of a batch together, and adds up table rows per text.
+every context is known beforehand. Each language has a table of them for its own
+contexts, of its own bounded size: other languages take no room from it. Scoring
+finds the longest context of each byte by walking a language's tree for all bytes
+of a batch together, and adds up table entries per text.
 """
 
 import re
@@ -28,12 +28,18 @@ UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 #: Bytes scored at a time.
 BATCH_BYTES = 1 << 20
+#: Bound of a language's table of code lengths; its tree takes as much again.
+LANGUAGE_BYTES = 24_000_000
 
 
 class ContextTrees:
-    """Code lengths in bits of each symbol after each context, for all languages."""
+    """Code lengths in bits of each symbol after each context of each language.
 
-    def __init__(self, samples: dict[str, list[str]], max_order: int = 4, table_bytes: int = 24_000_000):
+    A language keeps its most frequent contexts, of those seen twice, as far as its equal part of
+    ``table_bytes`` goes; without that bound, of ``LANGUAGE_BYTES``. ``left_out`` counts those that did not fit.
+    """
+
+    def __init__(self, samples: dict[str, list[str]], max_order: int = 4, table_bytes: int | None = None):
         self.languages, self.max_order = sorted(samples), max_order
         if not self.languages:
             return
@@ -43,10 +49,17 @@ class ContextTrees:
         self.n_symbols = len(seen) + 1
         self.symbol_of = np.full(256, self.n_symbols - 1, dtype=np.uint8 if self.n_symbols <= 256 else np.uint16)
         self.symbol_of[seen] = np.arange(len(seen))
-        symbols = {name: self._joined(texts)[0] for name, texts in data.items()}
-        n_contexts = max(2, table_bytes // (4 * self.n_symbols * len(self.languages)))
-        self._grow(symbols, n_contexts)
-        self._measure(symbols)
+        own_bytes = LANGUAGE_BYTES if table_bytes is None else table_bytes // len(self.languages)
+        n_contexts = max(2, own_bytes // (4 * self.n_symbols))
+        self.left_out: dict[str, int] = {}
+        roots, children, bits = [0], [], []
+        for name in self.languages:
+            symbols, _ = self._joined(data[name])
+            own_children, parent, levels, self.left_out[name] = self._grow(symbols, n_contexts)
+            bits.append(self._measure(symbols, own_children, parent, levels))
+            children.append(np.where(own_children > 0, own_children + np.int32(roots[-1]), 0).astype(np.int32))
+            roots.append(roots[-1] + len(parent))
+        self.roots, self.children, self.bits = roots[:-1], np.concatenate(children), np.concatenate(bits)
 
     def _joined(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of the texts, a separator before each, and where each text's separator is."""
@@ -56,61 +69,62 @@ class ContextTrees:
         symbols[starts] = self.n_symbols - 1
         return symbols, starts
 
-    def _grow(self, symbols: dict[str, np.ndarray], n_contexts: int) -> None:
-        """Chooses the most frequent contexts. A context's suffixes are at least as frequent, so they come along."""
+    def _grow(self, s: np.ndarray, n_contexts: int) -> tuple[np.ndarray, np.ndarray, list[int], int]:
+        """Chooses the most frequent contexts. A context's suffixes are at least as frequent, so they come along.
+
+        Gives the children and the parent of each node, where each order's nodes start, and how many were left out.
+        """
         base, separator = self.n_symbols, self.n_symbols - 1
         frequent = []
         for order in range(1, self.max_order + 1):
-            total: dict[int, int] = {}
-            for s in symbols.values():
-                # A context is a number whose lowest digit is the byte just before, plus one.
-                windows = [s[order - 1 - d : len(s) - 1 - d].astype(np.int64) for d in range(order)]
-                inside = np.all([w != separator for w in windows], axis=0) & (s[order:] != separator)
-                codes = sum((w + 1) * (base + 1) ** d for d, w in enumerate(windows))[inside]
-                for code, count in zip(*(x.tolist() for x in np.unique(codes, return_counts=True))):
-                    total[code] = total.get(code, 0) + count
-            frequent += [(-count, order, code) for code, count in total.items() if count > 1]
+            # A context is a number whose lowest digit is the byte just before, plus one.
+            windows = [s[order - 1 - d : len(s) - 1 - d].astype(np.int64) for d in range(order)]
+            inside = np.all([w != separator for w in windows], axis=0) & (s[order:] != separator)
+            codes = sum((w + 1) * (base + 1) ** d for d, w in enumerate(windows))[inside]
+            for code, count in zip(*(x.tolist() for x in np.unique(codes, return_counts=True))):
+                if count > 1:
+                    frequent.append((-count, order, code))
         chosen = sorted(frequent)[: n_contexts - 1]
         node_of = {0: 0}
-        self.children = np.zeros((len(chosen) + 1, base), dtype=np.int32)
-        self.parent = np.zeros(len(chosen) + 1, dtype=np.int32)
+        children = np.zeros((len(chosen) + 1, base), dtype=np.int32)
+        parents = np.zeros(len(chosen) + 1, dtype=np.int32)
+        levels = [0, 1]
         for _, order, code in sorted(chosen, key=lambda c: (c[1], c[2])):
+            if order == len(levels):
+                levels.append(len(node_of))
             last, parent = divmod(code, (base + 1) ** (order - 1))
             node_of[code] = node = len(node_of)
-            self.parent[node] = node_of[parent]
-            self.children[node_of[parent], last - 1] = node
+            parents[node] = node_of[parent]
+            children[node_of[parent], last - 1] = node
+        return children, parents, [*levels, len(node_of)], len(frequent) - len(chosen)
 
-    def _contexts(self, symbols: np.ndarray) -> np.ndarray:
+    def _contexts(self, children: np.ndarray, root: int, symbols: np.ndarray) -> np.ndarray:
         """Of each symbol but the first ``max_order``, the node of the longest context before it."""
         n = len(symbols) - self.max_order
-        here = np.zeros(n, dtype=np.int32)
+        here = np.full(n, root, dtype=np.int32)
         alive = np.ones(n, dtype=bool)
         for back in range(1, self.max_order + 1):
-            below = self.children[here, symbols[self.max_order - back : self.max_order - back + n]]
+            below = children[here, symbols[self.max_order - back : self.max_order - back + n]]
             alive &= below > 0
             here = np.where(alive, below, here)
         return here
 
-    def _measure(self, symbols: dict[str, np.ndarray]) -> None:
+    def _measure(self, s: np.ndarray, children: np.ndarray, parent: np.ndarray, levels: list[int]) -> np.ndarray:
         base, separator = self.n_symbols, self.n_symbols - 1
         lead = np.full(self.max_order, separator, dtype=self.symbol_of.dtype)
-        self.bits = np.empty((len(self.parent), base, len(self.languages)), dtype=np.float32)
-        for language, name in enumerate(self.languages):
-            s = symbols[name]
-            nodes = self._contexts(np.concatenate([lead, s]))
-            own = s != separator
-            counts = np.bincount(nodes[own].astype(np.int64) * base + s[own], minlength=len(self.parent) * base)
-            counts = counts.reshape(-1, base).astype(np.float64)
-            for node in range(len(self.parent) - 1, 0, -1):  # a longer context counts for its shorter ones
-                counts[self.parent[node]] += counts[node]
-            p = np.full(base, 1 / 256)
-            bytes_of = np.ones(base)
-            bytes_of[separator] = 256 - separator  # all bytes never seen share a place, each with the chance there
-            chances = np.empty_like(counts)
-            for node in range(len(self.parent)):
-                shorter = chances[self.parent[node]] if node else p
-                chances[node] = _escape(counts[node], shorter, bytes_of)
-            self.bits[:, :, language] = -np.log2(chances)
+        nodes = self._contexts(children, 0, np.concatenate([lead, s]))
+        own = s != separator
+        counts = np.bincount(nodes[own].astype(np.int64) * base + s[own], minlength=len(parent) * base)
+        counts = counts.reshape(-1, base).astype(np.float64)
+        orders = [slice(*ends) for ends in zip(levels[:-1], levels[1:]) if ends[0] < ends[1]]
+        for nodes_of in orders[:0:-1]:  # a longer context counts for its shorter ones
+            np.add.at(counts, parent[nodes_of], counts[nodes_of])
+        bytes_of = np.ones(base)
+        bytes_of[separator] = 256 - separator  # all bytes never seen share a place, each with the chance there
+        chances = np.full_like(counts, 1 / 256)
+        for nodes_of in orders:
+            chances[nodes_of] = _escape(counts[nodes_of], chances[parent[nodes_of]], bytes_of)
+        return -np.log2(chances).astype(np.float32)
 
     def code_lengths(self, texts: Iterator[str]) -> np.ndarray:
         """Bits that each text takes in each language."""
@@ -134,10 +148,12 @@ class ContextTrees:
             return np.empty((0, len(self.languages)))
         symbols, starts = self._joined(texts)
         lead = np.full(self.max_order, self.n_symbols - 1, dtype=symbols.dtype)
-        nodes = self._contexts(np.concatenate([lead, symbols]))
-        bits = self.bits.reshape(-1, len(self.languages))[nodes.astype(np.int64) * self.n_symbols + symbols]
-        bits[starts] = 0
-        return np.add.reduceat(bits, starts, axis=0, dtype=np.float64)
+        behind, out = np.concatenate([lead, symbols]), np.empty((len(texts), len(self.languages)))
+        for language, root in enumerate(self.roots):
+            bits = self.bits[self._contexts(self.children, root, behind), symbols]
+            bits[starts] = 0
+            out[:, language] = np.add.reduceat(bits, starts, dtype=np.float64)
+        return out
 
     def _long(self, data: bytes) -> np.ndarray:
         """A long text in stretches, each with the end of the one before as its context."""
@@ -146,9 +162,8 @@ class ContextTrees:
         for start in range(0, len(data), BATCH_BYTES):
             own = self.symbol_of[np.frombuffer(data[start : start + BATCH_BYTES], dtype=np.uint8)]
             symbols = np.concatenate([before, own])
-            nodes = self._contexts(symbols)
-            bits = self.bits.reshape(-1, len(self.languages))[nodes.astype(np.int64) * self.n_symbols + own]
-            total += bits.sum(axis=0, dtype=np.float64)
+            for language, root in enumerate(self.roots):
+                total[language] += self.bits[self._contexts(self.children, root, symbols), own].sum(dtype=np.float64)
             before = symbols[len(symbols) - self.max_order :]
         return total
 
@@ -166,21 +181,24 @@ class ContextTrees:
 
 
 def _escape(counts: np.ndarray, shorter: np.ndarray, bytes_of: np.ndarray) -> np.ndarray:
-    """Chances of every byte after a context, given those after the context one byte shorter."""
+    """Chances of every byte after some contexts, a row each, given those after the contexts one byte shorter."""
     seen = counts > 0
-    distinct, total = int(seen.sum()), counts.sum()
-    if not distinct:
-        return shorter
-    left_over = (shorter * bytes_of)[~seen].sum()
-    return np.where(seen, counts / (total + distinct), shorter * (distinct / (total + distinct) / max(left_over, 1e-300)))
+    distinct, total = seen.sum(axis=1, keepdims=True), counts.sum(axis=1, keepdims=True)
+    left_over = np.where(seen, 0, shorter * bytes_of).sum(axis=1, keepdims=True)
+    share = np.maximum(total + distinct, 1)
+    chances = np.where(seen, counts / share, shorter * (distinct / share / np.maximum(left_over, 1e-300)))
+    return np.where(distinct > 0, chances, shorter)
 
 
-def train(docs: DataFrame, per_language: int = 400, max_bytes: int = 32_768, seed: int = 0) -> ContextTrees:
+def train(
+    docs: DataFrame, per_language: int = 400, max_bytes: int = 32_768, seed: int = 0, language_bytes: int = LANGUAGE_BYTES
+) -> ContextTrees:
     """Trees for the values of column ``lang``, from at most ``per_language`` texts of each.
 
     The texts with the smallest seeded hash of their id are taken, less those
     missing, empty or longer than ``max_bytes``. Rows without a language and
-    those of the held-out fold are not learnt from.
+    those of the held-out fold are not learnt from. A language's table takes at
+    most ``language_bytes``, however many languages there are.
     """
     order = F.xxhash64(F.lit(seed), F.col("doc_id"))
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
@@ -193,7 +211,7 @@ def train(docs: DataFrame, per_language: int = 400, max_bytes: int = 32_768, see
     samples: dict[str, list[str]] = {}
     for row in rows.orderBy("lang", "doc_id").collect():
         samples.setdefault(row["lang"], []).append(row["text"])
-    return ContextTrees(samples)
+    return ContextTrees(samples, table_bytes=language_bytes * len(samples))
 
 
 def identify(docs: DataFrame, model: ContextTrees) -> DataFrame:
