@@ -153,7 +153,7 @@ def draw(
         rows = rows.join(small(per_source), "stratum").withColumn("last_key", _key(seed, F.col("whole_blocks")))
         return rows.withColumn("bucket", hash_bucket("last_key", buckets))
 
-    lean = placed(counted.select(stratum, "doc_id", "n_tokens"), quotas).where("left_over > 0")
+    lean = placed(_documents(counted.select(stratum, "doc_id", "n_tokens")), quotas).where("left_over > 0")
     sums = lean.groupBy("stratum", "bucket", "left_over").agg(F.sum("n_tokens").alias("in_bucket"))
     up_to = F.sum("in_bucket").over(Window.partitionBy("stratum").orderBy("bucket"))
     # The bucket in which a source passes its target, and what is left of the target for it.
@@ -182,6 +182,11 @@ def draw(
     return drawn.select("doc_id", "row.*", "weight", "block", _key(seed, F.col("block")).alias("draw_key"))
 
 
+def _documents(rows: DataFrame) -> DataFrame:
+    """One row per document, the rows that agree in source and id, so that a window sees an id once."""
+    return rows.groupBy("stratum", "doc_id").agg(F.sum("n_tokens").alias("n_tokens"))
+
+
 def _key(seed: int, block: Column) -> Column:
     """Place of a document in the permutation of a block."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), block.cast("string"), F.col("doc_id").cast("string")))

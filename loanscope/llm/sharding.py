@@ -8,7 +8,8 @@ cutting that order into equal stretches gives shards whose row counts differ by
 at most one.
 
 Both rankings work in buckets: counts per bucket give each bucket its offset,
-and rows are ranked inside a bucket only. The first ranking takes its buckets
+and rows are ranked inside a bucket only, in the first ranking inside a part of
+the rows of one id. The first ranking takes its buckets
 from the hash, so a source with a third of all rows is dealt over as many tasks
 as any other rows; the second takes them from the fraction, which is even for
 every source. Texts do not move: only the carried columns do.
@@ -40,7 +41,8 @@ def assign_shards(
     empty, and an empty table gives an empty result.
 
     ``buckets`` bounds the rows ranked together to about one part in as many,
-    of the largest source and of the table.
+    of the largest source and of the table; rows of one id are divided by their
+    texts into as many parts, so only those that agree in both stay together.
     """
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
@@ -52,21 +54,28 @@ def assign_shards(
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("stratum"),
         F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"))).alias("shuffle_key"),
     ).withColumn("bucket", hash_bucket("shuffle_key", buckets))
+    # Rows of one id come in parts by their texts.
+    rows = rows.withColumn("part", F.shiftright(F.col("text_crc32") * buckets, 32))
+    part = ("stratum", "bucket", "shuffle_key", "part")
 
     counts = rows.groupBy("stratum", "bucket").count()
     stratum = Window.partitionBy("stratum")
-    offsets = counts.select(
+    of_buckets = counts.select(
         "stratum",
         "bucket",
-        (F.sum("count").over(stratum.orderBy("bucket")) - F.col("count")).alias("before"),
+        (F.sum("count").over(stratum.orderBy("bucket")) - F.col("count")).alias("before_bucket"),
         F.sum("count").over(stratum).alias("n_stratum"),
     )
-    ties = ("shuffle_key", "size", "text_crc32")
-    in_bucket = Window.partitionBy("stratum", "bucket").orderBy(*ties)
+    counts = rows.groupBy(*part).count()
+    up_to = F.sum("count").over(Window.partitionBy("stratum", "bucket").orderBy("shuffle_key", "part"))
+    offsets = counts.withColumn("before", up_to - F.col("count")).join(of_buckets, ["stratum", "bucket"])
+    offsets = offsets.select(*part, (F.col("before") + F.col("before_bucket")).alias("before"), "n_stratum")
+    ties = ("shuffle_key", "part", "size", "text_crc32")
+    in_bucket = Window.partitionBy(*part).orderBy(*ties)
     offset = (hash_bucket(F.md5(F.concat_ws("|", F.lit(str(seed)), "stratum")), 1 << 16) + 0.5) / (1 << 16)
     fraction = (F.col("before") + F.row_number().over(in_bucket) - 1 + offset) / F.col("n_stratum")
     ranked = checkpointed(
-        rows.join(offsets, ["stratum", "bucket"])
+        rows.join(offsets, [*part])
         .withColumn("fraction", fraction)
         .withColumn("bucket", F.least(F.floor(F.col("fraction") * buckets), F.lit(buckets - 1)))
         .drop("before", "n_stratum")

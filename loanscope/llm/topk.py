@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanscope.llm.common import runs
@@ -155,6 +155,11 @@ class _Search:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=names)
 
 
+def _shard(shards: int) -> Column:
+    """Shard of a row. Rows of one id are dealt out by their vectors."""
+    return F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int")
+
+
 def top_k(
     vectors: DataFrame, k: int = 10, scale: float = 1024.0, query_every: int = 100, shard_rows: int = 8192
 ) -> DataFrame:
@@ -169,6 +174,7 @@ def top_k(
     smaller id; a query with fewer than k candidates gets them all.
 
     ``shard_rows`` is the size of a tree, so the number of shards follows the table.
+    Only rows that agree in id and vector are in one shard however many they are.
     """
     component = F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
     finite = F.forall(
@@ -177,7 +183,7 @@ def top_k(
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), component.alias("vector"))
     shards = max(1, -(-rows.count() // shard_rows))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    rows = rows.withColumn("shard", _shard(shards))
     nothing = F.lit(None).cast("long")
     points = rows.select("shard", F.lit(False).alias("is_query"), "vec_id", nothing.alias("query_key"), nothing.alias("least"), "vector")
     queries = rows.where(F.col("vec_id") % query_every == 0).withColumn("query_key", F.xxhash64("vector"))

@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from llm.support import DOCS, ODD_TEXTS, WORD, docs, rows
 
+from loanscope.llm import mixing
 from loanscope.llm.mixing import count_tokens, draw, mix, mixture, repeat_to_weights
 
 
@@ -126,6 +127,18 @@ def test_the_last_block_is_the_start_of_a_permutation(spark, corpus, buckets):
         assert sorted(got) == sorted(want)
 
 
+def test_one_id_in_most_rows(spark):
+    df = docs(spark, ["a b"] * 400, doc_id=[i if i % 4 == 0 else None for i in range(400)], source=["x"] * 300 + ["y"] * 100)
+    counted = count_tokens(df)
+    lean = mixing._documents(counted.selectExpr("source AS stratum", "doc_id", "n_tokens"))
+    assert lean.count() == 102 and lean.agg({"n_tokens": "sum"}).first()[0] == 800
+    for row in mixture(counted, 0.99, 4.0, 1.0).collect():
+        drawn = [d for d in mix(df, 0.99).collect() if d["source"] == row["source"]]
+        assert sum(d["n_tokens"] for d in drawn) <= row["target"]
+        missing = Counter(d["block"] for d in drawn if d["doc_id"] is None)
+        assert set(missing.values()) <= {225 if row["source"] == "x" else 75}  # all or none
+
+
 def test_repeating_loses_no_document(spark, corpus):
     df = frame(spark, corpus).selectExpr("*", "1 AS block", "2 AS n_tokens", "3 AS weight")
     out = repeat_to_weights(df, 0.95, 4.0)

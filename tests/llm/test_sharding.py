@@ -59,6 +59,20 @@ def test_the_order_follows_the_rule(spark):
     assert [r["doc_id"] for r in sorted(placed, key=lambda r: r["slot"])] == [i for _, _, i in sorted(fractions)]
 
 
+def test_one_id_in_most_rows(spark):
+    ids, texts = [i if i % 3 == 0 else None for i in range(600)], [f"t{i}" for i in range(600)]
+    df = docs(spark, texts, doc_id=ids, source=["a", "b"] * 300)
+    placed = assign_shards(df, 7, buckets=64)
+    assert "text_crc32" in placed.columns and "part" not in placed.columns
+    check(list(zip(ids, texts)), placed.collect(), 7)
+    # Equal ids are ranked in parts by their texts, whatever the order of the rows.
+    again = assign_shards(df.repartition(5), 7, buckets=64)
+    assert rows(again) == rows(placed)
+    order = [r for r in sorted(assign_shards(df.where("source = 'a'"), 1, buckets=64).collect(), key=lambda r: r["slot"])]
+    parts = [r["text_crc32"] * 64 >> 32 for r in order if r["doc_id"] is None]
+    assert parts == sorted(parts)
+
+
 def test_seeds_differ(spark):
     df = docs(spark, ["x"] * 100)
     order = [[r["doc_id"] for r in sorted(assign_shards(df, 1, s).collect(), key=lambda r: r["slot"])] for s in (0, 1, 0)]

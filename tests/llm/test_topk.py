@@ -46,6 +46,15 @@ def test_ties_and_repeated_rows(spark):
     check(spark, same + same[:3] + [(400, [1.0, 0.0])], shard_rows=40)
 
 
+def test_one_id_in_most_rows(spark):
+    rng = np.random.default_rng(3)
+    data = [(100 if i % 3 else i, rng.normal(size=3).round(2).tolist()) for i in range(600)]
+    check(spark, data, k=3, shard_rows=100)
+    shard = topk._shard(6)
+    sizes = spark.createDataFrame(data, "vec_id long, vector array<double>").groupBy(shard).count().collect()
+    assert len(sizes) == 6 and max(r["count"] for r in sizes) < 200
+
+
 def test_one_vector_in_most_rows(spark):
     rng = np.random.default_rng(2)
     data = [(i, [0.5, -0.25, 0.125] if i % 3 else rng.normal(size=3).tolist()) for i in range(3000)]
