@@ -34,37 +34,52 @@ def required_filter(df: DataFrame) -> DataFrame:
     return df.where(" AND ".join(f"{c} IS NOT NULL" for c in REQUIRED_COLUMNS))
 
 
-def _row_order(df: DataFrame) -> list[Column]:
-    """One total order of whole rows, the same for a number read as text and as a number."""
-    rest = [c for c in df.columns if c != KEY]
-    as_text = [c for c in rest if c in NUMERIC_COLUMNS and df.schema[c].dataType == T.StringType()]
-    return [P.parse_number(F.col(c)).alias(f"{c}_") if c in as_text else F.col(c) for c in rest] + [F.col(c) for c in as_text]
+def row_digest(df: DataFrame) -> Column:
+    """128 bits of the whole row but its key, the same for a number read as text and as a number.
+
+    Lengths go before the values, so that these cannot run into each other; a
+    missing value has length -1. Numbers take part as the text of a double, and one
+    that does not parse as a missing one, as which it is cleaned.
+    """
+    texts = []
+    for c in df.columns:
+        if c != KEY:
+            value, kind = F.col(f"`{c}`"), df.schema[c].dataType
+            if isinstance(kind, T.NumericType) or c in NUMERIC_COLUMNS and kind == T.StringType():
+                texts.append(P.parse_number(value).cast("string"))
+            else:
+                texts.append(value if kind == T.StringType() else value.cast("string"))
+    lengths = [F.coalesce(F.octet_length(t), F.lit(-1)).cast("string") for t in texts]
+    return F.unhex(F.md5(F.concat_ws("|", *lengths, *texts)))
+
+
+def _one_per_id(df: DataFrame, digest: str) -> DataFrame:
+    """The row with the smallest digest of every id, without the digest."""
+    columns = [c for c in df.columns if c != digest]
+    smallest = F.min(F.struct(digest, *[F.col(f"`{c}`") for c in columns if c != KEY])).alias(digest)
+    return df.groupBy(KEY).agg(smallest).select(*[c if c == KEY else F.col(f"{digest}.`{c}`") for c in columns])
 
 
 def dedup_by_id(df: DataFrame, order_by: Sequence[str | Column] | None = None) -> DataFrame:
     """One whole row per ``id``; all rows without an id count as one key.
 
-    Keeps the first row in the given order, ties broken by the other columns; by
-    default the smallest row over all columns, numbers read as text compared as
-    numbers, missing values first. The choice depends on the data alone, so tasks
-    repeated after a lost executor make the same one, which ``dropDuplicates``
-    does not promise when copies differ.
+    Keeps the row with the smallest digest of all its columns, or the first in the
+    given order, ties broken by the digest. Numbers read as text count as numbers.
+    The choice depends on the data alone, so tasks repeated after a lost executor
+    make the same one, which ``dropDuplicates`` does not promise when copies differ.
 
     Every map task reduces its rows to one per key before the single shuffle, so
     a key that holds a large share of the rows stays cheap.
     """
-    order = _row_order(df)
+    marked = df.withColumn("_digest", row_digest(df))
     if order_by:
-        first = Window.partitionBy(KEY).orderBy(*order_by, *order)
-        return df.withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
-    # The order comes first in the struct and the row itself after it, as far as the order does not hold it.
-    ordered = {f.name for f in df.select(*order).schema}
-    smallest = F.min(F.struct(*order, *[c for c in df.columns if c != KEY and c not in ordered])).alias("_row")
-    return df.groupBy(KEY).agg(smallest).select(*[c if c == KEY else f"_row.{c}" for c in df.columns])
+        first = Window.partitionBy(KEY).orderBy(*order_by, "_digest", *[c for c in df.columns if c != KEY])
+        return marked.withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row", "_digest")
+    return _one_per_id(marked, "_digest")
 
 
-def add_features(df: DataFrame) -> DataFrame:
-    """Typed fields, derived features and upper-cased text in one projection.
+def add_features(df: DataFrame, *more: Column) -> DataFrame:
+    """Typed fields, derived features and upper-cased text, and more columns of the raw fields, in one projection.
 
     Every expression reads the raw fields, so the default flag sees the status
     before its text is normalised.
@@ -85,7 +100,7 @@ def add_features(df: DataFrame) -> DataFrame:
         "year": P.issue_year(issue_date),
         **{c: P.normalize_text(F.col(c)) for c in TEXT_COLUMNS},
     }
-    return df.select(*[cleaned[c].alias(c) if c in cleaned else c for c in CLEAN_COLUMNS])
+    return df.select(*[cleaned[c].alias(c) if c in cleaned else c for c in CLEAN_COLUMNS], *more)
 
 
 def clean_loans(
@@ -95,10 +110,15 @@ def clean_loans(
 ) -> DataFrame:
     """The whole chain: select, required filter, one row per id, features.
 
-    Which copy of a loan stays is decided on its whole raw row, before anything
-    else is looked at, so every report of a table speaks of the same loans.
-    ``columns`` asks for some cleaned columns besides ``id``, of the same rows.
-    ``order_by`` is evaluated on the raw columns.
+    Which copy of a loan stays is decided by a digest of its whole raw row, so every
+    report of a table speaks of the same loans. ``columns`` asks for some cleaned
+    columns besides ``id``, of the same rows: these, the id and the digest are all
+    that is sorted and shuffled. ``order_by`` is evaluated on the raw columns.
     """
-    cleaned = add_features(dedup_by_id(required_filter(select_columns(raw)), order_by))
-    return cleaned if columns is None else cleaned.select(KEY, *(c for c in columns if c != KEY))
+    rows = required_filter(select_columns(raw))
+    asked = None if columns is None else [KEY, *(c for c in columns if c != KEY)]
+    if asked is None or order_by:
+        cleaned = add_features(dedup_by_id(rows, order_by))
+        return cleaned if asked is None else cleaned.select(*asked)
+    marked = add_features(rows, row_digest(rows).alias("_digest"))
+    return _one_per_id(marked.select(*asked, "_digest"), "_digest")

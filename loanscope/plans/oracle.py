@@ -16,11 +16,9 @@ _EMP_LENGTH = (
 _ISSUE_DATE = "CAST(try_strptime(issue_d, '%b-%Y') AS DATE)"
 
 _NUMBER = {c: f"TRY_CAST({c} AS DOUBLE)" for c in NUMERIC_COLUMNS}
-# Copies of a loan in the order of their columns, numbers as numbers, then the text of the numbers.
-_ORDER = ", ".join(
-    f"{c} NULLS FIRST"
-    for c in [*(_NUMBER.get(c, c) for c in SELECTED_COLUMNS if c != "id"), *(c for c in SELECTED_COLUMNS if c in _NUMBER)]
-)
+# Copies of a loan in the order of a digest: the lengths of all values, then the values, numbers as doubles.
+_DIGESTED = [f"CAST({_NUMBER[c]} AS VARCHAR)" if c in _NUMBER else c for c in SELECTED_COLUMNS if c != "id"]
+_DIGEST = f"md5(concat_ws('|', {', '.join([*(f'coalesce(strlen({t}), -1)' for t in _DIGESTED), *_DIGESTED])}))"
 
 _REPLACED = {
     **_NUMBER,
@@ -58,7 +56,7 @@ WITH base AS (
   WHERE loan_status IS NOT NULL AND annual_inc IS NOT NULL AND issue_d IS NOT NULL
 ), deduped AS (
   SELECT * EXCLUDE (rn)
-  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_ORDER}) AS rn FROM required)
+  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_DIGEST}) AS rn FROM required)
   WHERE rn = 1
 ), clean AS (
   SELECT {_FEATURES} FROM deduped

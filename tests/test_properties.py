@@ -1,5 +1,6 @@
 """Random raw tables with hot keys, checked against a plain Python account of the rules."""
 
+import hashlib
 import random
 import re
 from collections import Counter
@@ -55,11 +56,12 @@ def is_complete(raw):
 
 
 def place(raw):
-    """Order of copies: by column, numbers as numbers, missing ones first, then by the text of the numbers."""
+    """Order of copies: a digest of the lengths of all values, then the values, numbers as doubles."""
     r = dict(zip(SELECTED_COLUMNS, raw))
-    values = [number(r[c]) if c in NUMERIC_COLUMNS else r[c] for c in SELECTED_COLUMNS if c != "id"]
-    values += [r[c] for c in SELECTED_COLUMNS if c in NUMERIC_COLUMNS]
-    return tuple((v is not None, v) for v in values)
+    r |= {c: None if number(r[c]) is None else str(number(r[c])) for c in NUMERIC_COLUMNS}
+    texts = [r[c] for c in SELECTED_COLUMNS if c != "id"]
+    lengths = [str(-1 if t is None else len(t.encode())) for t in texts]
+    return hashlib.md5("|".join([*lengths, *(t for t in texts if t is not None)]).encode()).digest()
 
 
 def clean_by_hand(raw):
