@@ -9,6 +9,7 @@ from loanscope.functions import parsing as P
 from loanscope.functions.statistics import percent
 from loanscope.operators.cleaning import select_columns
 from loanscope.schema import KEY, NUMERIC_COLUMNS, REQUIRED_COLUMNS, SELECTED_COLUMNS
+from loanscope.sources.records import TOO_LONG, TOO_SHORT, UNCLOSED
 
 
 def _is_complete() -> Column:
@@ -93,6 +94,14 @@ def validation_report(raw: DataFrame) -> DataFrame:
     return _violations(raw.transform(select_columns), rules)
 
 
+def malformed_report(good: DataFrame, malformed: DataFrame) -> DataFrame:
+    """Records by ``rule``, the well-formed ones under ``none``; a rule that nothing breaks has 0."""
+    rules = [TOO_SHORT, TOO_LONG, UNCLOSED]
+    broken = malformed.agg(*[F.count_if(F.col("rule") == r).alias(r) for r in rules])
+    counts = broken.unpivot([], rules, "rule", "records")
+    return counts.unionByName(good.agg(F.lit("none").alias("rule"), F.count("*").alias("records")))
+
+
 def output_validation(clean: DataFrame) -> DataFrame:
     """Violations of the output rules: critical nulls, flag values, repeated ids, no rows."""
     # Rows are first counted per id on the map side, so a repeated id is no hot spot.

@@ -1,6 +1,7 @@
 """The same results in standard SQL, for comparison on the same tables."""
 
 from loanscope.plans.loan_view import LOAN_EXPRESSIONS, REPEATED, UPDATED
+from loanscope.plans.stand_ins import DAMAGE
 from loanscope.schema import CLEAN_COLUMNS, NUMERIC_COLUMNS, SELECTED_COLUMNS, STATISTIC_COLUMNS, TEXT_COLUMNS
 
 _SELECTED = ", ".join(SELECTED_COLUMNS)
@@ -172,8 +173,13 @@ _OUTPUT_RULES = {
     "empty_output": "CAST(count(*) = 0 AS BIGINT)",
 }
 
+# The loans of the damaged files by what is done to them; of an empty value nothing comes back.
+_DAMAGED = "SELECT *, coalesce(TRY_CAST(loan_amnt AS BIGINT), 0) AS amount FROM loans"
+_KIND = "CASE " + " ".join(f"WHEN {when} THEN '{name}'" for name, when in DAMAGE.items()) + " ELSE 'none' END"
+
 ORACLE_SQL: dict[str, str] = {
     "scan_csv": _RAW_FROM_CSV,
+    "scan_csv_split": _RAW_FROM_CSV,
     "scan_csv_inferred": _RAW_INFERRED,
     "scan_processed": _CLEAN_ROWS,
     "scan_year_partition": _sql(f"SELECT {_CLEAN} FROM clean WHERE year = 1997"),
@@ -241,6 +247,13 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "validation_report": _violations("loans", _INPUT_RULES),
     "output_validation": _violations("faulty", _OUTPUT_RULES),
+    "malformed_records": _sql(
+        "SELECT rule, count(kind) AS records FROM (VALUES ('none'), ('too_short'), ('too_long'), ('unclosed')) r(rule) "
+        f"LEFT JOIN (SELECT {_KIND} AS kind FROM ({_DAMAGED})) ON kind = rule GROUP BY rule"
+    ),
+    "well_formed_rows": _sql(
+        f"SELECT {', '.join(f'nullif({c}, {chr(39) * 2}) AS {c}' for c in SELECTED_COLUMNS)} FROM ({_DAMAGED}) WHERE {_KIND} = 'none'"
+    ),
     "input_rows": _union(f"SELECT '{t}.parquet' AS file_name, count(*) AS n_rows FROM {t}" for t in ("orders", "customer")),
     "run_summary": _sql(f"SELECT count(*) AS n_rows, CAST({len(CLEAN_COLUMNS)} AS INTEGER) AS n_columns, 'loans' AS source FROM clean"),
     "phase_rows": _sql(

@@ -10,11 +10,14 @@ from loanscope.operators.cleaning import add_features, clean_loans, dedup_by_id,
 from loanscope.operators.joins import join_lookup
 from loanscope.plans.loan_view import loan_view
 from loanscope.plans.pipeline import run_pipeline
-from loanscope.schema import KEY, PREVIEW_COLUMNS, STATISTIC_COLUMNS, TEXT_COLUMNS
+from loanscope.plans.stand_ins import DAMAGE
+from loanscope.schema import KEY, PREVIEW_COLUMNS, SELECTED_COLUMNS, STATISTIC_COLUMNS, TEXT_COLUMNS
+from loanscope.sources.formats import CSV
 from loanscope.sources.manifest import input_manifest, output_manifest, rows_per_file
 from loanscope.sources.readers import read_csv, read_loans, read_processed
+from loanscope.sources.records import read_split_csv
 from loanscope.sources.scratch import scratch_path
-from loanscope.sources.writers import write_loans
+from loanscope.sources.writers import write_loans, write_quarantine
 
 #: Cuts the files of the smallest tables already.
 RECORDS_PER_FILE = 1000
@@ -49,6 +52,45 @@ def scan_csv(spark, sf_dir):
     return read_loans(spark, _written_raw(spark, sf_dir, "csv")).transform(select_columns)
 
 
+def scan_csv_split(spark, sf_dir):
+    """The raw table from files that are read in splits, line breaks in values and all."""
+    return read_split_csv(spark, _written_raw(spark, sf_dir, "csv"))[0].transform(select_columns)
+
+
+def _damaged_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The raw table as CSV lines without a header, some of them damaged."""
+    loans = raw(spark, sf_dir).transform(select_columns)
+    line = F.to_csv(F.struct(*[F.coalesce(c, F.lit("")) for c in loans.columns]), {"quoteAll": "true"} | {k: str(v) for k, v in CSV.items() if k != "header"})
+    amount = F.coalesce(F.col("loan_amnt").try_cast("bigint"), F.lit(0))
+    damage = DAMAGE.items()
+    kind = F.expr("CASE " + " ".join(f"WHEN {when} THEN '{name}'" for name, when in damage) + " END")
+    lines = loans.select(amount.alias("amount"), line.alias("line")).withColumn("kind", kind)
+    path = scratch_path(spark, "damaged")
+    damaged = F.expr(
+        """CASE kind WHEN 'too_short' THEN '"1","2",3' WHEN 'too_long' THEN concat(line, ',more') ELSE line END"""
+    )
+    whole = lines.where("kind IS NULL OR kind <> 'unclosed'").select(damaged.alias("value"))
+    whole.write.option("lineSep", "\n").text(path)
+    # A quote that nothing closes takes the rest of its file, so these come last in files of their own.
+    unclosed = lines.where("kind = 'unclosed'").select(F.concat("line", F.lit(',"never closed')).alias("value"))
+    unclosed.write.mode("append").option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def malformed_records(spark, sf_dir):
+    """Records that do not fit their columns, set aside by rule and counted there, and the rows that stay."""
+    good, malformed = read_split_csv(spark, _damaged_csv(spark, sf_dir), SELECTED_COLUMNS)
+    path = scratch_path(spark, "quarantine")
+    write_quarantine(malformed, path)
+    aside = spark.read.schema("rule string, file string, record string").json(path)
+    return quality.malformed_report(good, aside)
+
+
+def well_formed_rows(spark, sf_dir):
+    """The rows of the same files that are as they should be."""
+    return read_split_csv(spark, _damaged_csv(spark, sf_dir), SELECTED_COLUMNS)[0]
+
+
 def scan_csv_inferred(spark, sf_dir):
     return read_csv(spark, _written_raw(spark, sf_dir, "csv"), schema=None)
 
@@ -156,6 +198,7 @@ def _on_written(report: Callable[[DataFrame], DataFrame], *columns: str) -> Quer
 
 QUERIES: dict[str, Query] = {
     "scan_csv": scan_csv,
+    "scan_csv_split": scan_csv_split,
     "scan_csv_inferred": scan_csv_inferred,
     "scan_processed": scan_processed,
     "scan_year_partition": scan_year_partition,
@@ -204,6 +247,8 @@ QUERIES: dict[str, Query] = {
     "run_summary": lambda spark, sf_dir: reports.run_summary(clean(spark, sf_dir), "loans"),
     "completeness": _on_raw(quality.completeness),
     "validation_report": _on_raw(quality.validation_report),
+    "malformed_records": malformed_records,
+    "well_formed_rows": well_formed_rows,
     "output_validation": _on_raw(lambda df: quality.output_validation(_faulty(df))),
     "phase_metrics": phase_metrics,
     "phase_rows": phase_rows,

@@ -49,3 +49,8 @@ def write_loans(
 def write_report(table: DataFrame, path: str) -> None:
     """Saves a report as JSON, NULL values included."""
     table.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def write_quarantine(malformed: DataFrame, path: str) -> None:
+    """Saves records set aside as JSON, a folder per rule that they break."""
+    malformed.write.mode("overwrite").partitionBy("rule").json(path)

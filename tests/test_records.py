@@ -1,0 +1,114 @@
+"""CSV files read in splits, against Spark's reader, and records that do not fit."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from support import rows
+
+from loanscope.operators.quality import malformed_report
+from loanscope.sources.formats import CSV
+from loanscope.sources.records import n_fields, read_records, read_split_csv
+from loanscope.sources.writers import write_quarantine
+
+CELLS = ["a", "", "x y", 'q "in" q', "l1\nl2\nl3", '"', "\r\n,\n", ",", 'é\n""\n', 'mid"dle', "  sp ", "\n" * 40, "w" * 300]
+
+
+def cell(rng):
+    value = rng.choice(CELLS)
+    if value == 'mid"dle' and rng.random() < 0.5:  # a quote inside a value without quotes
+        return value
+    return '"' + value.replace('"', '""') + '"' if any(c in value for c in '",\n\r') else value
+
+
+def write(path, seed, n, end="\n"):
+    rng = random.Random(seed)
+    lines = ["a,b,c"] + [f"{cell(rng)},{cell(rng)},{seed}-{i}" for i in range(n)]
+    path.write_bytes((end.join(lines) + rng.choice(["", end])).encode())
+
+
+@pytest.fixture
+def small_splits(conf):
+    conf("spark.sql.files.maxPartitionBytes", "700")
+    conf("spark.sql.files.openCostInBytes", "0")
+
+
+def same_as_spark(spark, path):
+    good, malformed = read_split_csv(spark, path)
+    assert rows(good) == rows(spark.read.options(**CSV, multiLine=True).csv(path))
+    assert malformed.count() == 0
+    return good
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_one_file_is_read_by_many_tasks(spark, small_splits, tmp_path, seed):
+    path = tmp_path / "one.csv"
+    write(path, seed, 400)
+    good = same_as_spark(spark, str(path))
+    assert good.count() == 400
+    assert read_records(spark, str(path)).rdd.getNumPartitions() > 10
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_several_files(spark, small_splits, tmp_path, end):
+    for seed in range(3):
+        write(tmp_path / f"{seed}.csv", seed + 10, 60, end)
+    same_as_spark(spark, str(tmp_path))
+
+
+def test_a_value_over_several_splits(spark, small_splits, tmp_path):
+    value = "\n".join(f'line {i} ""quoted""' for i in range(500))
+    (tmp_path / "x.csv").write_text(f'a,b\n1,2\n"{value}",3\n4,"{value}"\n')
+    good = same_as_spark(spark, str(tmp_path))
+    assert good.count() == 3
+
+
+def test_empty_lines_and_no_rows(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n\n1,2\n\n\n"\n\n",3\n')
+    assert same_as_spark(spark, str(tmp_path)).count() == 2
+    (tmp_path / "y").mkdir()
+    (tmp_path / "y/none.csv").write_text("a,b\n")
+    assert same_as_spark(spark, str(tmp_path / "y")).count() == 0
+
+
+def test_files_of_different_headers_fail(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "y.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(ValueError, match="different headers"):
+        read_split_csv(spark, str(tmp_path))
+
+
+MALFORMED = 'a,b\n1,2\n"only\none"\nx,"y,z",w\n3,4\n5,"never closed\n6,7\n'
+
+
+@pytest.mark.parametrize("split", [None, "20"])
+def test_malformed_records_are_set_aside(spark, conf, tmp_path, split):
+    if split:
+        conf("spark.sql.files.maxPartitionBytes", split)
+        conf("spark.sql.files.openCostInBytes", "0")
+    (tmp_path / "x.csv").write_text(MALFORMED)
+    good, malformed = read_split_csv(spark, str(tmp_path / "x.csv"))
+    assert rows(good) == [("1", "2"), ("3", "4")]
+    # The last line end of a file is the end of a line, not part of an open value.
+    assert {(r["rule"], r["record"]) for r in malformed.collect()} == {
+        ("too_short", '"only\none"'), ("too_long", 'x,"y,z",w'), ("unclosed", '5,"never closed\n6,7')
+    }
+    write_quarantine(malformed, str(tmp_path / "aside"))
+    aside = spark.read.schema("rule string, file string, record string").json(str(tmp_path / "aside"))
+    assert rows(aside.select("rule", "record")) == rows(malformed.select("rule", "record"))
+    counted = {r["rule"]: r["records"] for r in malformed_report(good, aside).collect()}
+    assert counted == {"none": 2, "too_short": 1, "too_long": 1, "unclosed": 1}
+
+
+def test_without_a_header(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('1,2\n"3\n",4\n5\n')
+    good, malformed = read_split_csv(spark, str(tmp_path), ["a", "b"])
+    assert rows(good) == [("1", "2"), ("3\n", "4")] and [r["record"] for r in malformed.collect()] == ["5"]
+
+
+@pytest.mark.parametrize(
+    "record, n", [("", 1), (",", 2), ('"a,b",c', 2), ('a,"b""c,",d', 3), ('a"b,c"d', 2), ('"a" x,b', 2), ('"a\n,b', 1), ('"",""', 2)]
+)
+def test_number_of_fields(spark, record, n):
+    df = spark.createDataFrame([(record,)], "record string")
+    assert df.select(n_fields(F.col("record")).alias("n")).first()["n"] == n
