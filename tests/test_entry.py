@@ -30,11 +30,11 @@ def test_the_rest_works_without_the_subpackage(tmp_path):
 
 
 @pytest.mark.parametrize("missing", ["no_such_module", "loanscope.operators.no_such_module"])
-def test_an_import_error_inside_the_subpackage_is_not_hidden(tmp_path, missing):
+def test_the_rest_works_if_the_subpackage_cannot_be_imported(tmp_path, missing):
     folder = copy_of_the_library(tmp_path)
     (folder / "loanscope/llm").mkdir()
     (folder / "loanscope/llm/__init__.py").touch()
     (folder / "loanscope/llm/queries.py").write_text(f"import {missing}\n")
     (folder / "corpus_pipeline.py").write_text("run = None\nORACLE_SQL = None\n")
     done = run(folder)
-    assert done.returncode and "no_such_module" in done.stderr
+    assert done.returncode == 0 and done.stdout.split()[2] == "[]", done.stderr
