@@ -38,6 +38,22 @@ def hash_bucket(key: Column | str, buckets: int) -> Column:
     return F.shiftright(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * buckets, 32)
 
 
+def quoted(name: str) -> Column:
+    """A top-level column of any name."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def kept_rows(docs: DataFrame, keeps: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows of ``docs``, with all their columns of any name, for whose texts ``keeps`` is true."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keeps(batch.column("row").field("text"))))
+
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"))
+    return rows.mapInArrow(kept, rows.schema).select("row.*")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

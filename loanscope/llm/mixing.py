@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import hash_bucket
+from loanscope.llm.common import hash_bucket, quoted
 from loanscope.sources.scratch import checkpointed
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -171,7 +171,7 @@ def draw(
     if docs is None:
         rows = counted.select(stratum, "doc_id", F.struct("source", "n_tokens").alias("row"))
     else:
-        rows = docs.select(stratum, "doc_id", F.struct(*docs.columns).alias("row"))
+        rows = docs.select(stratum, "doc_id", F.struct(*map(quoted, docs.columns)).alias("row"))
     in_end = (F.col("bucket") == F.col("end_bucket")) & (F.col("last_key") <= F.col("cut"))
     in_last = F.coalesce((F.col("bucket") < F.col("end_bucket")) | in_end, F.lit(False))
     n_blocks = F.col("whole_blocks") + in_last.cast("int")

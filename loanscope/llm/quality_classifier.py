@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import encoded, held_out, labelled_sample
+from loanscope.llm.common import encoded, held_out, kept_rows, labelled_sample
 
 BLOCK, DICTIONARY_BYTES, LEVEL = 2048, 112_640, 3
 #: Segment length and match length by which passages are picked for a dictionary.
@@ -144,9 +144,4 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Data
 
 def keep_good(docs: DataFrame, model: CompressionClassifier, threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose score reaches ``threshold``."""
-
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(model.scores(encoded(batch.column("text"))) >= threshold))
-
-    return docs.mapInArrow(kept, docs.schema)
+    return kept_rows(docs, lambda texts: model.scores(encoded(texts)) >= threshold)

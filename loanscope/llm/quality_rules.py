@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import labelled_sample, word_blocks
+from loanscope.llm.common import kept_rows, labelled_sample, word_blocks
 
 # Fixed values of the base rules.
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 50, 50, 3
@@ -192,8 +192,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_bytes:
     return BoostedTrees().fit(np.array([r["x"] for r in rows]), y, np.array(list(FEATURES.values())))
 
 
-def _verdicts(model: BoostedTrees, batch: pa.RecordBatch, threshold: float):
-    counts, x = _measured(batch)
+def _verdicts(model: BoostedTrees, column: pa.Array, threshold: float):
+    counts, x = _measured(column)
     failed = base_failed(counts)
     return counts, failed, ~failed & (model.scores(x) >= threshold)
 
@@ -203,7 +203,7 @@ def apply_rules(docs: DataFrame, model: BoostedTrees, threshold: float = 0.5) ->
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, failed, kept = _verdicts(model, batch, threshold)
+            counts, failed, kept = _verdicts(model, batch.column("text"), threshold)
             columns = [batch.column("doc_id"), *(pa.array(c) for c in counts.T), pa.array(failed), pa.array(kept)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *COUNTS, "base_failed", "kept"])
 
@@ -214,9 +214,4 @@ def apply_rules(docs: DataFrame, model: BoostedTrees, threshold: float = 0.5) ->
 
 def keep_passing(docs: DataFrame, model: BoostedTrees, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs``, with all their columns, that pass the base rules and the trees."""
-
-    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(_verdicts(model, batch, threshold)[2]))
-
-    return docs.mapInArrow(passing, docs.schema)
+    return kept_rows(docs, lambda column: _verdicts(model, column, threshold)[2])

@@ -18,7 +18,7 @@ every source. Texts do not move: only the carried columns do.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import hash_bucket
+from loanscope.llm.common import hash_bucket, quoted
 from loanscope.sources.scratch import checkpointed
 
 ROW_BYTES = 16
@@ -48,7 +48,7 @@ def assign_shards(
         raise ValueError("n_shards must be positive")
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
-        F.struct(*carry).alias("carried"),
+        F.struct(*map(quoted, carry)).alias("carried"),
         (F.octet_length(text).cast("long") + ROW_BYTES).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("stratum"),

@@ -22,8 +22,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loanscope.llm.common import encoded, runs, word_blocks
+from loanscope.llm.common import encoded, quoted, runs, word_blocks
 from loanscope.sources.scratch import checkpointed
 
 SEED = 42
@@ -259,19 +260,31 @@ def hex_fingerprint(fp: str = "fp") -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+def has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(has_map(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return has_map(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
 def deduplicate(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
     """The rows of ``docs``, with all their columns, less all but one of each group.
 
     The row with the smallest ``doc_id`` stays. If several rows of a group have
     that id, or none has an id, the one with the smallest hash of its columns
-    stays, and of equal rows one. Texts are shuffled once, to meet the ids that stay.
+    stays, and of equal rows one. Columns may have any name and type; helpers stand
+    beside one struct of them all. Texts are shuffled once, to meet the ids that stay.
     """
-    marked = docs.select(*docs.columns, F.xxhash64(*docs.columns).alias("row_hash_"))
-    labelled = near_duplicates(marked, shingle, max_distance, ("doc_id", "row_hash_"))
+    # Maps have neither a hash nor an order, their sorted entries as text have.
+    row = F.struct(*[quoted(c) for c in docs.columns])
+    values = [F.to_json(F.struct(quoted(f.name).alias("v"))) if has_map(f.dataType) else quoted(f.name) for f in docs.schema]
+    marked = docs.select("doc_id", "text", F.xxhash64(*values).alias("row_hash"), row.alias("row"))
+    labelled = near_duplicates(marked.drop("row"), shingle, max_distance, ("doc_id", "row_hash"))
     stays = labelled.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stays = stays.groupBy("root").agg(F.min("row_hash_").alias("hash_"), F.first("component_id").alias("id_"))
+    stays = stays.groupBy("root").agg(F.min("row_hash").alias("kept_hash"), F.first("component_id").alias("kept_id"))
     # The hash alone is the join key, so that the window below needs no second shuffle of the texts.
-    same_id = F.coalesce(F.col("doc_id") == F.col("id_"), F.col("doc_id").isNull() & F.col("id_").isNull())
-    kept = marked.join(stays.drop("root"), (F.col("row_hash_") == F.col("hash_")) & same_id, "left_semi")
-    first = Window.partitionBy("row_hash_", "doc_id").orderBy("row_hash_")
-    return kept.withColumn("copy_", F.row_number().over(first)).where("copy_ = 1").select(*docs.columns)
+    same_id = F.coalesce(F.col("doc_id") == F.col("kept_id"), F.col("doc_id").isNull() & F.col("kept_id").isNull())
+    kept = marked.drop("text").join(stays.drop("root"), (F.col("row_hash") == F.col("kept_hash")) & same_id, "left_semi")
+    first = Window.partitionBy("row_hash", "doc_id").orderBy("row_hash")
+    return kept.withColumn("copy", F.row_number().over(first)).where("copy = 1").select("row.*")

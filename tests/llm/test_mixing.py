@@ -173,3 +173,11 @@ def test_sources_without_tokens_and_empty_tables(spark):
 def test_only_spark_functions(spark, corpus):
     plan = mix(frame(spark, corpus))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_columns_of_any_name_and_type(spark):
+    extra = ["1 AS stratum", "2 AS bucket", "3 AS block", "4 AS row", "5 AS last_key", "6 AS weight", "7 AS `a.b`", "map(1, doc_id) AS m"]
+    df = docs(spark, ["a b", "c d e", "f"], source=["x", "y", None]).selectExpr("*", *extra)
+    out = repeat_to_weights(df)
+    assert out.schema == df.schema
+    assert {repr(r) for r in out.collect()} == {repr(r) for r in df.collect()}

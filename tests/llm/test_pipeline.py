@@ -100,3 +100,14 @@ def test_odd_rows(spark, name, stage):
     if name != "sentencepiece":
         assert out.columns == df.columns and set(rows(out)) <= set(rows(df))
     assert stage(spark, spark.createDataFrame([], DOCS), SMALL).collect() == []
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_columns_of_any_name_and_type(spark, name, stage):
+    """The given documents with columns named as helpers are, a dotted name and a map."""
+    names = ["copy_", "row_hash_", "hash_", "id_", "held_out", "stratum", "row", "label", "fp", "root", "features"]
+    df = table(spark, SMALL, "documents").selectExpr("*", *(f"-doc_id AS {c}" for c in names), "doc_id AS `a.b`", "map('k', doc_id) AS m")
+    out = stage(spark, df, SMALL)
+    assert out.columns == df.columns
+    got = out.collect()
+    assert got and all({r[c] for c in names} == {-r["doc_id"]} and r["a.b"] == r["doc_id"] and r["m"] == {"k": r["doc_id"]} for r in got)

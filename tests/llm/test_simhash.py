@@ -181,3 +181,14 @@ def test_bits_are_counted_without_a_carry(spark):
         own = {c["block"]: c["cell"] for c in row["c"] if c["kind"] == 0}
         assert own == {b: sum(v << 2 * i for i, v in enumerate(counts[16 * b : 16 * b + 16])) for b in (0, 1)}
         assert np.all([sum(c["kind"] == 1 and c["block"] == b for c in row["c"]) == 1 + sum(v < 2 for v in counts[16 * b : 16 * b + 16]) for b in (0, 1)])
+
+
+def test_columns_of_any_name_and_type(spark):
+    """Names the operator itself uses, with other values in copies, a dotted name, a map and a nested one."""
+    extra = ["7 + doc_id AS copy_", "8 AS row_hash_", "9 AS hash_", "1 AS id_", "2 AS copy", "3 AS row", "4 AS row_hash", "5 AS kept_id",
+             "6 AS kept_hash", "10 AS `a.b`", "11 AS `c``d`", "map('k', doc_id) AS m", "array(struct(map(1, 2) AS i)) AS n"]
+    df = docs(spark, ["a b c d", "a b c d", "x y z", "x y z"], doc_id=[4, 3, 9, 9]).selectExpr("*", *extra)
+    kept = deduplicate(df)
+    assert kept.schema == df.schema
+    got = sorted(kept.collect(), key=lambda r: r["doc_id"])
+    assert [(r["doc_id"], r["copy_"], r["id_"], r["a.b"], r["m"]) for r in got] == [(3, 10, 1, 10, {"k": 3}), (9, 16, 1, 10, {"k": 9})]
