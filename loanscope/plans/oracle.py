@@ -1,7 +1,7 @@
 """The same results in standard SQL, for comparison on the same tables."""
 
 from loanscope.plans.loan_view import LOAN_EXPRESSIONS, REPEATED, UPDATED
-from loanscope.plans.stand_ins import DAMAGE
+from loanscope.plans.stand_ins import DAMAGE, FILE_COLUMNS, LATER
 from loanscope.schema import CLEAN_COLUMNS, NUMERIC_COLUMNS, SELECTED_COLUMNS, STATISTIC_COLUMNS, TEXT_COLUMNS
 
 _SELECTED = ", ".join(SELECTED_COLUMNS)
@@ -67,6 +67,23 @@ WITH base AS (
 """
 
 
+_OLD = f"""
+, required_old AS (
+  SELECT * FROM required WHERE NOT {LATER}
+), deduped_old AS (
+  SELECT * EXCLUDE (rn)
+  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_DIGEST}) AS rn FROM required_old)
+  WHERE rn = 1
+), clean_old AS (
+  SELECT {_FEATURES} FROM deduped_old
+), changed AS (
+  SELECT year FROM (SELECT * FROM clean EXCEPT ALL SELECT * FROM clean_old)
+  UNION
+  SELECT year FROM (SELECT * FROM clean_old EXCEPT ALL SELECT * FROM clean)
+)
+"""
+
+
 def _sql(query: str) -> str:
     return _WITH + query
 
@@ -86,6 +103,31 @@ _CLEAN_ROWS = _sql(f"SELECT {_CLEAN} FROM clean")
 _PCT = "round(100.0 * n / (SELECT count(*) FROM clean), 2) AS pct"
 
 
+def _file_digest(table: str, columns: list[str]) -> str:
+    """Rows and content of a table that is one file: the first 60 bits of the MD5 of each row, summed up."""
+    values = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
+    return (
+        f"SELECT '{table}.parquet' AS file_name, 'valid' AS status, count(*) AS n_rows, "
+        f"CAST(sum(CAST(concat('0x', substr(md5(concat_ws('|', {values})), 1, 15)) AS BIGINT)) AS VARCHAR) AS digest FROM {table}"
+    )
+
+
+def _type(c: str) -> str:
+    """The type of a column of text: of the kinds of its values, the widest if these are numbers, text if they mix."""
+    kind = (
+        f"CASE WHEN regexp_full_match({c}, '[+-]?\\d{{1,18}}') THEN "
+        f"CASE WHEN CAST({c} AS BIGINT) BETWEEN -2147483648 AND 2147483647 THEN 'int' ELSE 'bigint' END "
+        f"WHEN regexp_full_match({c}, '[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?') THEN 'double' "
+        f"WHEN regexp_full_match({c}, '\\d{{4}}-\\d{{2}}-\\d{{2}}') AND TRY_CAST({c} AS DATE) IS NOT NULL THEN 'date' "
+        f"WHEN lower({c}) IN ('true', 'false') THEN 'boolean' ELSE 'string' END"
+    )
+    kinds = f"(SELECT list(DISTINCT {kind}) FROM loans WHERE {c} <> '')"
+    return (
+        f"SELECT '{c}' AS column_name, CASE WHEN len(k) = 1 THEN k[1] WHEN list_has_all(['int', 'bigint'], k) THEN 'bigint' "
+        f"WHEN list_has_all(['int', 'bigint', 'double'], k) THEN 'double' ELSE 'string' END AS type FROM (SELECT {kinds} AS k)"
+    )
+
+
 def _feature(*columns: str) -> str:
     return _sql(f"SELECT id, {', '.join(columns)} FROM clean")
 
@@ -247,6 +289,31 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "validation_report": _violations("loans", _INPUT_RULES),
     "output_validation": _violations("faulty", _OUTPUT_RULES),
+    "input_check": _union(_file_digest(t, columns) for t, columns in FILE_COLUMNS.items()),
+    "column_types": _sql(_union(_type(c) for c in SELECTED_COLUMNS)),
+    "compacted_rows": _RAW_FROM_CSV,
+    "compacted_listing": _sql("SELECT count(*) AS n_rows, TRUE AS several_files, TRUE AS sizes_in_bounds FROM loans"),
+    "incremental_years": _CLEAN_ROWS,
+    "refreshed_years": _sql(
+        f"{_OLD} SELECT coalesce(y, -1) AS year, bool_or(hit IS NOT NULL) AS rewritten "
+        "FROM (SELECT DISTINCT year AS y FROM clean) LEFT JOIN (SELECT *, TRUE AS hit FROM changed) c ON y IS NOT DISTINCT FROM c.year GROUP BY 1"
+    ),
+    "sketch_quartiles": _sql(
+        _union(
+            f"SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS probability, TRUE AS within_bound FROM clean HAVING count({c}) > 0"
+            for c in STATISTIC_COLUMNS for p in (0.25, 0.5, 0.75)
+        )
+    ),
+    "merged_summary": _sql(
+        f"SELECT d.*, round(r, 6) AS corr, {_LABELS} FROM ("
+        + _union(f"SELECT {_describe(c)} FROM clean" for c in STATISTIC_COLUMNS)
+        + f") d JOIN ({_CORRELATIONS}) USING (column_name)"
+    ),
+    "merged_top10": _sql(
+        "SELECT CAST(row_number() OVER (ORDER BY n DESC, purpose) AS INTEGER) AS rank, purpose, n, "
+        f"{_PCT} FROM {_top10('purpose')} ORDER BY rank"
+    ),
+    "merged_years": _sql(f"SELECT year, n FROM {_counts('year')} ORDER BY year"),
     "malformed_records": _sql(
         "SELECT rule, count(kind) AS records FROM (VALUES ('none'), ('too_short'), ('too_long'), ('unclosed')) r(rule) "
         f"LEFT JOIN (SELECT {_KIND} AS kind FROM ({_DAMAGED})) ON kind = rule GROUP BY rule"

@@ -5,15 +5,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanscope.operators import quality, reports
+from loanscope.operators import merging, quality, reports, sketches
 from loanscope.operators.cleaning import add_features, clean_loans, dedup_by_id, required_filter, select_columns
 from loanscope.operators.joins import join_lookup
+from loanscope.plans.incremental import NO_YEAR, read_years, refresh_years
 from loanscope.plans.loan_view import loan_view
 from loanscope.plans.pipeline import run_pipeline
-from loanscope.plans.stand_ins import DAMAGE
+from loanscope.plans.stand_ins import DAMAGE, LATER
 from loanscope.schema import KEY, PREVIEW_COLUMNS, SELECTED_COLUMNS, STATISTIC_COLUMNS, TEXT_COLUMNS
+from loanscope.sources.compaction import LEAST, MOST, compact
 from loanscope.sources.formats import CSV
-from loanscope.sources.manifest import input_manifest, output_manifest, rows_per_file
+from loanscope.sources.inference import inferred_types
+from loanscope.sources.manifest import checked_manifest, input_manifest, output_manifest, rows_per_file
 from loanscope.sources.readers import read_csv, read_loans, read_processed
 from loanscope.sources.records import read_split_csv
 from loanscope.sources.scratch import scratch_path
@@ -21,6 +24,8 @@ from loanscope.sources.writers import write_loans, write_quarantine
 
 #: Cuts the files of the smallest tables already.
 RECORDS_PER_FILE = 1000
+#: Gives the smallest tables several files already.
+TARGET_BYTES = 1 << 17
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,6 +145,61 @@ def output_listing(spark, sf_dir):
     )
 
 
+def _compacted(spark: SparkSession, sf_dir: str) -> str:
+    """The raw table as many small CSV files, put together to files of a wanted size."""
+    small = _written_raw(spark, sf_dir, "csv", max_records_per_file=RECORDS_PER_FILE)
+    path = scratch_path(spark, "compacted")
+    compact(spark, small, path, "csv", TARGET_BYTES)
+    return path
+
+
+def compacted_rows(spark, sf_dir):
+    return read_loans(spark, _compacted(spark, sf_dir)).transform(select_columns)
+
+
+def compacted_listing(spark, sf_dir):
+    """Whether the files have the wanted size, and what they hold."""
+    path = _compacted(spark, sf_dir)
+    size = F.col("length") / TARGET_BYTES
+    listed = input_manifest(spark, path).agg(F.count("*").alias("n"), F.min(size).alias("least"), F.max(size).alias("most")).first()
+    return read_loans(spark, path).agg(F.count("*").alias("n_rows")).select(
+        "n_rows",
+        F.lit(listed["n"] > 1).alias("several_files"),
+        F.lit(listed["least"] >= LEAST and listed["most"] <= MOST).alias("sizes_in_bounds"),
+    )
+
+
+def input_check(spark, sf_dir):
+    """Files of two given tables, with the rows and the content that a scan reads from them."""
+    checked = []
+    for name in ("orders", "customer"):
+        path = f"{sf_dir}/{name}.parquet"
+        checked.append(checked_manifest(spark, path, spark.read.parquet(path)).drop("length"))
+    return checked[0].union(checked[1])
+
+
+def column_types(spark, sf_dir):
+    """The types that fit the raw table written as CSV."""
+    return inferred_types(read_csv(spark, _written_raw(spark, sf_dir, "csv")))
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[str, list[int]]:
+    """A table in year folders, begun from an earlier version of the loans and brought up to date; the years rewritten."""
+    path, loans = scratch_path(spark, "years"), raw(spark, sf_dir)
+    refresh_years(loans.where(f"NOT {LATER}"), path, first=True)
+    return path, refresh_years(loans, path)
+
+
+def incremental_years(spark, sf_dir):
+    return read_years(spark, _refreshed(spark, sf_dir)[0])
+
+
+def refreshed_years(spark, sf_dir):
+    path, written = _refreshed(spark, sf_dir)
+    year = F.coalesce("year", F.lit(NO_YEAR)).alias("year")
+    return read_years(spark, path).select(year).distinct().withColumn("rewritten", F.col("year").isin(written))
+
+
 # --- Row operators and single features ---
 
 
@@ -196,6 +256,38 @@ def _on_written(report: Callable[[DataFrame], DataFrame], *columns: str) -> Quer
     return query
 
 
+def sketch_quartiles(spark, sf_dir):
+    """Quartiles over all years, merged from a sketch per year: are their ranks as near as promised?"""
+    path = scratch_path(spark, "clean")
+    write_loans(clean_loans(raw(spark, sf_dir), [*STATISTIC_COLUMNS, "year"]), path)
+    loans = spark.read.parquet(path)
+    quartiles = sketches.merged_quantiles(sketches.year_sketches(loans), [0.25, 0.5, 0.75])
+    errors = sketches.rank_errors(loans, quartiles)
+    return errors.select("column_name", "probability", (F.col("error") <= sketches.RANK_ERROR).alias("within_bound"))
+
+
+def _stored(state: DataFrame) -> DataFrame:
+    """A state written and read again, as a report of a later day finds it."""
+    path = scratch_path(state.sparkSession, "state")
+    state.write.parquet(path)
+    return state.sparkSession.read.parquet(path)
+
+
+def merged_summary(spark, sf_dir):
+    loans = clean_loans(raw(spark, sf_dir), [*STATISTIC_COLUMNS, "is_default", "year"])
+    return merging.merged_summary(_stored(merging.moment_state(loans)))
+
+
+def merged_top10(spark, sf_dir):
+    loans = clean_loans(raw(spark, sf_dir), ["is_default", "grade", "purpose", "year"])
+    return reports.purpose_top(merging.merged_counts(_stored(merging.count_state(loans))))
+
+
+def merged_years(spark, sf_dir):
+    loans = clean_loans(raw(spark, sf_dir), ["is_default", "grade", "purpose", "year"])
+    return reports.year_distribution(merging.merged_counts(_stored(merging.count_state(loans))))
+
+
 QUERIES: dict[str, Query] = {
     "scan_csv": scan_csv,
     "scan_csv_split": scan_csv_split,
@@ -209,6 +301,12 @@ QUERIES: dict[str, Query] = {
     "partitioned_roundtrip": partitioned_roundtrip,
     "input_manifest": input_manifest,
     "input_rows": input_rows,
+    "input_check": input_check,
+    "column_types": column_types,
+    "compacted_rows": compacted_rows,
+    "compacted_listing": compacted_listing,
+    "incremental_years": incremental_years,
+    "refreshed_years": refreshed_years,
     "output_manifest": output_files,
     "output_listing": output_listing,
     "select_columns": _on_raw(select_columns),
@@ -244,6 +342,10 @@ QUERIES: dict[str, Query] = {
     "default_correlations": _on_clean(reports.default_correlations, *STATISTIC_COLUMNS, "is_default"),
     "default_rate": _on_clean(reports.default_rate, "is_default"),
     "portfolio_summary": _on_written(reports.portfolio_summary, *STATISTIC_COLUMNS, "is_default"),
+    "sketch_quartiles": sketch_quartiles,
+    "merged_summary": merged_summary,
+    "merged_top10": merged_top10,
+    "merged_years": merged_years,
     "run_summary": lambda spark, sf_dir: reports.run_summary(clean(spark, sf_dir), "loans"),
     "completeness": _on_raw(quality.completeness),
     "validation_report": _on_raw(quality.validation_report),

@@ -30,6 +30,33 @@ def rows_per_file(df: DataFrame) -> DataFrame:
     return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count("*").alias("n_rows"))
 
 
+def file_digests(df: DataFrame) -> DataFrame:
+    """``path``, ``n_rows`` and ``digest`` of each file that a scan reads, a sum over its rows whatever their order.
+
+    A row counts with the first 60 bits of the MD5 of its values as text, parted by ``|``, missing ones as ``~``.
+    """
+    values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("~")) for c in df.columns]
+    bits = F.conv(F.substring(F.md5(F.concat_ws("|", *values)), 1, 15), 16, 10).cast("decimal(28,0)")
+    return df.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+        F.count("*").alias("n_rows"), F.sum(bits).cast("string").alias("digest")
+    )
+
+
+def checked_manifest(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """The files under ``path`` with what a scan of them reads: ``unread`` if it reads no row of a file.
+
+    Digests of two listings tell which files hold other rows than before.
+    """
+    listed = input_manifest(spark, path).join(file_digests(df), "path", "left")
+    return listed.select(
+        F.regexp_extract("path", "[^/]*$", 0).alias("file_name"),
+        "length",
+        F.when(F.col("n_rows").isNull() & (F.col("status") == "valid"), "unread").otherwise(F.col("status")).alias("status"),
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        "digest",
+    )
+
+
 def output_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Data files of an output folder in one row: CSV files, all files, largest file.
 

@@ -1,0 +1,46 @@
+"""Files of a wanted size."""
+
+import pytest
+from pyspark.sql import functions as F
+from support import rows
+
+from loanscope.sources.compaction import LEAST, MOST, compact, write_sized
+from loanscope.sources.manifest import input_manifest
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.range(20_000).selectExpr("CAST(id AS STRING) AS id", "sha2(CAST(id AS STRING), 256) AS term", "repeat('x', CAST(id % 50 AS INT)) AS grade")
+
+
+def sizes(spark, path):
+    return [r["length"] for r in input_manifest(spark, path).collect()]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet", "orc", "json"])
+@pytest.mark.parametrize("n", [2, 60])
+def test_files_reach_the_wanted_size(spark, tmp_path, table, fmt, n):
+    """From few large files and from many small ones."""
+    target = 200_000
+    small = f"{tmp_path}/small"
+    writer = table.repartition(n).write.format(fmt)
+    (writer.option("header", True) if fmt == "csv" else writer).save(small)
+    before = sum(sizes(spark, small))
+    made = compact(spark, small, f"{tmp_path}/out", fmt, target)
+    got = sizes(spark, f"{tmp_path}/out")
+    assert len(got) == made and 2 <= made <= before / target * 2
+    assert min(got) >= LEAST * target and max(got) <= MOST * target
+    reader = spark.read.format(fmt).schema(table.schema)
+    back = (reader.option("header", True) if fmt == "csv" else reader).load(f"{tmp_path}/out")
+    assert rows(back.withColumn("grade", F.coalesce("grade", F.lit("")))) == rows(table)
+
+
+def test_one_value_in_most_rows_and_a_small_table(spark, tmp_path):
+    hot = spark.range(20_000).selectExpr("'the same row' AS id", "'again and again' AS term")
+    write_sized(hot, f"{tmp_path}/hot", "csv", 50_000)
+    got = sizes(spark, f"{tmp_path}/hot")
+    assert len(got) > 5 and min(got) >= LEAST * 50_000 and max(got) <= MOST * 50_000
+    assert write_sized(hot.limit(10), f"{tmp_path}/few", "parquet", 1 << 20) == 1
+    assert spark.read.parquet(f"{tmp_path}/few").count() == 10
+    with pytest.raises(ValueError):
+        compact(spark, f"{tmp_path}/few", f"{tmp_path}/x", "parquet", 0)

@@ -1,0 +1,116 @@
+"""Year folders brought up to date, and reports and quantiles merged from states per year."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from support import rows
+
+from loanscope.operators import merging, reports, sketches
+from loanscope.operators.cleaning import clean_loans
+from loanscope.plans.incremental import NO_YEAR, read_years, refresh_years
+from loanscope.schema import STATISTIC_COLUMNS
+
+
+@pytest.fixture(scope="module")
+def raw(spark, golden_raw):
+    """Loans of five years and of none, with ids of their own."""
+    month = F.expr("CASE WHEN n % 11 = 0 THEN 'never' ELSE concat('Dec-', CAST(2010 + n % 5 AS STRING)) END")
+    numbers = spark.range(200).withColumnRenamed("id", "n")
+    loans = golden_raw.where("id = '1'").drop("id").crossJoin(numbers)
+    return loans.select("*", F.col("n").cast("string").alias("id"), month.alias("month")).drop("issue_d").withColumnRenamed("month", "issue_d")
+
+
+def folders(path):
+    """When the files of each year were written."""
+    years = [d for d in os.listdir(f"{path}/years") if d.startswith("year=")]
+    return {d: sorted(os.listdir(f"{path}/years/{d}")) for d in years}
+
+
+def test_only_changed_years_are_rewritten(spark, raw, tmp_path):
+    path = f"{tmp_path}/table"
+    assert refresh_years(raw, path, first=True) == [NO_YEAR, 2010, 2011, 2012, 2013, 2014]
+    assert rows(read_years(spark, path)) == rows(clean_loans(raw))
+    before = folders(path)
+    assert refresh_years(raw.repartition(3), path) == [] and folders(path) == before
+    later = raw.withColumn("purpose", F.when(F.col("n") == 1, "changed").otherwise(F.col("purpose")))  # a loan of 2011
+    assert refresh_years(later, path) == [2011]
+    after = folders(path)
+    assert {d for d in after if after[d] != before[d]} == {"year=2011"}
+    assert rows(read_years(spark, path)) == rows(clean_loans(later))
+
+
+def test_new_and_vanished_years(spark, raw, tmp_path):
+    path = f"{tmp_path}/table"
+    refresh_years(raw.where("issue_d NOT IN ('Dec-2012', 'never')"), path, first=True)
+    now = raw.where("issue_d <> 'Dec-2010'")
+    assert refresh_years(now, path) == [NO_YEAR, 2012]
+    assert rows(read_years(spark, path)) == rows(clean_loans(now))
+    some = read_years(spark, path, 2012, 2013)
+    assert {r["year"] for r in some.collect()} == {2012, 2013}
+    assert refresh_years(raw.limit(0), path) == [] and read_years(spark, path).count() == 0
+
+
+def test_a_failure_before_the_manifest_is_made_good(spark, raw, tmp_path, monkeypatch):
+    path = f"{tmp_path}/table"
+    refresh_years(raw, path, first=True)
+    later = raw.withColumn("purpose", F.when(F.col("n") == 2, "changed").otherwise(F.col("purpose")))
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "createDataFrame", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh_years(later, path)
+    assert refresh_years(later, path) == [2012]
+    assert rows(read_years(spark, path)) == rows(clean_loans(later))
+
+
+@pytest.fixture(scope="module")
+def loans(spark):
+    rng = random.Random(3)
+
+    def value(scale):
+        return None if rng.random() < 0.1 else float("nan") if rng.random() < 0.05 else round(rng.gauss(1e6, scale), 2)
+
+    data = [
+        (rng.choice([None, *range(2000, 2006)]), rng.choice([0, 0, 1, None]), rng.choice("ABC"), rng.choice(["car", "house", None]),
+         *(value(10.0 ** i) for i in range(len(STATISTIC_COLUMNS))))
+        for _ in range(3000)
+    ]
+    columns = ", ".join(f"{c} double" for c in STATISTIC_COLUMNS)
+    return spark.createDataFrame(data, f"year int, is_default int, grade string, purpose string, {columns}").repartition(5)
+
+
+def test_merged_reports_are_those_of_all_rows(loans):
+    want = {r["column_name"]: r for r in reports.portfolio_summary(loans).collect()}
+    for got in merging.merged_summary(merging.moment_state(loans)).collect():
+        whole = want[got["column_name"]]
+        assert (got["n"], got["min"], got["max"], got["direction"], got["strength"]) == tuple(whole[c] for c in ("n", "min", "max", "direction", "strength"))
+        assert got["mean"] == pytest.approx(whole["mean"], rel=1e-12) and got["stddev"] == pytest.approx(whole["stddev"], rel=1e-9)
+        assert got["corr"] == pytest.approx(whole["corr"], abs=2e-6)
+    counts = merging.merged_counts(merging.count_state(loans))
+    for report in (reports.row_count, reports.default_distribution, reports.year_distribution, reports.grade_distribution,
+                   reports.grade_top, reports.purpose_top, reports.year_coverage, reports.default_rate):
+        assert rows(report(counts)) == rows(report(loans)), report.__name__
+
+
+def test_states_of_parts_make_the_state_of_the_whole(loans):
+    parts = [loans.where("year <= 2002"), loans.where("year > 2002 OR year IS NULL")]
+    both = merging.moment_state(parts[0]).union(merging.moment_state(parts[1]))
+    assert rows(merging.merged_summary(both)) == rows(merging.merged_summary(merging.moment_state(loans)))
+
+
+def test_a_column_without_values_and_no_rows(loans):
+    empty = loans.withColumn("dti", F.lit(None).cast("double"))
+    got = {r["column_name"]: r for r in merging.merged_summary(merging.moment_state(empty)).collect()}["dti"]
+    assert (got["n"], got["mean"], got["stddev"], got["corr"]) == (0, None, None, None)
+    assert merging.merged_summary(merging.moment_state(loans.limit(0))).collect() == []
+    assert sketches.year_sketches(loans.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("first, last", [(None, None), (2001, 2003), (2005, None)])
+def test_ranks_of_merged_quantiles(loans, first, last):
+    some = loans.where(f"{'year >= ' + str(first) if first else 'TRUE'} AND {'year <= ' + str(last) if last else 'TRUE'}")
+    merged = sketches.merged_quantiles(sketches.year_sketches(loans), [0.0, 0.1, 0.5, 0.9, 1.0], first, last)
+    errors = sketches.rank_errors(some, merged).collect()
+    assert len(errors) == 5 * len(STATISTIC_COLUMNS)
+    assert max(r["error"] for r in errors) <= sketches.RANK_ERROR + 1 / 300  # one row of a small year

@@ -1,0 +1,37 @@
+"""Types from text."""
+
+import pytest
+
+from loanscope.schema import CLEAN_SCHEMA
+from loanscope.sources.inference import infer_schema, inferred_types
+
+COLUMNS = {
+    "int": ["1", "-2", "", None, "+3", "2147483647"], "bigint": ["1", "2147483648", None, "-9", "0", "7"],
+    "double": ["1", "2.5", ".5", "1e3", "99999999999999999999", None], "date": ["2015-12-01", None, "", "2016-02-29", "2000-01-01", "1999-12-31"],
+    "boolean": ["true", "FALSE", None, "", "true", "true"], "string": ["1", "x", None, "2.5", "", "1"], "none": [None, "", None, "", None, None],
+    "mixed": ["1", "2015-12-01", None, "", "1", "1"], "no_day": ["2015-02-30", "2015-12-01", None, "", None, None],
+    "a.b": ["1", "2", "3", "4", "5", "6"],
+}
+WANT = {c: c for c in ("int", "bigint", "double", "date", "boolean", "string")} | {"none": "string", "mixed": "string", "no_day": "string", "a.b": "int"}
+
+
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_types_in_any_order(spark, partitions):
+    text = spark.createDataFrame([*zip(*COLUMNS.values())], ", ".join(f"`{c}` string" for c in COLUMNS)).repartition(partitions)
+    assert {r["column_name"]: r["type"] for r in inferred_types(text).collect()} == WANT
+    assert {f.name: f.dataType.simpleString() for f in infer_schema(text)} == WANT
+    assert {r["type"] for r in inferred_types(text.limit(0)).collect()} == {"string"}
+
+
+def test_declared_types_come_out(golden_clean):
+    """Doubles without a fraction are written with one, so the clean table's own types fit its text."""
+    text = golden_clean.select(*[golden_clean[c].cast("string") for c in golden_clean.columns])
+    found = {f.name: f.dataType for f in infer_schema(text)}
+    texts = {f.name for f in CLEAN_SCHEMA if f.dataType.simpleString() == "string"}
+    assert {c: t for c, t in found.items() if c not in texts} == {f.name: f.dataType for f in CLEAN_SCHEMA if f.name not in texts}
+
+
+def test_one_pass(spark):
+    text = spark.range(10).selectExpr("CAST(id AS STRING) AS a", "'x' AS b")
+    plan = inferred_types(text)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range") == 1 and "bit_or" in plan

@@ -14,7 +14,7 @@ from loanscope.sources.readers import read_processed
 from loanscope.sources.writers import write_loans
 
 LAZY = [n for n in QUERIES if not n.startswith("scan") and "roundtrip" not in n and n not in (
-    "phase_metrics", "phase_rows", "output_manifest", "output_listing", "input_manifest"
+    "phase_metrics", "phase_rows", "output_manifest", "output_listing", "input_manifest", "well_formed_rows"
 )]
 
 
