@@ -7,7 +7,8 @@ words are. The second pass gives each block left over, long ones first, the
 label of the nearest decided block. Blocks inside the parts named above decide
 nothing about those around them.
 
-If the page marks its article, that is evidence beside the rules: what they leave
+A class or id marks a part only if its whole name says so, and marks nothing if
+the part turns out to hold the page. If the page marks its article, that is evidence beside the rules: what they leave
 undecided there is text, and outside only clear text of some length counts, or
 more text than is marked. If there is that much, the whole page is read by the
 rules: a body beside a marked card or teaser stays.
@@ -55,6 +56,17 @@ OUTER_SIDE_WORDS = {"header"}
 ARTICLE_SIDE_WORDS = set("ad ads advert advertisement sponsored promo related recommended teaser".split())
 PAGE_TAGS = {"html", "body", "main"}
 COMMENT_WORDS = set("comment comments commentlist discussion disqus replies reply respond".split())
+#: Words that say where or how a thing stands. A name marks an element if it has only these beside the words above:
+#: ``related-posts`` does, ``share-price`` and ``has-sidebar`` do not.
+STRUCTURE_WORDS = set(
+    "site page main global top bottom left right center middle box block container wrapper wrap inner outer area"
+    " section column row list item items link links button buttons btn bar slot unit panel group holder zone region"
+    " primary secondary mobile desktop posts articles stories module sticky fixed tab tabs small large mini icon icons form"
+    " header head title foot view policy message messages".split()
+)
+COMMENT_PARTS = set("content body text author meta thread count user".split())
+#: Words of names that stand around a whole page at times.
+LAYOUT_WORDS = set("menu nav navbar sidebar widget modal overlay popup topbar toolbar social share sharing banner promo".split())
 # Frequent short words by language.
 STOP_WORDS = set(
     (
@@ -70,8 +82,6 @@ STOPS_LOW, STOPS_HIGH = 0.2, 0.3
 LINKS_LOW, LINKS_HIGH = 0.2, 0.5
 #: Of a page's long blocks, by length, how much must have stop words for them to count.
 STOPS_SHARE = 0.25
-#: Lines left of a page are few if what its names mark is that many times as long.
-FEW_LINES = 10
 
 TAG = re.compile(
     r"<!--|<([/]?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[/]?([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>"
@@ -90,6 +100,7 @@ class Block:
     article: int
     heading: bool
     label: bool | None = None
+    clear: bool = False
 
 
 @dataclass
@@ -99,6 +110,7 @@ class _Element:
     comment: bool
     hidden: bool
     article: int
+    mark: int | None = None
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -110,8 +122,10 @@ def _attributes(source: str) -> dict[str, str]:
 class _Reader:
     """Turns a page into blocks."""
 
-    def __init__(self, names_count: bool = True, forms_count: bool = True):
-        self.names_count = names_count
+    def __init__(self, disbelieved: frozenset[int] = frozenset(), forms_count: bool = True):
+        self.disbelieved = disbelieved  # numbers of elements whose names do not count
+        self.marks: list[tuple[set[str], int]] = []  # the words of elements that names mark, and the text in the outermost
+        self.in_forms = 0  # text in forms and the like
         self.side_tags = SIDE_TAGS if forms_count else SIDE_TAGS - AROUND_TAGS | FORM_PARTS
         self.own_side = False  # of a paragraph, which has no element on the stack
         self.stack = [_Element("", False, False, False, 0)]
@@ -160,6 +174,11 @@ class _Reader:
         text = " ".join("".join(self.parts).split())
         if text:
             here = self.stack[-1]
+            if here.mark is not None:
+                words, size = self.marks[here.mark]
+                self.marks[here.mark] = words, size + len(text)
+            if self._inside(AROUND_TAGS):
+                self.in_forms += len(text)
             self.blocks.append(Block(text, self.linked, here.side or self.own_side, here.article, self.heading))
         self.parts, self.linked, self.own_side = [], 0, False
 
@@ -175,7 +194,12 @@ class _Reader:
             return
         around = self.stack[-1]
         attributes = _attributes(source) if source else {}
-        words = self._names(name, attributes)
+        words, mark = self._marking(name, attributes), around.mark
+        if words:
+            mark = len(self.marks) if mark is None else mark
+            self.marks.append((words, 0))
+            if len(self.marks) - 1 in self.disbelieved:
+                words = set()
         comment = around.comment or bool(words & COMMENT_WORDS)
         marked = bool(words & SIDE_WORDS) or attributes.get("role", "").lower() in SIDE_ROLES
         hidden = name in HIDDEN_TAGS or "hidden" in attributes
@@ -196,16 +220,23 @@ class _Reader:
         # Inside a line of text, what is marked is left out of the line.
         hidden = hidden or around.hidden or (side and not around.side and not is_block)
         if is_block or side != around.side or hidden != around.hidden:
-            self.stack.append(_Element(name, side, comment, hidden, article))
+            self.stack.append(_Element(name, side, comment, hidden, article, mark))
             self.open[name] += 1
 
-    def _names(self, tag: str, attributes: dict[str, str]) -> set[str]:
-        """Words of class and id that may mark an element."""
-        if not self.names_count or tag in PAGE_TAGS:
+    @staticmethod
+    def _marking(tag: str, attributes: dict[str, str]) -> set[str]:
+        """Words of class and id that mark an element as something beside the article."""
+        if tag in PAGE_TAGS:
             return set()
-        names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-        words = set(NAME_WORD.findall(CAMEL.sub(" ", names).lower()))
-        return words & (ARTICLE_SIDE_WORDS | COMMENT_WORDS) if tag == "article" else words
+        found: set[str] = set()
+        for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+            words = set(NAME_WORD.findall(CAMEL.sub(" ", name).lower()))
+            rest = {w for w in words - STRUCTURE_WORDS if len(w) > 2 or w in SIDE_WORDS}
+            if rest <= SIDE_WORDS:
+                found |= words & (SIDE_WORDS | OUTER_SIDE_WORDS)
+            if words & COMMENT_WORDS and rest <= SIDE_WORDS | COMMENT_WORDS | COMMENT_PARTS:
+                found |= words & COMMENT_WORDS
+        return found & (ARTICLE_SIDE_WORDS | COMMENT_WORDS) if tag == "article" else found
 
     def _inside(self, tags: set[str]) -> bool:
         return any(self.open[tag] for tag in tags)
@@ -258,12 +289,14 @@ def classify(blocks: list[Block]) -> None:
     stops_help = known > STOPS_SHARE * sum(len(b.text) for b, d in zip(blocks, density) if d is not None)
     for block, own in zip(blocks, density):
         block.label = _decide(block, own if stops_help else None)
+        block.clear = block.label is True
     inside = sum(len(b.text) for b in blocks if b.article and b.label is not False)
     if inside:
         # Outside a marked article short lines are not enough: clear text there counts from a length on, and
         # text of long blocks that is not clear if it is more than what is marked.
-        clear = sum(len(b.text) for b in blocks if b.label and not b.article)
-        unclear = sum(len(b.text) for b in blocks if b.label is None and _is_long(b) and not b.article)
+        # Where stop words do not help, nothing there is clear by its length alone.
+        clear = sum(len(b.text) for b in blocks if b.label and not b.article and stops_help)
+        unclear = sum(len(b.text) for b in blocks if b.label is not False and _is_long(b) and not b.article) - clear
         for block in blocks:
             if block.article:
                 block.label = block.label is not False  # what is left out leaves its neighbours alone
@@ -313,16 +346,28 @@ def _nearest(decided: list[bool | None]) -> list[tuple[int, bool] | None]:
 def extract(page: str | None) -> str:
     """The main text: blocks in page order, a line each. Empty if there is none.
 
-    If all of a page but a few short lines is marked by its names as something else, the names are not believed,
-    and likewise if all of it is in a form.
+    Where nothing is clear text, an element that holds most of the text of the page is not believed to be something
+    else: by its name if no other text is left or the name is one of layout, or as a form. Such a reading of the page
+    counts if it has clear text or no other text is left.
     """
-    blocks = _Reader().read(page or "")
+    page = page or ""
+    reader = _Reader()
+    blocks = reader.read(page)
     text = _chosen(blocks)
-    if not blocks or len(text) >= LENGTH_LOW or any(b.article and b.label for b in blocks):
+    if not blocks or any(b.clear or b.article and b.label for b in blocks):
         return text
-    unnamed, unformed = (_chosen(_Reader(*count).read(page or "")) for count in ((False, True), (True, False)))
-    other = max(unnamed, unformed, key=len) or _chosen(_Reader(False, False).read(page or ""))
-    return other if not text or len(other) > max(LENGTH_LOW, FEW_LINES * len(text)) else text
+    half = sum(len(b.text) for b in blocks) / 2
+    wide = frozenset(i for i, (words, size) in enumerate(reader.marks) if size > half and (not text or words & LAYOUT_WORDS))
+    forms_count = reader.in_forms <= half
+    readings = []
+    for names, forms in ((wide, True), (frozenset(), forms_count), (wide, forms_count)):
+        if names or not forms:
+            other = _Reader(names, forms).read(page)
+            readings.append((_chosen(other), any(b.clear for b in other)))
+    for other, clear in sorted(readings[:2], key=lambda r: -len(r[0])) + readings[2:]:
+        if other and (clear or not text):
+            return other
+    return text
 
 
 def _chosen(blocks: list[Block]) -> str:

@@ -199,3 +199,64 @@ def test_odd_tables(spark):
         spark.createDataFrame([(1, None, "", 0), (1, None, "", 0), (None, "u", "x", 1)], "a long, b string, c string, d long")
     )
     assert main_text(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<p class='share-price'>{}</p>", "<section id='social-impact'><p>{}</p></section>", "<div class='widget-text'>{}</div>",
+     "<div class='menu-of-the-day'>{}</div>", "<p class='skip-level ad-hoc'>{}</p>", "<div id='bannerImageStory'><p>{}</p></div>"],
+)
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<div class='post'>{}</div>"])
+def test_a_single_word_of_a_name_marks_nothing(part, around):
+    for text in (MORE, "Up by 3 to 14."):
+        assert extract(page(around.format(f"<p>{LONG}</p>{part.format(text)}<p>{LONG}</p>"))) == f"{LONG}\n{text}\n{LONG}"
+
+
+@pytest.mark.parametrize("around", ["<div class='content has-sidebar'>{}</div>", "<div class='menu-open'>{}</div>", "<div class='sidebar'>{}</div>", "<div id='page-widget'>{}</div>"])
+def test_a_name_around_the_page_leaves_other_names_believed(around):
+    side = f"<div class='ad'>{MORE}</div>"
+    body = f"<div><h1>Head</h1><p>{LONG}</p>{side}<p>{LONG}</p></div>"
+    assert extract(page(around.format(side + body) + f"<div class='footer'>{MORE}</div>")) == f"Head\n{LONG}\n{LONG}"
+    assert extract(page("<p>Acme</p>" + around.format(body))) == f"Acme\nHead\n{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize("times", [1, 2, 6])
+def test_length_alone_is_not_clear_outside_an_article_in_another_language(times):
+    article = f"<article><h1>Мельница</h1><p>{(OTHER * 9).strip()}</p></article>"
+    notice = f"<div><p>{(OTHER * times).strip()}</p></div>"
+    for html in (article + notice, notice + article):
+        assert extract(page(html)) == f"Мельница\n{(OTHER * 9).strip()}"
+
+
+def plain(html):
+    """The paragraphs and headings of the only article, by a parser of its own, without what stands in it but is none."""
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.open, self.lines = [], []
+
+        def handle_starttag(self, tag, attributes):
+            if tag in ("p", "h1", "h2", "h3", "li"):
+                self.lines.append("")
+            if tag not in ("br", "img", "meta", "link", "input", "hr"):
+                self.open.append(tag if dict(attributes).get("class") != "ad" else "aside")
+
+        def handle_endtag(self, tag):
+            while self.open and self.open.pop() not in (tag, "aside"):
+                pass
+
+        def handle_data(self, data):
+            if "article" in self.open and not {"nav", "footer", "aside", "form", "script", "style", "section"} & set(self.open) and self.lines:
+                self.lines[-1] += data
+
+    reader = Article()
+    reader.feed(html)
+    return "\n".join(t for line in reader.lines if (t := " ".join(line.split())))
+
+
+def test_given_pages_by_a_plain_parser():
+    given = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"])["html"].to_pylist()
+    for html in given:
+        assert extract(html) == plain(html)
