@@ -15,11 +15,13 @@ one bucket share the earlier step of both. That activates some longer phrase too
 early or in vain, never too late, and its step is the same in every scan, so all
 counts stay exact; the threshold itself is applied to the exact counts.
 
-Texts are cut into words once, into blocks of word numbers; a scan works on these
-in numpy and reports every phrase of a block once, with its count.
+Texts are cut into words once, into blocks of word numbers. A scan works on these
+in numpy and reports every active phrase of a block once, as 128 bits of hash with
+its count; a last scan gives the frequent ones their words.
 """
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,21 +34,23 @@ from loanscope.llm.common import encoded
 from loanscope.sources.scratch import checkpointed, work_folder
 
 #: Words of a block, over which a scan counts before Spark does.
-BLOCK_WORDS = 1 << 18
+BLOCK_WORDS = 1 << 20
 #: Parts of a language ranked on their own before the language is.
 RANK_PARTS = 64
 MAX_WORDS = 4
 NEVER = 255
 # --- Fixed values: what ends a piece, what parts words, the language of rows without one ---
-_PIECE_ENDS = re.compile(rb"[.,;:!?\x0A-\x0D]")
-_BLANKS = re.compile(rb"[\x20\x09]+")
+PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 NO_LANGUAGE = "und"
+_PIECE_END = re.compile(b"[" + re.escape(PIECE_ENDS) + b"]")
+_SIMPLER = bytes.maketrans(PIECE_ENDS + BLANKS, b"\n" * len(PIECE_ENDS) + b" " * len(BLANKS))
 #: Bytes of a text cut at a time.
 STRETCH = 1 << 20
 
-_BLOCKS = "shard int, lang string, words array<binary>, codes binary"
-_COUNTS = "lang string, phrase string, n_words int, bucket int, start int, n long"
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_BLOCKS = "shard int, lang string, n long, words array<binary>, hashes binary, codes binary"
+_COUNTS = "h1 long, h2 long, kind int, n long"
+_NAMES = "h1 long, h2 long, lang string, phrase string"
+_M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -57,10 +61,10 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _stretches(text: bytes) -> Iterator[bytes]:
-    """A long text in parts that end where a piece or a word does."""
+    """A long text in parts that end where a piece does."""
     start = 0
     while len(text) - start > STRETCH:
-        end = _PIECE_ENDS.search(text, start + STRETCH)
+        end = _PIECE_END.search(text, start + STRETCH)
         if end is None:
             break
         yield text[start : end.start()]
@@ -68,8 +72,16 @@ def _stretches(text: bytes) -> Iterator[bytes]:
     yield text[start:]
 
 
+class _Numbers(dict):
+    """Numbers of words, the next one for a new word."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class _Blocks:
-    """Rows of ``shard``, ``lang`` and ``text`` as blocks: the distinct words and their numbers in order.
+    """Rows of ``shard``, ``lang`` and ``text`` as blocks: the distinct words, their hashes, and their numbers in order.
 
     Number 0 stands between pieces, so a phrase is a run of other numbers.
     """
@@ -78,24 +90,25 @@ class _Blocks:
         self.block_words = block_words
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_blocks: dict[tuple[int, str], tuple[dict[bytes, int], list[int]]] = {}
+        open_blocks: dict[tuple[int, str], tuple[_Numbers, list[int]]] = {}
         held = 0
         for batch in batches:
             keys = zip(batch.column("shard").to_pylist(), batch.column("lang").to_pylist())
             for key, text in zip(keys, encoded(batch.column("text"))):
-                for part in _stretches(text.lower()):  # of bytes: A-Z alone
-                    numbers, codes = open_blocks.setdefault(key, ({}, [0]))
+                for part in _stretches(text):
+                    if key not in open_blocks:
+                        open_blocks[key] = _Numbers({b"\n": 0}), [0]
+                    numbers, codes = open_blocks[key]
                     before = len(codes)
-                    for piece in _PIECE_ENDS.split(part):
-                        words = [w for w in _BLANKS.split(piece) if w]
-                        if words:
-                            codes += [numbers.setdefault(w, len(numbers) + 1) for w in words]
-                            codes.append(0)
+                    # bytes.lower knows A-Z only, as wanted.
+                    words = part.lower().translate(_SIMPLER).replace(b"\n", b" \n ").split(b" ")
+                    codes += map(numbers.__getitem__, filter(None, words))
+                    codes.append(0)
                     held += len(codes) - before
                     if len(codes) >= self.block_words:
                         held -= len(codes)
                         yield self._block(key, *open_blocks.pop(key))
-                if held >= 4 * self.block_words:  # many languages: the largest block goes
+                if held >= 2 * self.block_words:  # many languages: the largest block goes
                     key = max(open_blocks, key=lambda k: len(open_blocks[k][1]))
                     held -= len(open_blocks[key][1])
                     yield self._block(key, *open_blocks.pop(key))
@@ -103,61 +116,86 @@ class _Blocks:
             yield self._block(key, *block)
 
     @staticmethod
-    def _block(key: tuple[int, str], numbers: dict[bytes, int], codes: list[int]) -> pa.RecordBatch:
-        arrays = [
-            pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.string()),
-            pa.array([list(numbers)], pa.list_(pa.binary())), pa.array([np.array(codes, "<i4").tobytes()], pa.binary()),
-        ]
-        return pa.RecordBatch.from_arrays(arrays, names=["shard", "lang", "words", "codes"])
+    def _block(key: tuple[int, str], numbers: _Numbers, codes: list[int]) -> pa.RecordBatch:
+        numbered = np.array(codes, "<i4")
+        seed = xxhash.xxh64_intdigest(key[1].encode())
+        hashes = b"".join([xxhash.xxh128_digest(w, seed) for w in numbers])
+        values = [[key[0]], [key[1]], [int(np.count_nonzero(numbered))], [list(numbers)], [hashes], [numbered.tobytes()]]
+        kinds = [pa.int32(), pa.string(), pa.int64(), pa.list_(pa.binary()), pa.binary(), pa.binary()]
+        names = ["shard", "lang", "n", "words", "hashes", "codes"]
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
+
+
+def _phrases(table: np.ndarray, step: int, hashes: bytes, codes: bytes) -> Iterator[tuple]:
+    """By length: the numbers of a block, where its phrases active at the step begin, by place their two hashes
+    and the step from which on they are."""
+    codes = np.frombuffer(codes, "<i4").astype(np.int64)
+    words = np.frombuffer(hashes, "<u8").reshape(-1, 2)
+    mask = np.uint64(len(table) - 1)
+    at = np.flatnonzero(codes)
+    h1, h2 = words[:, 0][codes], words[:, 1][codes]
+    starts = np.full(len(codes) + 1, NEVER, dtype=np.int16)
+    starts[at] = 0
+    yield codes, 1, at, h1, h2, starts
+    for length in range(2, MAX_WORDS + 1):
+        at = at[codes[at + length - 1] != 0]
+        # A phrase not active yet has no longer one that is.
+        active = np.maximum.reduce((table[h1[at] & mask], table[h1[at + 1] & mask], starts[at], starts[at + 1]))
+        at, active = at[active <= step], active[active <= step]
+        last = codes[at + length - 1]
+        longer1, longer2 = np.zeros_like(h1), np.zeros_like(h2)
+        longer1[at] = _mixed(h1[at] * _M2 + words[:, 0][last])
+        longer2[at] = _mixed(h2[at] * _M3 + words[:, 1][last])
+        h1, h2, starts = longer1, longer2, np.full_like(starts, NEVER)
+        starts[at] = active
+        yield codes, length, at, h1, h2, starts
+
+
+def _table(content) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(content.value), dtype=np.uint8)
 
 
 class _Scan:
     """Counts the active phrases of the blocks of one shard."""
 
-    def __init__(self, table, step: int, cycle: int):
-        self.table, self.step, self.cycle = table, step, cycle
+    def __init__(self, content, step: int, cycle: int):
+        self.content, self.step, self.cycle = content, step, cycle
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(self.table.value, dtype=np.uint8)
+        table = _table(self.content)
         for batch in batches:
-            for row in range(batch.num_rows):
-                words = [None, *batch.column("words")[row].as_py()]
-                codes = np.frombuffer(batch.column("codes")[row].as_py(), "<i4").astype(np.int64)
-                yield from self._block(table, batch.column("lang")[row].as_py(), words, codes)
+            for hashes, codes in zip(batch.column("hashes"), batch.column("codes")):
+                hashes, codes = hashes.as_py(), codes.as_py()
+                for numbers, length, at, h1, h2, starts in _phrases(table, self.step, hashes, codes):
+                    now = at[starts[at] + self.cycle > self.step]
+                    if len(now):
+                        first, n = _distinct(numbers, now, length, len(hashes) // 16)
+                        kind = length * 256 + starts[first].astype(np.int32)
+                        columns = [h1[first].view(np.int64), h2[first].view(np.int64), kind, n.astype(np.int64)]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h1", "h2", "kind", "n"])
+
+
+class _Names:
+    """The words of the phrases whose bucket holds a frequent one."""
 
-    def _block(self, table, lang: str, words: list, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def __init__(self, content, frequent, step: int):
+        self.content, self.frequent, self.step = content, frequent, step
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, frequent = _table(self.content), _table(self.frequent)
         mask = np.uint64(len(table) - 1)
-        seed = xxhash.xxh64_intdigest(lang.encode())
-        of_word = np.array([0, *(xxhash.xxh64_intdigest(w, seed) for w in words[1:])], dtype=np.uint64)
-        at = np.flatnonzero(codes)  # where phrases of the length begin
-        hashes = of_word[codes]  # of the phrase of the length before that begins here
-        starts = np.full(len(codes) + 1, NEVER, dtype=np.int16)  # the step from which on it is counted
-        starts[at] = 0
-        for length in range(1, MAX_WORDS + 1):
-            if length > 1:
-                at = at[codes[at + length - 1] != 0]
-                subphrases = table[hashes[at] & mask], table[hashes[at + 1] & mask], starts[at], starts[at + 1]
-                active = np.maximum.reduce(subphrases).astype(np.int16)
-                longer = np.zeros_like(hashes)
-                longer[at] = _mixed(hashes[at] * _M2 + of_word[codes[at + length - 1]])
-                # A phrase not active yet has no longer one that is.
-                at, active = at[active <= self.step], active[active <= self.step]
-                hashes, starts = longer, np.full_like(starts, NEVER)
-                starts[at] = active
-            now = at[starts[at] + self.cycle > self.step]
-            if len(now):
-                first, n = _distinct(codes, now, length, len(words))
-                start = starts[first]
-                texts = [b" ".join([words[c] for c in run]) for run in codes[first[:, None] + np.arange(length)].tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(first), pa.string()), pa.array(texts, pa.string()),
-                        pa.array(np.full(len(first), length, np.int32)),
-                        pa.array((hashes[first] & mask).astype(np.int32)), pa.array(start.astype(np.int32)),
-                        pa.array(n.astype(np.int64)),
-                    ],
-                    names=["lang", "phrase", "n_words", "bucket", "start", "n"],
-                )
+        for batch in batches:
+            for row in range(batch.num_rows):
+                lang, words, hashes, codes = (batch.column(c)[row].as_py() for c in ("lang", "words", "hashes", "codes"))
+                for numbers, length, at, h1, h2, _ in _phrases(table, self.step, hashes, codes):
+                    at = at[frequent[h1[at] & mask] > 0]
+                    if len(at):
+                        first, _ = _distinct(numbers, at, length, len(words))
+                        runs = numbers[first[:, None] + np.arange(length)].tolist()
+                        texts = pa.array([b" ".join([words[c] for c in run]) for run in runs], pa.string())
+                        columns = [pa.array(h1[first].view(np.int64)), pa.array(h2[first].view(np.int64))]
+                        columns += [pa.array([lang] * len(first), pa.string()), texts]
+                        yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "lang", "phrase"])
 
 
 def _distinct(codes: np.ndarray, at: np.ndarray, length: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +211,7 @@ def _distinct(codes: np.ndarray, at: np.ndarray, length: int, size: int) -> tupl
     return at[first], n
 
 
-def phrase_counts(docs: DataFrame, folder: str, threshold: int = 30, shards: int = 4, bucket_bits: int = 24) -> DataFrame:
+def phrase_counts(docs: DataFrame, folder: str, threshold: int = 30, shards: int = 2, bucket_bits: int = 24) -> DataFrame:
     """``lang``, ``phrase``, ``n_words`` and ``n`` of words and phrases, those with at least ``threshold`` occurrences.
 
     A row of 0 words besides these, its phrase null, gives the number of all words
@@ -187,46 +225,58 @@ def phrase_counts(docs: DataFrame, folder: str, threshold: int = 30, shards: int
         df.write.partitionBy(*by).parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
+    def sent(values: np.ndarray):
+        return spark.sparkContext.broadcast(zlib.compress(values.tobytes(), 1))
+
     rows = docs.select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"),
         F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"),
         "text",
     )
-    blocks = rows.where("text <> ''").mapInArrow(_Blocks(BLOCK_WORDS), _BLOCKS)
-    blocks = written("blocks", blocks, "shard")
+    blocks = written("blocks", rows.where("text <> ''").mapInArrow(_Blocks(BLOCK_WORDS), _BLOCKS), "shard")
     table = np.full(1 << bucket_bits, NEVER, dtype=np.uint8)
+    frequent = np.zeros(1 << bucket_bits, dtype=np.uint8)
     open_counts, finished, last, step = None, [], 0, 0
-    frequent = f"n >= {threshold}"
-    key = ["lang", "phrase", "n_words", "bucket", "start"]
+    enough, n_words = f"n >= {threshold}", F.shiftright("kind", 8)
     while step < last + shards:
-        content = spark.sparkContext.broadcast(table.tobytes())
-        seen = blocks.where(F.col("shard") == step % shards).select("lang", "words", "codes")
+        content = sent(table)
+        seen = blocks.where(F.col("shard") == step % shards).select("hashes", "codes")
         counted = seen.mapInArrow(_Scan(content, step, shards), _COUNTS).withColumn("now", F.col("n"))
         if open_counts is not None:
             counted = counted.unionByName(open_counts.withColumn("now", F.lit(0).cast("long")))
-        sums = counted.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("now").alias("now"))
-        done = (F.col("start") + shards <= step + 1).cast("int")
-        # What is done and rare goes, but words, whose total is asked for.
-        sums = sums.withColumn("done", done).where(f"done = 0 OR {frequent} OR n_words = 1")
+        sums = counted.groupBy("h1", "h2", "kind").agg(F.sum("n").alias("n"), F.sum("now").alias("now"))
+        done = F.col("kind").bitwiseAND(F.lit(255)) + shards <= step + 1
+        # What is counted over a full cycle and rare goes.
+        sums = sums.withColumn("done", done.cast("int")).where(f"done = 0 OR {enough}")
         sums = written(f"counts{step}", sums, "done")
         finished.append(sums.where("done = 1"))
-        open_counts = sums.where("done = 0").select(*key, "n")
-        # At most one row a bucket of the table comes to the driver.
-        crossed = sums.where(f"{frequent} AND n - now < {threshold} AND n_words < {MAX_WORDS}")
-        found = crossed.select("bucket").distinct().toArrow().column("bucket").to_numpy()
-        found = found[table[found] == NEVER]
+        open_counts = sums.where("done = 0").drop("now", "done")
+        # At most two rows a bucket of the table come to the driver.
+        crossed = sums.where(f"{enough} AND n - now < {threshold}")
+        bucket = F.col("h1").bitwiseAND(F.lit((1 << bucket_bits) - 1)).alias("bucket")
+        found = crossed.select(bucket, (n_words < MAX_WORDS).alias("shorter")).distinct().toArrow()
+        buckets = found.column("bucket").to_numpy()
+        frequent[buckets] = 1
+        buckets = buckets[found.column("shorter").to_numpy(zero_copy_only=False)]
+        buckets = buckets[table[buckets] == NEVER]
         step += 1
-        if len(found):
-            table[found] = step
+        if len(buckets):
+            table[buckets] = step
             last = step
-        content.unpersist()
+        content.destroy()  # the step is written
     counts = finished[0]
     for more in finished[1:]:
         counts = counts.unionByName(more)
-    counts = counts.select("lang", "phrase", "n_words", "n")
-    totals = counts.where("n_words = 1").groupBy("lang").agg(F.sum("n").alias("n"))
+    content, wanted = sent(table), sent(frequent)
+    named = blocks.select("lang", "words", "hashes", "codes").mapInArrow(_Names(content, wanted, step), _NAMES)
+    named = named.groupBy("h1", "h2", "lang", "phrase").agg(F.count("*").alias("n_blocks"))
+    found = counts.join(named, ["h1", "h2"]).select("lang", "phrase", n_words.alias("n_words"), "n")
+    totals = blocks.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
     totals = totals.select("lang", F.lit(None).cast("string").alias("phrase"), F.lit(0).alias("n_words"), "n")
-    return written("phrases", counts.where(frequent).unionByName(totals))
+    found = written("phrases", found.unionByName(totals))
+    content.destroy()
+    wanted.destroy()
+    return found
 
 
 def collocations(
@@ -234,7 +284,7 @@ def collocations(
     threshold: int = 30,
     per_lang: int = 2000,
     overlap: int = 80,
-    shards: int = 4,
+    shards: int = 2,
     bucket_bits: int = 24,
 ) -> DataFrame:
     """The best phrases of every language: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n`` and ``score``.
