@@ -165,8 +165,8 @@ class BoostedTrees:
         return 1 / (1 + np.exp(-self.value[at].sum(axis=1)))
 
 
-def _measured(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    both = [statistics(t.as_py() or "") for t in batch.column("text")]
+def _measured(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    both = [statistics(t.as_py() or "") for t in column]
     counts = np.array([b[0] for b in both], dtype=np.int64).reshape(-1, len(COUNTS))
     return counts, np.array([b[1] for b in both], dtype=np.float64).reshape(-1, len(FEATURES))
 
@@ -181,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_bytes:
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = pa.array(list(_measured(batch)[1]), pa.list_(pa.float64()))
+            values = pa.array(list(_measured(batch.column("text"))[1]), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("label"), values], names=["label", "x"])
 
     sample = labelled_sample(docs, labels, "quality", per_class, max_bytes)
