@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanscope.sources.scratch import work_folder
+from loanscope.sources.scratch import checkpointed, work_folder
 
 #: Rows of this fold are never learnt from.
 FOLDS, HELD_OUT = 4, 2
@@ -101,23 +101,43 @@ def word_blocks(text: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
+#: Of the ids of a class, how many times as many as wanted are looked up at first, and how many more.
+SAMPLED, SLACK = 4, 1000
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_bytes: int, seed: int = 0
 ) -> DataFrame:
     """``doc_id``, ``text`` and ``label`` of a bounded sample of rows to learn from.
 
     Of each value of the label column, 0 and 1, the ``per_class`` ids with the
-    smallest seeded hash are taken, less those whose text is missing, empty or
-    longer than ``max_bytes``. Ids of the held-out fold and ids with contradicting
+    smallest seeded hash are taken, among those that ``docs`` has with a text of 1
+    to ``max_bytes`` bytes. Ids of the held-out fold and ids with contradicting
     labels are not used; of rows that share an id, the smallest text is.
+
+    Only ids whose hash lies below a threshold are looked up, which leaves a few
+    times ``per_class`` of each class; it is raised until there are enough.
     """
     order = F.xxhash64(F.lit(seed), F.col("doc_id"))
     agreed = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min(label).alias("label"), F.max(label).alias("most")
     )
-    agreed = agreed.where((F.col("label") == F.col("most")) & ~held_out("doc_id")).select("doc_id", "label")
-    picked = [agreed.where(F.col("label") == value).orderBy(order, "doc_id").limit(per_class) for value in (0, 1)]
-    # At most 2 * per_class short rows.
-    ids = F.broadcast(picked[0].union(picked[1]))
-    rows = docs.select("doc_id", "text").where(F.octet_length("text").between(1, max_bytes)).join(ids, "doc_id")
-    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).orderBy(order, "doc_id")
+    agreed = agreed.where((F.col("label") == F.col("most")) & F.col("label").isin(0, 1) & ~held_out("doc_id"))
+    agreed = agreed.select("doc_id", "label", order.alias("place"))
+    sizes = {r["label"]: r["count"] for r in agreed.groupBy("label").count().collect()}
+    short = docs.select("doc_id", "text").where(F.octet_length("text").between(1, max_bytes))
+    wanted = SAMPLED * per_class + SLACK
+    while True:
+        shares = {value: min(1.0, wanted / n) for value, n in sizes.items()}
+        limit = F.lit((1 << 63) - 1)
+        for value, share in shares.items():
+            if share < 1:
+                limit = F.when(F.col("label") == value, int((share - 0.5) * ((1 << 64) - 4096))).otherwise(limit)
+        found = short.join(agreed.where(F.col("place") <= limit), "doc_id")
+        found = checkpointed(found.groupBy("doc_id", "label", "place").agg(F.min("text").alias("text")))
+        got = {r["label"]: r["count"] for r in found.groupBy("label").count().collect()}
+        if all(share == 1 or got.get(value, 0) >= per_class for value, share in shares.items()):
+            break
+        wanted *= SAMPLED**2
+    picked = [found.where(F.col("label") == value).orderBy("place", "doc_id").limit(per_class) for value in (0, 1)]
+    return picked[0].union(picked[1]).select("doc_id", "label", "text").orderBy(order, "doc_id")

@@ -4,9 +4,9 @@ Two zstandard dictionaries are built, from blocks of good and of bad labelled
 texts; lines that occur in both say nothing and are left out. A text is
 compressed in blocks of its own with either, so that the dictionaries count
 for all of a long text as they do for a short one. The difference of the two
-sizes over their sum, beside the rate at which the text compresses on its own,
+sizes, once over what both take and once over what the text takes uncompressed,
 goes through a logistic curve fitted on labelled texts that are not in the
-dictionaries, which makes it a probability.
+dictionaries, which makes it a probability. Nothing else of a text is looked at.
 """
 
 from collections.abc import Iterator
@@ -22,8 +22,9 @@ from loanscope.llm.common import encoded, held_out, kept_rows, labelled_sample
 BLOCK, DICTIONARY_BYTES, LEVEL = 2048, 112_640, 3
 #: Segment length and match length by which passages are picked for a dictionary.
 SEGMENT, MATCH = 200, 8
-#: Bytes of a compressed text that are not its own, and a constant that keeps the rate of short ones near 1.
+#: Bytes of a compressed block that are not the text's, and a constant that keeps differences of short texts small.
 FRAME_BYTES, SOFTENING = 13, 20
+INPUTS = 2
 #: Weight that keeps the curve finite where the classes part cleanly.
 RIDGE = 0.1
 
@@ -47,7 +48,7 @@ class CompressionClassifier:
 
     def __init__(self, good: bytes, bad: bytes):
         self.good, self.bad = good, bad
-        self.mean, self.spread, self.weights = np.zeros(4), np.ones(4), np.zeros(5)
+        self.mean, self.spread, self.weights = np.zeros(INPUTS), np.ones(INPUTS), np.zeros(INPUTS + 1)
         self._open()
 
     def _open(self) -> None:
@@ -55,7 +56,7 @@ class CompressionClassifier:
             data = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
             return zstandard.ZstdCompressor(level=LEVEL, dict_data=data)
 
-        self.compressors = compressor(self.good), compressor(self.bad), compressor(b"")
+        self.compressors = compressor(self.good), compressor(self.bad)
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "compressors"}
@@ -65,15 +66,13 @@ class CompressionClassifier:
         self._open()
 
     def features(self, text: bytes) -> tuple[float, ...]:
-        good, bad, alone = self.compressors
+        good, bad = self.compressors
         with_good = with_bad = 0
         for block in blocks(text):
-            with_good += len(good.compress(block))
-            with_bad += len(bad.compress(block))
-        difference = (with_bad - with_good) / (with_bad + with_good)
-        own_bytes = len(alone.compress(text)) - FRAME_BYTES
-        rate = min(0.0, np.log((own_bytes + SOFTENING) / (len(text) + SOFTENING)))
-        return difference, rate, rate * rate, difference * rate
+            with_good += len(good.compress(block)) - FRAME_BYTES
+            with_bad += len(bad.compress(block)) - FRAME_BYTES
+        difference = with_bad - with_good
+        return difference / (with_bad + with_good + SOFTENING), difference / (len(text) + SOFTENING)
 
     def fit(self, texts: list[bytes], labels: np.ndarray, rounds: int = 30) -> None:
         """Logistic regression by Newton steps; both classes weigh the same."""
@@ -81,17 +80,17 @@ class CompressionClassifier:
         self.mean, self.spread = x.mean(axis=0), x.std(axis=0) + 1e-9
         x = np.column_stack([np.ones(len(x)), (x - self.mean) / self.spread])
         weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
-        ridge = np.diag([0.0, *[RIDGE] * 4])
-        self.weights = np.zeros(5)
+        ridge = np.diag([0.0, *[RIDGE] * INPUTS])
+        self.weights = np.zeros(INPUTS + 1)
         for _ in range(rounds):
             p = _logistic(x @ self.weights)
             slope = x.T @ ((labels - p) * weight) - ridge @ self.weights
-            curve = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge + 1e-9 * np.eye(5)
+            curve = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge + 1e-9 * np.eye(INPUTS + 1)
             step = np.linalg.solve(curve, slope)
             self.weights = self.weights + step / max(1.0, np.abs(step).max() / 2)
 
     def scores(self, texts: Iterator[bytes]) -> np.ndarray:
-        x = np.array([self.features(t) for t in texts]).reshape(-1, 4)
+        x = np.array([self.features(t) for t in texts]).reshape(-1, INPUTS)
         return _logistic(self.weights[0] + (x - self.mean) / self.spread @ self.weights[1:])
 
 
@@ -103,7 +102,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_bytes:
     """A classifier for column ``quality`` of ``labels``, from at most ``per_class`` short texts of each class.
 
     The first half of the sample makes the dictionaries and the second the
-    curve. Rows of the held-out fold are not used. If a class has fewer than two
+    curve. Rows of the held-out fold are not used, nor texts over ``max_bytes``, of
+    which a class has others enough. If a class has fewer than two
     texts there is nothing to learn, and every score is 0.5.
     """
     rows = labelled_sample(docs, labels, "quality", per_class, max_bytes).collect()
@@ -122,7 +122,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_bytes:
 def score(docs: DataFrame, model: CompressionClassifier) -> DataFrame:
     """``doc_id``, ``held_out`` and ``score`` of every row; a missing text counts as empty.
 
-    An empty text has the score of the curve at its features, as any other text.
+    An empty text has the score of the curve at its features, as any other text, and
+    repeated rows have equal scores; other columns are not looked at.
     """
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,5 +144,5 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Data
 
 
 def keep_good(docs: DataFrame, model: CompressionClassifier, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose score reaches ``threshold``."""
+    """The rows of ``docs``, with all their columns, whose score reaches ``threshold``; a missing text is scored as an empty one."""
     return kept_rows(docs, lambda texts: model.scores(encoded(texts)) >= threshold)
