@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import held_out
+from loanscope.llm.common import SAMPLED, SLACK, held_out
+from loanscope.sources.scratch import checkpointed
 
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -39,7 +40,7 @@ class ContextTrees:
     ``table_bytes`` goes; without that bound, of ``LANGUAGE_BYTES``. ``left_out`` counts those that did not fit.
     """
 
-    def __init__(self, samples: dict[str, list[str]], max_order: int = 4, table_bytes: int | None = None):
+    def __init__(self, samples: dict[str, list[str]], max_order: int = 4, table_bytes: int | None = None, most_bytes: int | None = None):
         self.languages, self.max_order = sorted(samples), max_order
         if not self.languages:
             return
@@ -56,6 +57,9 @@ class ContextTrees:
         for name in self.languages:
             symbols, _ = self._joined(data[name])
             own_children, parent, levels, self.left_out[name] = self._grow(symbols, n_contexts)
+            size = sum(c.nbytes for c in children) + sum(b.nbytes for b in bits) + 2 * own_children.nbytes
+            if most_bytes is not None and size > most_bytes:
+                raise ValueError(f"the trees take more than {most_bytes} bytes; take fewer languages or a smaller language_bytes")
             bits.append(self._measure(symbols, own_children, parent, levels))
             children.append(np.where(own_children > 0, own_children + np.int32(roots[-1]), 0).astype(np.int32))
             roots.append(roots[-1] + len(parent))
@@ -191,33 +195,64 @@ def _escape(counts: np.ndarray, shorter: np.ndarray, bytes_of: np.ndarray) -> np
 
 
 def train(
-    docs: DataFrame, per_language: int = 400, max_bytes: int = 32_768, seed: int = 0, language_bytes: int = LANGUAGE_BYTES
+    docs: DataFrame,
+    per_language: int = 400,
+    max_bytes: int = 32_768,
+    seed: int = 0,
+    language_bytes: int = LANGUAGE_BYTES,
+    max_languages: int = 1000,
+    sample_bytes: int = 1 << 28,
+    model_bytes: int = 1 << 29,
 ) -> ContextTrees:
     """Trees for the values of column ``lang``, from at most ``per_language`` texts of each.
 
-    The texts with the smallest seeded hash of their id are taken, less those
-    missing, empty or longer than ``max_bytes``. Rows without a language and
-    those of the held-out fold are not learnt from. A language's table takes at
-    most ``language_bytes``, however many languages there are.
+    The texts with the smallest seeded hash of their id are taken, of those with 1
+    to ``max_bytes`` bytes. Rows without a language or an id and those of the
+    held-out fold are not learnt from; of rows that share id and language, the
+    smallest text is. A language's table takes at most ``language_bytes``, however
+    many languages there are. More than ``max_languages`` values of ``lang``, more
+    than ``sample_bytes`` of text or a model over ``model_bytes`` raise a
+    ``ValueError``: what comes to the driver and goes to the workers is bounded by
+    these, whatever the column holds.
     """
     order = F.xxhash64(F.lit(seed), F.col("doc_id"))
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
-    picked = usable.select("doc_id", "lang", place.alias("place")).where(F.col("place") <= per_language)
-    # At most per_language short rows a language.
-    ids = F.broadcast(picked.select("doc_id", "lang").distinct())
-    rows = usable.where(F.octet_length("text").between(1, max_bytes)).select("doc_id", "lang", "text")
-    rows = rows.join(ids, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    usable = usable.select("doc_id", "lang", "text", order.alias("place"))
+    counts = usable.groupBy("lang").count().limit(max_languages + 1).collect()
+    if len(counts) > max_languages:
+        raise ValueError(f"column lang has more than {max_languages} values; are they languages?")
+    short = usable.where(F.octet_length("text").between(1, max_bytes))
+    wanted = SAMPLED * per_language + SLACK
+    while True:
+        # Few rows of a language lie below its limit, so the window below is small however large the language is.
+        shares = [(r["lang"], min(1.0, wanted / r["count"])) for r in counts]
+        limits = docs.sparkSession.createDataFrame(
+            [(lang, int((share - 0.5) * ((1 << 64) - 4096)) if share < 1 else (1 << 63) - 1) for lang, share in shares],
+            "lang string, most long",
+        )
+        near = short.join(limits, "lang").where(F.col("place") <= F.col("most"))
+        near = checkpointed(near.groupBy("doc_id", "lang", "place").agg(F.min("text").alias("text")))
+        found = {r["lang"]: r["count"] for r in near.groupBy("lang").count().collect()}
+        if all(share == 1 or found.get(lang, 0) >= per_language for lang, share in shares):
+            break
+        wanted *= SAMPLED**2
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
+    picked = near.withColumn("first", first).where(F.col("first") <= per_language).select("doc_id", "lang", "text")
+    size = picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > sample_bytes:
+        raise ValueError(f"the texts to learn from take {size} bytes, more than {sample_bytes}; take fewer or shorter ones")
     samples: dict[str, list[str]] = {}
-    for row in rows.orderBy("lang", "doc_id").collect():
+    for row in picked.orderBy("lang", "doc_id").collect():
         samples.setdefault(row["lang"], []).append(row["text"])
-    return ContextTrees(samples, table_bytes=language_bytes * len(samples))
+    return ContextTrees(samples, table_bytes=language_bytes * len(samples), most_bytes=model_bytes)
 
 
 def identify(docs: DataFrame, model: ContextTrees) -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` of every row.
 
-    A missing text and one without a letter are ``und`` with score 0.
+    A missing or empty text and one without a letter are ``und`` with score 0.
+    Repeated rows come out alike, an empty table gives none, columns besides id and
+    text are not looked at. A very long text is scored in stretches, whole.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -128,3 +128,30 @@ def test_nothing_to_learn(spark):
     assert [tuple(r)[2:] for r in identify(docs(spark, ["abc", None]), model).collect()] == [("und", 0.0)] * 2
     one = train(docs(spark, ["abc def"] * 8, lang=["q"] * 8))
     assert [tuple(r)[2:] for r in identify(docs(spark, ["xyz"]), one).collect()] == [("q", 1.0)]
+
+
+def test_the_sample_is_the_smallest_hashes_of_usable_texts(spark, monkeypatch):
+    """However few rows are looked up at first; long texts cost the sample nothing."""
+    from loanscope.llm import langid
+
+    texts = [("z" * 99 if i % 3 == 0 else f"word {i} ") * 2 for i in range(900)]
+    df = docs(spark, texts, lang=["big"] * 800 + ["small"] * 100)
+    taken = {}
+    monkeypatch.setattr(langid, "ContextTrees", lambda samples, **_: taken.update(samples))
+    got = []
+    for sampled, slack in ((4, 1000), (2, 0), (2, 5)):
+        monkeypatch.setattr(langid, "SAMPLED", sampled)
+        monkeypatch.setattr(langid, "SLACK", slack)
+        train(df, per_language=20, max_bytes=100)
+        got.append({k: sorted(v) for k, v in taken.items()})
+    assert got[0] == got[1] == got[2] and {k: len(v) for k, v in got[0].items()} == {"big": 20, "small": 20}
+    assert all(len(t) < 100 for v in got[0].values() for t in v)
+
+
+def test_many_languages_are_learnt_within_the_bounds_or_not_at_all(spark):
+    rng = random.Random(5)
+    df = docs(spark, [random_text(rng, 30) for _ in range(900)], lang=[f"l{i % 300}" for i in range(900)])
+    assert len(train(df).languages) > 250
+    for bound in ({"max_languages": 200}, {"sample_bytes": 1000}, {"model_bytes": 100_000}):
+        with pytest.raises(ValueError):
+            train(df, **bound)
