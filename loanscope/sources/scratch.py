@@ -8,9 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else one below the warehouse of the session."""
+    """The folder all executors share: ``spark.checkpoint.dir``, else one below the warehouse of the session.
+
+    A warehouse on a local disk will not do on a cluster, where it is another one on each machine.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints").rstrip("/")
+    if folder is None:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = warehouse.rstrip("/") + "/checkpoints"
+    return folder.rstrip("/")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -40,3 +48,18 @@ def work_folder(spark: SparkSession) -> Iterator[str]:
         yield path
     finally:
         spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[str]:
+    """A work folder that also takes what ``checkpointed`` writes meanwhile; all of it goes in the end.
+
+    What is to stay must be written elsewhere before.
+    """
+    context = spark.sparkContext
+    with work_folder(spark) as folder:
+        context.setCheckpointDir(f"{folder}/checkpoints")
+        try:
+            yield folder
+        finally:
+            context.setCheckpointDir(shared_folder(spark))

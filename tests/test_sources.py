@@ -177,3 +177,34 @@ def test_csv_lists_its_folder_once(spark, golden_path):
 def test_rows_per_file(spark, golden_raw, tmp_path):
     golden_raw.select("id").coalesce(1).write.parquet(str(tmp_path / "t"))
     assert [r["n_rows"] for r in rows_per_file(spark.read.parquet(str(tmp_path / "t"))).collect()] == [13]
+
+
+def test_intermediates_go_with_their_folder(spark, tmp_path):
+    import glob
+
+    from loanscope.sources.scratch import checkpointed, intermediates, shared_folder
+
+    place = shared_folder(spark).removeprefix("file:")
+    with intermediates(spark) as folder:
+        kept = checkpointed(spark.range(10))
+        assert kept.count() == 10 and glob.glob(f"{folder.removeprefix('file:')}/checkpoints/*/rdd-*")
+        kept.write.parquet(f"{tmp_path}/kept")
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 10
+    assert not glob.glob(f"{folder.removeprefix('file:')}/*") and not glob.glob(f"{place}/work_*")
+    assert checkpointed(spark.range(5)).count() == 5
+
+
+def test_a_local_folder_is_refused_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from loanscope.sources.scratch import shared_folder
+
+    def session(master, **conf):
+        values = {"spark.sql.warehouse.dir": "file:/tmp/warehouse"} | conf
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: values.get(k, d)), sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("local[4]")) == "file:/tmp/warehouse/checkpoints"
+    with pytest.raises(ValueError):
+        shared_folder(session("yarn"))
+    assert shared_folder(session("yarn", **{"spark.sql.warehouse.dir": "hdfs:///w"})) == "hdfs:///w/checkpoints"
+    assert shared_folder(session("yarn", **{"spark.checkpoint.dir": "file:///nfs/x/"})) == "file:///nfs/x"
