@@ -10,11 +10,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loanscope.llm import quality_classifier, quality_rules
-from loanscope.llm.common import table, work_tables
+from loanscope.llm.common import table
 from loanscope.llm.mixing import repeat_to_weights
 from loanscope.llm.piece_bpe import token_digests
 from loanscope.llm.simhash import deduplicate
-from loanscope.sources.scratch import checkpointed
+from loanscope.sources.scratch import intermediates, scratch_path
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -59,9 +59,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``. What is written between them is removed at the end."""
-    docs = table(spark, sf_dir, "documents")
-    with work_tables(spark) as written:
+    """All stages over ``documents``. What is written between and within them is removed at the end."""
+    docs, result = table(spark, sf_dir, "documents"), scratch_path(spark, "corpus")
+    with intermediates(spark) as folder:
         for name, stage in STAGES:
-            docs = written(name, stage(spark, docs, sf_dir))
-        return checkpointed(docs)
+            path = result if name == STAGES[-1][0] else f"{folder}/{name}"
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs
