@@ -376,7 +376,11 @@ def _chosen(blocks: list[Block]) -> str:
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """``page_id``, ``url``, ``text`` and ``n_chars`` of every row; a missing page has an empty text."""
+    """``page_id``, ``url``, ``text`` and ``n_chars`` of every row.
+
+    A missing or empty page, and one without text, has an empty text. Repeated rows come out alike, an empty table gives
+    none, other columns are not looked at. Work grows with the length of a page, which its task holds whole.
+    """
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -199,7 +199,11 @@ def _verdicts(model: BoostedTrees, column: pa.Array, threshold: float):
 
 
 def apply_rules(docs: DataFrame, model: BoostedTrees, threshold: float = 0.5) -> DataFrame:
-    """``doc_id``, the five counts, ``base_failed`` and ``kept`` of every row; a missing text has no words."""
+    """``doc_id``, the five counts, ``base_failed`` and ``kept`` of every row.
+
+    A missing or empty text has no words and fails the base rules. Repeated rows come out alike, a missing id stays
+    missing, an empty table gives none, other columns are not looked at. Texts of any length are counted whole.
+    """
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,5 +217,5 @@ def apply_rules(docs: DataFrame, model: BoostedTrees, threshold: float = 0.5) ->
 
 
 def keep_passing(docs: DataFrame, model: BoostedTrees, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that pass the base rules and the trees."""
+    """The rows of ``docs``, with all their columns, that pass the base rules and the trees; a missing text does not."""
     return kept_rows(docs, lambda column: _verdicts(model, column, threshold)[2])

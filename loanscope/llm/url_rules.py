@@ -47,7 +47,9 @@ def apply_rules(
     the longer host; of equal rules with both verdicts ``block`` wins. Without a
     rule, ``rule`` is null and the verdict ``default``. A rule without a host or
     verdict fits nothing; a missing path fits every path. Rule hosts are
-    compared in lower case.
+    compared in lower case. Repeated rows come out alike, a missing id stays
+    missing, no urls give no rows, no rules the default for all; other columns are
+    not looked at.
 
     ``ranges`` key ranges are cut at the quantiles of a random sample. A host
     that fills several ranges is dealt over all of them. The sample decides
