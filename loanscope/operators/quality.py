@@ -12,7 +12,8 @@ from loanscope.schema import KEY, NUMERIC_COLUMNS, REQUIRED_COLUMNS, SELECTED_CO
 from loanscope.sources.records import TOO_LONG, TOO_SHORT, UNCLOSED
 
 
-def _is_complete() -> Column:
+def is_complete() -> Column:
+    """True for a row that has all required fields."""
     return reduce(Column.__and__, [F.col(c).isNotNull() for c in REQUIRED_COLUMNS])
 
 
@@ -23,7 +24,7 @@ def row_loss(raw: DataFrame) -> DataFrame:
     data, not from an ``Observation``: observed counts grow when the
     tasks of a lost executor run again.
     """
-    complete = _is_complete()
+    complete = is_complete()
     # All rows the filter drops share one group, every other id has its own.
     counts = (
         raw.transform(select_columns)
@@ -90,7 +91,7 @@ def validation_report(raw: DataFrame) -> DataFrame:
     for c, value in parsed.items():
         rules[f"unparsed_{c}"] = F.count_if((F.col(c).cast("string") != "") & value.isNull())
     rules["empty_input"] = _empty()
-    rules["empty_output"] = F.when(F.count_if(_is_complete()) == 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    rules["empty_output"] = F.when(F.count_if(is_complete()) == 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
     return _violations(raw.transform(select_columns), rules)
 
 
