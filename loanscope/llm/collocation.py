@@ -49,7 +49,7 @@ _SIMPLER = bytes.maketrans(PIECE_ENDS + BLANKS, b"\n" * len(PIECE_ENDS) + b" " *
 #: Bytes of a text cut at a time.
 STRETCH = 1 << 20
 
-_BLOCKS = "shard int, lang string, n long, part int, words array<binary>, codes binary"
+_BLOCKS = "shard int, lang string, n long, part int, words array<binary>, hashes binary, codes binary"
 _COUNTS = "h1 long, h2 long, kind int, n long"
 _NAMES = "h1 long, h2 long, lang string, phrase string"
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -83,7 +83,7 @@ class _Numbers(dict):
 
 
 class _Blocks:
-    """Rows of ``shard``, ``lang`` and ``text`` as blocks: the distinct words and their numbers in order.
+    """Rows of ``shard``, ``lang`` and ``text`` as blocks: the distinct words, their hashes, and their numbers in order.
 
     Number 0 stands between pieces, so a phrase is a run of other numbers.
     """
@@ -121,19 +121,19 @@ class _Blocks:
     def _block(key: tuple[int, str], numbers: _Numbers, codes: list[int]) -> pa.RecordBatch:
         numbered = np.array(codes, "<i4")
         data = numbered.tobytes()
-        part = zlib.crc32(data) % NAMING_PARTS
-        values = [[key[0]], [key[1]], [int(np.count_nonzero(numbered))], [part], [list(numbers)], [data]]
-        kinds = [pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.list_(pa.binary()), pa.binary()]
-        names = ["shard", "lang", "n", "part", "words", "codes"]
+        part, seed = zlib.crc32(data) % NAMING_PARTS, xxhash.xxh64_intdigest(key[1].encode())
+        hashes = b"".join([xxhash.xxh128_digest(w, seed) for w in numbers])
+        values = [[key[0]], [key[1]], [int(np.count_nonzero(numbered))], [part], [list(numbers)], [hashes], [data]]
+        kinds = [pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.list_(pa.binary()), pa.binary(), pa.binary()]
+        names = ["shard", "lang", "n", "part", "words", "hashes", "codes"]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
 
 
-def _phrases(table: np.ndarray, step: int, lang: str, words: list[bytes], codes: bytes) -> Iterator[tuple]:
+def _phrases(table: np.ndarray, step: int, hashes: bytes, codes: bytes) -> Iterator[tuple]:
     """By length: the numbers of a block, where its phrases active at the step begin, by place their two hashes
     and the step from which on they are."""
     codes = np.frombuffer(codes, "<i4").astype(np.int64)
-    seed = xxhash.xxh64_intdigest(lang.encode())
-    words = np.frombuffer(b"".join([xxhash.xxh128_digest(w, seed) for w in words]), "<u8").reshape(-1, 2)
+    words = np.frombuffer(hashes, "<u8").reshape(-1, 2)
     mask = np.uint64(len(table) - 1)
     at = np.flatnonzero(codes)
     h1, h2 = words[:, 0][codes], words[:, 1][codes]
@@ -168,11 +168,11 @@ class _Scan:
         table = _table(self.content)
         for batch in batches:
             for row in range(batch.num_rows):
-                lang, words, codes = (batch.column(c)[row].as_py() for c in ("lang", "words", "codes"))
-                for numbers, length, at, h1, h2, starts in _phrases(table, self.step, lang, words, codes):
+                hashes, codes = (batch.column(c)[row].as_buffer() for c in ("hashes", "codes"))
+                for numbers, length, at, h1, h2, starts in _phrases(table, self.step, hashes, codes):
                     now = at[starts[at] + self.cycle > self.step]
                     if len(now):
-                        first, n = _distinct(numbers, now, length, len(words))
+                        first, n = _distinct(numbers, now, length, hashes.size // 16)
                         kind = length * 256 + starts[first].astype(np.int32)
                         columns = [h1[first].view(np.int64), h2[first].view(np.int64), kind, n.astype(np.int64)]
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h1", "h2", "kind", "n"])
@@ -189,8 +189,8 @@ class _Names:
         mask = np.uint64(len(table) - 1)
         for batch in batches:
             for row in range(batch.num_rows):
-                lang, words, codes = (batch.column(c)[row].as_py() for c in ("lang", "words", "codes"))
-                for numbers, length, at, h1, h2, _ in _phrases(table, self.step, lang, words, codes):
+                lang, words, hashes, codes = (batch.column(c)[row].as_py() for c in ("lang", "words", "hashes", "codes"))
+                for numbers, length, at, h1, h2, _ in _phrases(table, self.step, hashes, codes):
                     at = at[frequent[h1[at] & mask] > 0]
                     if len(at):
                         first, _ = _distinct(numbers, at, length, len(words))
@@ -243,7 +243,7 @@ def phrase_counts(docs: DataFrame, folder: str, threshold: int = 30, shards: int
     enough, n_words = f"n >= {threshold}", F.shiftright("kind", 8)
     while step < last + shards:
         content = sent(table)
-        seen = blocks.where(F.col("shard") == step % shards).select("lang", "words", "codes")
+        seen = blocks.where(F.col("shard") == step % shards).select("hashes", "codes")
         counted = seen.mapInArrow(_Scan(content, step, shards), _COUNTS).withColumn("now", F.col("n"))
         if open_counts is not None:
             counted = counted.unionByName(open_counts.withColumn("now", F.lit(0).cast("long")))
@@ -274,7 +274,7 @@ def phrase_counts(docs: DataFrame, folder: str, threshold: int = 30, shards: int
 
     def named(name: str, some: DataFrame, wanted: np.ndarray) -> DataFrame:
         content, marks = sent(table), sent(wanted)
-        found = some.select("lang", "words", "codes").mapInArrow(_Names(content, marks, step), _NAMES)
+        found = some.select("lang", "words", "hashes", "codes").mapInArrow(_Names(content, marks, step), _NAMES)
         found = written(name, found.groupBy("h1", "h2", "lang", "phrase").agg(F.count("*").alias("n_blocks")))
         content.destroy()
         marks.destroy()
