@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from loanscope.plans.pipeline import run_pipeline
 from loanscope.sources.formats import FORMATS
 
+
 def main(argv: list[str]) -> None:
     parser = argparse.ArgumentParser(prog="loanscope", description="Clean a loan table and report on it.")
     parser.add_argument("input")
@@ -17,6 +18,7 @@ def main(argv: list[str]) -> None:
     parser.add_argument("--partition-by-year", action="store_true")
     parser.add_argument("--single-line", action="store_true", help="CSV values hold no line breaks: split large files")
     parser.add_argument("--reports", metavar="PATH", help="save every report and the run metrics as JSON here")
+    parser.add_argument("--quarantine", metavar="PATH", help="read CSV in splits and set malformed records aside here")
     parser.add_argument("--shuffle-partitions", type=int, help="partitions of a shuffle; else as the session has it")
     parser.add_argument("--split-bytes", type=int, help="most bytes of a scan task; else as the session has it")
     args = parser.parse_args(argv)
@@ -36,6 +38,7 @@ def main(argv: list[str]) -> None:
             output_format=args.output_format,
             partition_by_year=args.partition_by_year,
             reports_path=args.reports,
+            quarantine_path=args.quarantine,
             **({"multi_line": not args.single_line} if args.input_format == "csv" else {}),
         )
         print(f"Input read by {run.input_tasks} tasks.")

@@ -11,8 +11,9 @@ from loanscope.operators import quality, reports
 from loanscope.operators.cleaning import clean_loans, select_columns
 from loanscope.sources.formats import COLUMNAR, check_format
 from loanscope.sources.readers import read_loans, read_processed
+from loanscope.sources.records import read_split_csv
 from loanscope.sources.scratch import checkpointed, work_folder
-from loanscope.sources.writers import write_loans, write_report
+from loanscope.sources.writers import write_loans, write_quarantine, write_report
 
 REPORTS_AT_ONCE = 4
 
@@ -36,6 +37,7 @@ def run_pipeline(
     output_format: str = "parquet",
     partition_by_year: bool = False,
     reports_path: str | None = None,
+    quarantine_path: str | None = None,
     **csv_options,
 ) -> PipelineRun:
     """Reads the raw table once, writes the clean table, reports from it.
@@ -45,22 +47,35 @@ def run_pipeline(
     loses none of them, and every later step reads only the columns it needs.
     They lie in a work folder of the run, which is removed when it ends or fails.
 
-    ``reports_path`` saves every report as JSON in a folder of its own.
+    ``reports_path`` saves every report as JSON in a folder of its own. With
+    ``quarantine_path`` CSV files are read in splits, line breaks in values and all,
+    and records that do not fit their header are set aside there, a folder per rule.
     """
     check_format(input_format)
     check_format(output_format)
     with work_folder(spark) as work:
-        return _run(spark, input_path, output_path, input_format, output_format, partition_by_year, reports_path, work, csv_options)
+        started = time.perf_counter()
+        raw = _input(spark, input_path, input_format, quarantine_path, csv_options)
+        return _run(spark, raw, started, input_path, output_path, input_format, output_format, partition_by_year, reports_path, work)
+
 
+def _input(spark, path, fmt, quarantine_path, csv_options) -> DataFrame:
+    if quarantine_path is None:
+        return read_loans(spark, path, fmt, **csv_options)
+    if fmt != "csv":
+        raise ValueError("only CSV records can be set aside")
+    good, malformed = read_split_csv(spark, path)
+    write_quarantine(malformed, quarantine_path)
+    return good
 
-def _run(spark, input_path, output_path, input_format, output_format, partition_by_year, reports_path, work, csv_options):
+
+def _run(spark, raw, started, input_path, output_path, input_format, output_format, partition_by_year, reports_path, work):
     phases: list[tuple[str, float, int]] = []
 
     def done(phase: str, started: float, rows: int) -> None:
         phases.append((phase, time.perf_counter() - started, rows))
 
-    started = time.perf_counter()
-    raw = read_loans(spark, input_path, input_format, **csv_options).transform(select_columns)
+    raw = raw.transform(select_columns)
     input_tasks = raw.rdd.getNumPartitions()  # of the plan; nothing runs for it
     if input_format not in COLUMNAR:
         write_loans(raw, f"{work}/raw")

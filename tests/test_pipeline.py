@@ -45,6 +45,20 @@ def test_run_from_csv(spark, golden_path, golden_clean, tmp_path, output_format)
     }
 
 
+def test_malformed_records_are_set_aside(spark, conf, golden_path, golden_clean, tmp_path):
+    """In files read in splits; the rows that fit give the same table."""
+    conf("spark.sql.files.maxPartitionBytes", "300")
+    conf("spark.sql.files.openCostInBytes", "0")
+    lines = open(golden_path, newline="").read()
+    (tmp_path / "in.csv").write_text(lines.rstrip("\n") + "\n1,2,3\n" + '9,"never closed\n', newline="")
+    run = run_pipeline(spark, str(tmp_path / "in.csv"), str(tmp_path / "out"), quarantine_path=str(tmp_path / "aside"))
+    assert rows(run.clean) == rows(golden_clean) and run.input_tasks > 1
+    aside = spark.read.schema("rule string, file string, record string").json(str(tmp_path / "aside"))
+    assert rows(aside.select("rule", "record")) == [("too_short", "1,2,3"), ("unclosed", '9,"never closed')]
+    with pytest.raises(ValueError):
+        run_pipeline(spark, str(tmp_path / "out"), str(tmp_path / "x"), "parquet", quarantine_path=str(tmp_path / "y"))
+
+
 def test_reports_are_saved(spark, golden_path, tmp_path):
     run_pipeline(spark, golden_path, str(tmp_path / "out"), partition_by_year=True, reports_path=str(tmp_path / "r"))
     saved = {p.split("/")[-2] for p in glob.glob(f"{tmp_path}/r/*/part-*.json")}
