@@ -2,8 +2,8 @@
 
 Two zstandard dictionaries are built, from blocks of good and of bad labelled
 texts; lines that occur in both say nothing and are left out. A text is
-compressed in blocks of its own with either, so that the dictionaries count
-for all of a long text as they do for a short one. The difference of the two
+compressed in blocks of its own with either, of two sizes, so that the dictionaries
+count for all of a long text as they do for a short one. The difference of the two
 sizes, once over what both take and once over what the text takes uncompressed,
 goes through a logistic curve fitted on labelled texts that are not in the
 dictionaries, which makes it a probability. Nothing else of a text is looked at.
@@ -19,18 +19,18 @@ from pyspark.sql import functions as F
 
 from loanscope.llm.common import encoded, held_out, kept_rows, labelled_sample
 
-BLOCK, DICTIONARY_BYTES, LEVEL = 2048, 112_640, 3
+BLOCKS, DICTIONARY_BYTES, LEVEL = (2048, 512), 112_640, 3
 #: Segment length and match length by which passages are picked for a dictionary.
 SEGMENT, MATCH = 200, 8
 #: Bytes of a compressed block that are not the text's, and a constant that keeps differences of short texts small.
 FRAME_BYTES, SOFTENING = 13, 20
-INPUTS = 2
+INPUTS = 2 * len(BLOCKS)
 #: Weight that keeps the curve finite where the classes part cleanly.
 RIDGE = 0.1
 
 
-def blocks(text: bytes) -> list[bytes]:
-    return [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)] or [b""]
+def blocks(text: bytes, size: int = BLOCKS[0]) -> list[bytes]:
+    return [text[i : i + size] for i in range(0, len(text), size)] or [b""]
 
 
 def build_dictionary(texts: list[bytes], common: set[bytes]) -> bytes:
@@ -67,12 +67,15 @@ class CompressionClassifier:
 
     def features(self, text: bytes) -> tuple[float, ...]:
         good, bad = self.compressors
-        with_good = with_bad = 0
-        for block in blocks(text):
-            with_good += len(good.compress(block)) - FRAME_BYTES
-            with_bad += len(bad.compress(block)) - FRAME_BYTES
-        difference = with_bad - with_good
-        return difference / (with_bad + with_good + SOFTENING), difference / (len(text) + SOFTENING)
+        found: list[float] = []
+        for size in BLOCKS:
+            with_good = with_bad = 0
+            for block in blocks(text, size):
+                with_good += len(good.compress(block)) - FRAME_BYTES
+                with_bad += len(bad.compress(block)) - FRAME_BYTES
+            difference = with_bad - with_good
+            found += [difference / (with_bad + with_good + SOFTENING), difference / (len(text) + SOFTENING)]
+        return tuple(found)
 
     def fit(self, texts: list[bytes], labels: np.ndarray, rounds: int = 30) -> None:
         """Logistic regression by Newton steps; both classes weigh the same."""

@@ -89,14 +89,15 @@ def test_scores_by_plain_compression(model):
     """The same scores from the two compressed sizes alone, computed anew."""
     made = {name: zstandard.ZstdCompressionDict(getattr(model, name)) for name in ("good", "bad")}
 
-    def size(text, name):
-        parts = [text[i : i + 2048] for i in range(0, len(text), 2048)] or [b""]
+    def size(text, name, block):
+        parts = [text[i : i + block] for i in range(0, len(text), block)] or [b""]
         return sum(len(zstandard.ZstdCompressor(3, dict_data=made[name]).compress(p)) - 13 for p in parts)
 
     for text in [t for t in ODD_TEXTS if t] + [t for _, t, _ in training_rows(40, 9)] + [""]:
-        text = text.encode()
-        good, bad = size(text, "good"), size(text, "bad")
-        inputs = ((bad - good) / (good + bad + 20), (bad - good) / (len(text) + 20))
+        text, inputs = text.encode(), []
+        for block in (2048, 512):
+            good, bad = size(text, "good", block), size(text, "bad", block)
+            inputs += [(bad - good) / (good + bad + 20), (bad - good) / (len(text) + 20)]
         total = model.weights[0] + sum(w * (x - m) / s for w, x, m, s in zip(model.weights[1:], inputs, model.mean, model.spread))
         assert model.scores([text])[0] == pytest.approx(1 / (1 + math.exp(-max(-500, min(500, total)))), abs=1e-9)
 
