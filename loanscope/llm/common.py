@@ -101,6 +101,15 @@ def word_blocks(text: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
+#: Rows of ids that may be sent to every task.
+BROADCAST_ROWS = 200_000
+
+
+def counted_broadcast(ids: DataFrame) -> DataFrame:
+    """A small table of ids for a join, marked for broadcast if a count says that it is small."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
 #: Of the ids of a class, how many times as many as wanted are looked up at first, and how many more.
 SAMPLED, SLACK = 4, 1000
 
@@ -133,7 +142,7 @@ def labelled_sample(
         for value, share in shares.items():
             if share < 1:
                 limit = F.when(F.col("label") == value, int((share - 0.5) * ((1 << 64) - 4096))).otherwise(limit)
-        found = short.join(agreed.where(F.col("place") <= limit), "doc_id")
+        found = short.join(counted_broadcast(agreed.where(F.col("place") <= limit)), "doc_id")
         found = checkpointed(found.groupBy("doc_id", "label", "place").agg(F.min("text").alias("text")))
         got = {r["label"]: r["count"] for r in found.groupBy("label").count().collect()}
         if all(share == 1 or got.get(value, 0) >= per_class for value, share in shares.items()):

@@ -230,7 +230,8 @@ def train(
             [(lang, int((share - 0.5) * ((1 << 64) - 4096)) if share < 1 else (1 << 63) - 1) for lang, share in shares],
             "lang string, most long",
         )
-        near = short.join(limits, "lang").where(F.col("place") <= F.col("most"))
+        # A row per language, max_languages at most.
+        near = short.join(F.broadcast(limits), "lang").where(F.col("place") <= F.col("most"))
         near = checkpointed(near.groupBy("doc_id", "lang", "place").agg(F.min("text").alias("text")))
         found = {r["lang"]: r["count"] for r in near.groupBy("lang").count().collect()}
         if all(share == 1 or found.get(lang, 0) >= per_language for lang, share in shares):
