@@ -24,8 +24,22 @@ REPORTS = {
 }
 
 
+EARLIER = set()
+
+
+def work_folders(spark):
+    return set(glob.glob(shared_folder(spark).removeprefix("file:") + "/work_*"))
+
+
+@pytest.fixture(autouse=True)
+def earlier(spark):
+    """What runs that were stopped have left in the shared folder."""
+    EARLIER.clear()
+    EARLIER.update(work_folders(spark))
+
+
 def work_left(spark):
-    return glob.glob(shared_folder(spark).removeprefix("file:") + "/work_*")
+    return work_folders(spark) - EARLIER
 
 
 @pytest.mark.parametrize("output_format", ["parquet", "csv", "json", "orc"])
