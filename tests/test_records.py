@@ -4,9 +4,11 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from support import rows
+from support import plan, rows
 
 from loanscope.operators.quality import malformed_report
+from loanscope.plans import queries
+from loanscope.schema import SELECTED_COLUMNS
 from loanscope.sources.formats import CSV
 from loanscope.sources.records import n_fields, read_records, read_split_csv
 from loanscope.sources.writers import write_quarantine
@@ -112,3 +114,33 @@ def test_without_a_header(spark, tmp_path):
 def test_number_of_fields(spark, record, n):
     df = spark.createDataFrame([(record,)], "record string")
     assert df.select(n_fields(F.col("record")).alias("n")).first()["n"] == n
+
+
+def test_fields_of_a_record_are_counted_once(spark, tmp_path):
+    (tmp_path / "x.csv").write_text(MALFORMED)
+    good, malformed = read_split_csv(spark, str(tmp_path / "x.csv"))
+    assert plan(good).count("regexp_replace(") == 1
+    # The rule of a row that stays is worked out anew.
+    assert plan(malformed).count("regexp_replace(") == 2
+
+
+def test_damaged_files_take_one_pass_over_the_loans(spark, monkeypatch):
+    amounts = ["7", "5010", "7", "3", "44", "5", "0", None, "n.a.", "1000"]
+    loans = [[str(i), amount, *["x"] * 10, 'a "b",\nc' if i % 2 else "é", *[""] * 11] for i, amount in enumerate(amounts)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(loans, ", ".join(f"{c} string" for c in SELECTED_COLUMNS))
+    monkeypatch.setattr(queries, "raw", lambda *_: df.mapInArrow(counted, df.schema))
+    good, malformed = read_split_csv(spark, queries._damaged_csv(spark, ""), SELECTED_COLUMNS)
+    assert seen.value == len(loans)
+    kept = [tuple(v or None for v in loan) for loan in loans if loan[1] in ("0", None, "n.a.", "1000")]
+    assert rows(good) == sorted(kept, key=repr)
+    found = malformed.collect()
+    assert sorted(r["rule"] for r in found) == ["too_long", *["too_short"] * 2, *["unclosed"] * 3]
+    assert all(r["record"].endswith(',"never closed') for r in found if r["rule"] == "unclosed")
+    assert len({r["file"] for r in found if r["rule"] == "unclosed"}) == 3
