@@ -45,7 +45,8 @@ NEVER = 255
 PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 NO_LANGUAGE = "und"
 _PIECE_END = re.compile(b"[" + re.escape(PIECE_ENDS) + b"]")
-_SIMPLER = bytes.maketrans(PIECE_ENDS + BLANKS, b"\n" * len(PIECE_ENDS) + b" " * len(BLANKS))
+_UPPER = bytes(range(ord("A"), ord("Z") + 1))
+_SIMPLER = bytes.maketrans(PIECE_ENDS + BLANKS + _UPPER, b"\n" * len(PIECE_ENDS) + b" " * len(BLANKS) + _UPPER.lower())
 #: Bytes of a text cut at a time.
 STRETCH = 1 << 20
 
@@ -102,8 +103,7 @@ class _Blocks:
                         open_blocks[key] = _Numbers({b"\n": 0}), [0]
                     numbers, codes = open_blocks[key]
                     before = len(codes)
-                    # bytes.lower knows A-Z only, as wanted.
-                    words = part.lower().translate(_SIMPLER).replace(b"\n", b" \n ").split(b" ")
+                    words = part.translate(_SIMPLER).replace(b"\n", b" \n ").split(b" ")
                     codes += map(numbers.__getitem__, filter(None, words))
                     codes.append(0)
                     held += len(codes) - before
@@ -134,24 +134,37 @@ def _phrases(table: np.ndarray, step: int, lang: str, words: list[bytes], codes:
     codes = np.frombuffer(codes, "<i4").astype(np.int64)
     seed = xxhash.xxh64_intdigest(lang.encode())
     words = np.frombuffer(b"".join([xxhash.xxh128_digest(w, seed) for w in words]), "<u8").reshape(-1, 2)
+    words1, words2 = np.ascontiguousarray(words.T)
     mask = np.uint64(len(table) - 1)
     at = np.flatnonzero(codes)
-    h1, h2 = words[:, 0][codes], words[:, 1][codes]
+    h1, h2 = words1[codes], words2[codes]
     starts = np.full(len(codes) + 1, NEVER, dtype=np.int16)
     starts[at] = 0
     yield codes, 1, at, h1, h2, starts
+    # By place the step from which on the phrase there is both active and frequent.
+    ready = np.full_like(starts, NEVER)
+    ready[at] = table[words1 & mask][codes[at]]
     for length in range(2, MAX_WORDS + 1):
         at = at[codes[at + length - 1] != 0]
         # A phrase not active yet has no longer one that is.
-        active = np.maximum.reduce((table[h1[at] & mask], table[h1[at + 1] & mask], starts[at], starts[at + 1]))
+        active = np.maximum(ready[at], ready[at + 1])
         at, active = at[active <= step], active[active <= step]
         last = codes[at + length - 1]
         longer1, longer2 = np.zeros_like(h1), np.zeros_like(h2)
-        longer1[at] = _mixed(h1[at] * _M2 + words[:, 0][last])
-        longer2[at] = _mixed(h2[at] * _M3 + words[:, 1][last])
+        longer1[at] = _mixed(h1[at] * _M2 + words1[last])
+        longer2[at] = _mixed(h2[at] * _M3 + words2[last])
         h1, h2, starts = longer1, longer2, np.full_like(starts, NEVER)
         starts[at] = active
         yield codes, length, at, h1, h2, starts
+        if length < MAX_WORDS:
+            ready = np.full_like(starts, NEVER)
+            ready[at] = np.maximum(active, table[h1[at] & mask])
+
+
+def _content(batch: pa.RecordBatch, row: int) -> tuple[str, list[bytes], bytes]:
+    """Language, words and numbers of a block."""
+    words = batch.column("words")[row].values.to_numpy(zero_copy_only=False).tolist()
+    return batch.column("lang")[row].as_py(), words, batch.column("codes")[row].as_py()
 
 
 def _table(content) -> np.ndarray:
@@ -168,7 +181,7 @@ class _Scan:
         table = _table(self.content)
         for batch in batches:
             for row in range(batch.num_rows):
-                lang, words, codes = (batch.column(c)[row].as_py() for c in ("lang", "words", "codes"))
+                lang, words, codes = _content(batch, row)
                 for numbers, length, at, h1, h2, starts in _phrases(table, self.step, lang, words, codes):
                     now = at[starts[at] + self.cycle > self.step]
                     if len(now):
@@ -189,7 +202,7 @@ class _Names:
         mask = np.uint64(len(table) - 1)
         for batch in batches:
             for row in range(batch.num_rows):
-                lang, words, codes = (batch.column(c)[row].as_py() for c in ("lang", "words", "codes"))
+                lang, words, codes = _content(batch, row)
                 for numbers, length, at, h1, h2, _ in _phrases(table, self.step, lang, words, codes):
                     at = at[frequent[h1[at] & mask] > 0]
                     if len(at):
@@ -201,17 +214,32 @@ class _Names:
                         yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "lang", "phrase"])
 
 
+def _grouped(key: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of keys below ``room`` in the order of the keys, and where in this order a new key begins."""
+    bits = len(key).bit_length()
+    if room <= 1 << (62 - bits):  # plain numbers sort many times faster than places by their keys do
+        both = np.sort(key << bits | np.arange(len(key)))
+        order, key = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+    return order, np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+
+
 def _distinct(codes: np.ndarray, at: np.ndarray, length: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """One place and the number of places of every distinct phrase that begins at the places ``at``."""
     key = codes[at]
     room = size
     for i in range(1, length):
-        if room > (1 << 62) // size:  # number what there is anew
-            key = np.unique(key, return_inverse=True)[1]
-            room = int(key.max()) + 1
+        if room * size > 1 << (62 - len(at).bit_length()):  # number what there is anew
+            order, new = _grouped(key, room)
+            ranks = np.zeros(len(at), np.int64)
+            ranks[new[1:]] = 1
+            key[order] = np.cumsum(ranks)
+            room = len(new)
         key, room = key * size + codes[at + i], room * size
-    _, first, n = np.unique(key, return_index=True, return_counts=True)
-    return at[first], n
+    order, new = _grouped(key, room)
+    return at[order[new]], np.diff(new, append=len(at))
 
 
 def phrase_counts(docs: DataFrame, folder: str, threshold: int = 30, shards: int = 2, bucket_bits: int = 24) -> DataFrame:
