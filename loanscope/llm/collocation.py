@@ -20,13 +20,17 @@ in numpy and reports every active phrase of a block once, as 128 bits of hash wi
 its count; a last scan gives the frequent ones their words.
 """
 
+import ctypes
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +39,8 @@ from loanscope.sources.scratch import checkpointed, work_folder
 
 #: Words of a block, over which a scan counts before Spark does.
 BLOCK_WORDS = 1 << 20
+#: Rows that a scan hands over at a time.
+BATCH_ROWS = 1 << 16
 #: Of the blocks, one part in so many names most frequent phrases, the others only what these lack.
 NAMING_PARTS = 16
 #: Parts of a language ranked on their own before the language is.
@@ -50,17 +56,21 @@ _SIMPLER = bytes.maketrans(PIECE_ENDS + BLANKS + _UPPER, b"\n" * len(PIECE_ENDS)
 #: Bytes of a text cut at a time.
 STRETCH = 1 << 20
 
-_BLOCKS = "shard int, lang string, n long, part int, words array<binary>, codes binary"
+_BLOCKS = "shard int, lang string, n long, part int, words binary, codes binary"
 _COUNTS = "h1 long, h2 long, kind int, n long"
 _NAMES = "h1 long, h2 long, lang string, phrase string"
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser."""
-    h = (h ^ (h >> np.uint64(30))) * _M1
-    h = (h ^ (h >> np.uint64(27))) * _M2
-    return h ^ (h >> np.uint64(31))
+    """A 64-bit finaliser, in the place of the values."""
+    h ^= h >> np.uint64(30)
+    h *= _M1
+    h ^= h >> np.uint64(27)
+    h *= _M2
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def _stretches(text: bytes) -> Iterator[bytes]:
@@ -83,28 +93,56 @@ class _Numbers(dict):
         return number
 
 
+def _give_back() -> None:
+    """Freed memory goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def _frugal(rows: Callable) -> Callable:
+    """A worker gives memory back when its task ends: Spark keeps the worker and needs the memory meanwhile."""
+
+    @wraps(rows)
+    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from rows(self, batches)
+        _give_back()
+
+    return run
+
+
+def _packed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor().compress(data)
+
+
+def _unpacked(column: pa.Array, row: int) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(column[row].as_buffer())
+
+
 class _Blocks:
     """Rows of ``shard``, ``lang`` and ``text`` as blocks: the distinct words and their numbers in order.
 
-    Number 0 stands between pieces, so a phrase is a run of other numbers.
+    Number 0 stands between pieces, so a phrase is a run of other numbers. Words and
+    numbers are compressed here, since Spark holds many blocks at once and tasks one.
     """
 
     def __init__(self, block_words: int):
         self.block_words = block_words
 
+    @_frugal
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_blocks: dict[tuple[int, str], tuple[_Numbers, list[int]]] = {}
+        open_blocks: dict[tuple[int, str], tuple[_Numbers, array]] = {}
         held = 0
         for batch in batches:
             keys = zip(batch.column("shard").to_pylist(), batch.column("lang").to_pylist())
             for key, text in zip(keys, encoded(batch.column("text"))):
                 for part in _stretches(text):
                     if key not in open_blocks:
-                        open_blocks[key] = _Numbers({b"\n": 0}), [0]
+                        open_blocks[key] = _Numbers({b"\n": 0}), array("i", [0])
                     numbers, codes = open_blocks[key]
                     before = len(codes)
                     words = part.translate(_SIMPLER).replace(b"\n", b" \n ").split(b" ")
-                    codes += map(numbers.__getitem__, filter(None, words))
+                    codes.extend(map(numbers.__getitem__, filter(None, words)))
                     codes.append(0)
                     held += len(codes) - before
                     if len(codes) >= self.block_words:
@@ -118,19 +156,19 @@ class _Blocks:
             yield self._block(key, *block)
 
     @staticmethod
-    def _block(key: tuple[int, str], numbers: _Numbers, codes: list[int]) -> pa.RecordBatch:
+    def _block(key: tuple[int, str], numbers: _Numbers, codes: array) -> pa.RecordBatch:
         numbered = np.array(codes, "<i4")
         data = numbered.tobytes()
         part = zlib.crc32(data) % NAMING_PARTS
-        values = [[key[0]], [key[1]], [int(np.count_nonzero(numbered))], [part], [list(numbers)], [data]]
-        kinds = [pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.list_(pa.binary()), pa.binary()]
+        values = [[key[0]], [key[1]], [int(np.count_nonzero(numbered))], [part], [_packed(b" ".join(numbers))], [_packed(data)]]
+        kinds = [pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
         names = ["shard", "lang", "n", "part", "words", "codes"]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
 
 
 def _phrases(table: np.ndarray, step: int, lang: str, words: list[bytes], codes: bytes) -> Iterator[tuple]:
     """By length: the numbers of a block, where its phrases active at the step begin, by place their two hashes
-    and the step from which on they are."""
+    and the step from which on they are. The next length takes the place of these."""
     codes = np.frombuffer(codes, "<i4").astype(np.int64)
     seed = xxhash.xxh64_intdigest(lang.encode())
     words = np.frombuffer(b"".join([xxhash.xxh128_digest(w, seed) for w in words]), "<u8").reshape(-1, 2)
@@ -150,21 +188,21 @@ def _phrases(table: np.ndarray, step: int, lang: str, words: list[bytes], codes:
         active = np.maximum(ready[at], ready[at + 1])
         at, active = at[active <= step], active[active <= step]
         last = codes[at + length - 1]
-        longer1, longer2 = np.zeros_like(h1), np.zeros_like(h2)
-        longer1[at] = _mixed(h1[at] * _M2 + words1[last])
-        longer2[at] = _mixed(h2[at] * _M3 + words2[last])
-        h1, h2, starts = longer1, longer2, np.full_like(starts, NEVER)
+        h1[at] = _mixed(h1[at] * _M2 + words1[last])
+        h2[at] = _mixed(h2[at] * _M3 + words2[last])
+        del last
+        starts[:] = NEVER
         starts[at] = active
         yield codes, length, at, h1, h2, starts
         if length < MAX_WORDS:
-            ready = np.full_like(starts, NEVER)
+            ready[:] = NEVER
             ready[at] = np.maximum(active, table[h1[at] & mask])
 
 
 def _content(batch: pa.RecordBatch, row: int) -> tuple[str, list[bytes], bytes]:
     """Language, words and numbers of a block."""
-    words = batch.column("words")[row].values.to_numpy(zero_copy_only=False).tolist()
-    return batch.column("lang")[row].as_py(), words, batch.column("codes")[row].as_py()
+    words = _unpacked(batch.column("words"), row).split(b" ")
+    return batch.column("lang")[row].as_py(), words, _unpacked(batch.column("codes"), row)
 
 
 def _table(content) -> np.ndarray:
@@ -177,18 +215,21 @@ class _Scan:
     def __init__(self, content, step: int, cycle: int):
         self.content, self.step, self.cycle = content, step, cycle
 
+    @_frugal
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(self.content)
         for batch in batches:
             for row in range(batch.num_rows):
-                lang, words, codes = _content(batch, row)
-                for numbers, length, at, h1, h2, starts in _phrases(table, self.step, lang, words, codes):
+                for numbers, length, at, h1, h2, starts in _phrases(table, self.step, *_content(batch, row)):
                     now = at[starts[at] + self.cycle > self.step]
                     if len(now):
-                        first, n = _distinct(numbers, now, length, len(words))
-                        kind = length * 256 + starts[first].astype(np.int32)
-                        columns = [h1[first].view(np.int64), h2[first].view(np.int64), kind, n.astype(np.int64)]
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h1", "h2", "kind", "n"])
+                        places, n = _distinct(numbers, now, length, int(numbers.max()) + 1)
+                        for i in range(0, len(places), BATCH_ROWS):
+                            first = places[i : i + BATCH_ROWS]
+                            kind = length * 256 + starts[first].astype(np.int32)
+                            columns = [h1[first].view(np.int64), h2[first].view(np.int64), kind]
+                            columns.append(n[i : i + BATCH_ROWS].astype(np.int64))
+                            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h1", "h2", "kind", "n"])
 
 
 class _Names:
@@ -197,6 +238,7 @@ class _Names:
     def __init__(self, content, frequent, step: int):
         self.content, self.frequent, self.step = content, frequent, step
 
+    @_frugal
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, frequent = _table(self.content), _table(self.frequent)
         mask = np.uint64(len(table) - 1)
@@ -206,20 +248,25 @@ class _Names:
                 for numbers, length, at, h1, h2, _ in _phrases(table, self.step, lang, words, codes):
                     at = at[frequent[h1[at] & mask] > 0]
                     if len(at):
-                        first, _ = _distinct(numbers, at, length, len(words))
-                        runs = numbers[first[:, None] + np.arange(length)].tolist()
-                        texts = pa.array([b" ".join([words[c] for c in run]) for run in runs], pa.string())
-                        columns = [pa.array(h1[first].view(np.int64)), pa.array(h2[first].view(np.int64))]
-                        columns += [pa.array([lang] * len(first), pa.string()), texts]
-                        yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "lang", "phrase"])
+                        places, _ = _distinct(numbers, at, length, len(words))
+                        for i in range(0, len(places), BATCH_ROWS):
+                            first = places[i : i + BATCH_ROWS]
+                            runs = numbers[first[:, None] + np.arange(length)].tolist()
+                            texts = pa.array([b" ".join([words[c] for c in run]) for run in runs], pa.string())
+                            columns = [pa.array(h1[first].view(np.int64)), pa.array(h2[first].view(np.int64))]
+                            columns += [pa.array([lang] * len(first), pa.string()), texts]
+                            yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "lang", "phrase"])
 
 
 def _grouped(key: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
     """The places of keys below ``room`` in the order of the keys, and where in this order a new key begins."""
     bits = len(key).bit_length()
     if room <= 1 << (62 - bits):  # plain numbers sort many times faster than places by their keys do
-        both = np.sort(key << bits | np.arange(len(key)))
-        order, key = both & ((1 << bits) - 1), both >> bits
+        key = key << bits
+        key |= np.arange(len(key), dtype=np.int32)
+        key.sort()
+        order = key & ((1 << bits) - 1)
+        key >>= bits
     else:
         order = np.argsort(key, kind="stable")
         key = key[order]
@@ -235,9 +282,12 @@ def _distinct(codes: np.ndarray, at: np.ndarray, length: int, size: int) -> tupl
             order, new = _grouped(key, room)
             ranks = np.zeros(len(at), np.int64)
             ranks[new[1:]] = 1
-            key[order] = np.cumsum(ranks)
+            key[order] = np.cumsum(ranks, out=ranks)
             room = len(new)
-        key, room = key * size + codes[at + i], room * size
+            del order, new, ranks
+        key *= size
+        key += codes[at + i]
+        room *= size
     order, new = _grouped(key, room)
     return at[order[new]], np.diff(new, append=len(at))
 

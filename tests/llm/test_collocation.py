@@ -2,9 +2,13 @@
 
 import random
 import re
+import tracemalloc
+import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.support import DOCS, ODD_TEXTS, docs, rows
 
@@ -129,6 +133,44 @@ def test_distinct_phrases_of_a_block(size):
         assert dict(zip([phrases[i] for i in places], n.tolist())) == Counter(phrases) and len(places) == len(set(phrases))
 
 
+def block_of(n_words):
+    """Words of a Zipf law as one block."""
+    numbers = np.random.default_rng(1).zipf(1.3, n_words) % 5000
+    columns = [pa.array([0], pa.int32()), pa.array(["en"]), pa.array([" ".join(f"w{i}" for i in numbers.tolist())])]
+    (block,) = collocation._Blocks(2 * n_words)(iter([pa.RecordBatch.from_arrays(columns, names=["shard", "lang", "text"])]))
+    return numbers, block
+
+
+def test_a_block_is_small_where_spark_holds_it():
+    numbers, block = block_of(1 << 16)
+    assert block.nbytes < 3 * len(numbers)
+    lang, words, codes = collocation._content(block, 0)
+    assert lang == "en" and [words[i] for i in np.frombuffer(codes, "<i4")[1:-1]] == [b"w%d" % i for i in numbers]
+    nothing = pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array(["en"]), pa.array(["."])], names=["shard", "lang", "text"])
+    (block,) = collocation._Blocks(9)(iter([nothing]))
+    assert collocation._content(block, 0)[1] == [b"\n"]
+
+
+@pytest.mark.parametrize("scan, most", [("_Scan", 125), ("_Names", 200)])
+def test_a_task_over_a_block_full_of_frequent_phrases_holds_little(monkeypatch, scan, most):
+    """Bytes a word at once, rows handed over at once, and what the worker does with the memory in the end."""
+    numbers, block = block_of(1 << 18)
+    given_back = []
+    monkeypatch.setattr(collocation, "_give_back", lambda: given_back.append(1), raising=False)
+    ones = SimpleNamespace(value=zlib.compress(np.ones(1 << 16, np.uint8).tobytes(), 1))
+    table = SimpleNamespace(value=zlib.compress(np.zeros(1 << 16, np.uint8).tobytes(), 1))
+    task = collocation._Scan(table, 1, 2) if scan == "_Scan" else collocation._Names(table, ones, 2)
+    tracemalloc.start()
+    try:
+        rows = [batch.num_rows for batch in task(iter([block]))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    words = [*numbers.tolist()]
+    assert sum(rows) == sum(len({tuple(words[i : i + k]) for i in range(len(words) - k + 1)}) for k in range(1, 5))
+    assert peak < most * len(numbers) and max(rows) <= 1 << 16 and given_back == [1]
+
+
 def test_no_rows_and_wrong_parameters(spark):
     nothing = spark.createDataFrame([], DOCS)
     assert collocations(nothing).collect() == []
